@@ -1 +1,9 @@
 """Spark-native analytics for daily derivatives tick and cancellation files."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few functions that run inside tasks travel with the job, so executors need
+# no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,10 @@ trade date have no partition to go to; ``dated`` keeps them out of the tables.
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import cells
@@ -71,30 +75,35 @@ def dated(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col(DATE_KEY).isNotNull())
 
 
-def tick_defects() -> Column:
-    """Names of a raw tick's cells that did not parse, and whether its date is missing."""
-    return _defects("Trade_Date", {"Price": cells.price, "Volume": cells.whole})
+def tick_checks() -> dict[str, Column]:
+    """Per defect of a raw tick: whether the row has it."""
+    return _checks("Trade_Date", {"Price": cells.price, "Volume": cells.whole})
 
 
-def cancel_defects() -> Column:
-    return _defects("Business_Date", {"Price": cells.cents, "Volume": cells.whole})
+def cancel_checks() -> dict[str, Column]:
+    return _checks("Business_Date", {"Price": cells.price, "Volume": cells.whole})
 
 
-def _defects(date_cell: str, parsers: dict) -> Column:
+def _checks(date_cell: str, parsers: dict[str, Callable[[str], Column]]) -> dict[str, Column]:
     day = cells.trade_date(date_cell)
-    checks = {name: cells.is_bad(name, parse(name)) for name, parse in parsers.items()}
-    checks = {date_cell: cells.is_bad(date_cell, day), **checks, "no trade date": day.isNull()}
-    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks.items()]))
+    bad = {name: cells.is_bad(name, parse(name)) for name, parse in parsers.items()}
+    return {date_cell: cells.is_bad(date_cell, day), **bad, "no trade date": day.isNull()}
+
+
+def flawed(checks: dict[str, Column]) -> Column:
+    """Any of the defects; cheaper than listing them."""
+    return reduce(operator.or_, checks.values())
 
 
 def reject_ticks(raw: DataFrame) -> DataFrame:
     """Raw rows with a defect, and their ``reasons``."""
-    return _rejects(drop_repeated_headers(raw, "Comm"), tick_defects())
+    return _rejects(drop_repeated_headers(raw, "Comm"), tick_checks())
 
 
 def reject_cancels(raw: DataFrame) -> DataFrame:
-    return _rejects(drop_repeated_headers(raw, "Commodity"), cancel_defects())
+    return _rejects(drop_repeated_headers(raw, "Commodity"), cancel_checks())
 
 
-def _rejects(raw: DataFrame, defects: Column) -> DataFrame:
-    return raw.withColumn("reasons", defects).where(F.size("reasons") > 0)
+def _rejects(raw: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    names = [F.when(bad, F.lit(name)) for name, bad in checks.items()]
+    return raw.where(flawed(checks)).withColumn("reasons", F.array_compact(F.array(*names)))

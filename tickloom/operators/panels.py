@@ -106,7 +106,7 @@ def market_share(
     summary: DataFrame, selection: Selection = ALL, as_of: dt.datetime | None = None
 ) -> DataFrame:
     """Volume per symbol at one time stamp, largest first."""
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    now = F.current_timestamp() if as_of is None else F.lit(as_of.isoformat()).cast("timestamp_ntz")
     return (
         selection.apply(summary).groupBy("Symbol").agg(F.sum("GroupVolume").alias("value"))
         .select(now.alias("time"), F.col("Symbol").alias("metric"), "value")

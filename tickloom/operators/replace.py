@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DateType
 
 from tickloom.schemas import DATE_KEY
 
@@ -15,8 +16,12 @@ def touched_dates(batch: DataFrame, key: str = DATE_KEY) -> DataFrame:
 def replace_dates(target: DataFrame, batch: DataFrame, key: str = DATE_KEY) -> DataFrame:
     """The target with all rows of the batch's dates exchanged for the batch.
 
-    The broadcast side has one row per calendar date. Four-digit years bound it to
-    3.7 million dates of four bytes, whatever the size of the batch.
+    Distinct dates are broadcast: four-digit years bound them to 3.7 million values
+    of four bytes, whatever the size of the batch. Keys of another type have no such
+    bound, and the join is left to Spark.
     """
-    kept = target.join(F.broadcast(touched_dates(batch, key)), key, "left_anti")
-    return kept.select(*target.columns).unionByName(batch.where(F.col(key).isNotNull()))
+    touched = touched_dates(batch, key)
+    if isinstance(touched.schema[key].dataType, DateType):
+        touched = F.broadcast(touched)
+    kept = target.join(touched, key, "left_anti").select(*target.columns)
+    return kept.unionByName(batch.where(F.col(key).isNotNull()))

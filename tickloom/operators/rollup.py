@@ -9,7 +9,7 @@ from tickloom.functions.pricing import exact_ratio, weighted_price
 from tickloom.schemas import SUMMARY_KEYS
 
 
-def tick_summary(ticks: DataFrame) -> DataFrame:
+def tick_summary(ticks: DataFrame, *more_keys: Column) -> DataFrame:
     """Volume, trade count and price sums per date, symbol, message code and hour.
 
     Plans as partial aggregation, one shuffle and final aggregation, so a symbol
@@ -18,7 +18,7 @@ def tick_summary(ticks: DataFrame) -> DataFrame:
     volume.
     """
     keys = [hour_bucket("TradeTime").alias(k) if k == "Hour" else F.col(k) for k in SUMMARY_KEYS]
-    return ticks.groupBy(*keys).agg(
+    return ticks.groupBy(*keys, *more_keys).agg(
         F.sum("TradeVolume").alias("GroupVolume"),
         F.count(F.lit(1)).alias("GroupTradeCount"),
         F.sum(F.col("TradePrice") * F.col("TradeVolume")).alias("GroupPriceVolume"),

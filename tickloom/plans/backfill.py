@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.operators import runs
 from tickloom.plans.daily import Lake, Loaded, run_cancel_load, run_tick_load
 from tickloom.schemas import FAILED, RUN_LOG, SKIPPED, SUCCESS
-from tickloom.sinks.serving import refresh_serving
-from tickloom.sinks.tables import append_runs
+from tickloom.sinks.serving import refresh_serving, replace_serving
+from tickloom.sinks.tables import append_runs, on_dates
 from tickloom.sinks.upkeep import compact
 from tickloom.sources.rawzone import completeness, landing_manifest, raw_listing
 from tickloom.sources.tables import read_table
@@ -95,3 +95,11 @@ def reload_serving(spark: SparkSession, lake: Lake, url: str, table: str, **opti
 def maintain(spark: SparkSession, lake: Lake) -> dict[str, list[dt.date]]:
     """Compact both detail tables; returns the rewritten dates of each."""
     return {path: compact(spark, path) for path in (lake.ticks, lake.cancels)}
+
+
+def update_serving(
+    spark: SparkSession, lake: Lake, dates: list[dt.date], url: str, table: str, **options: str
+) -> None:
+    """Bring the summary of some dates to the serving table; a repeat changes nothing."""
+    summary = read_table(spark, lake.summary)
+    replace_serving(on_dates(summary, dates), url, table, **options)

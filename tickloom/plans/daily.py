@@ -9,9 +9,8 @@ only when there are some.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,7 +20,7 @@ from tickloom.schemas import CANCELS, DATE_KEY, TICKS
 from tickloom.sinks.tables import WriteWatch, batch_dates, on_dates, write_csv, write_table
 from tickloom.sources.archives import read_zipped_ticks
 from tickloom.sources.delimited import read_cancels
-from tickloom.sources.rawzone import CANCEL_NAME, TICK_NAME, paths_for, raw_listing
+from tickloom.sources.rawzone import CANCEL_NAME, TICK_NAME, files_of_days, raw_listing
 
 
 @dataclass(frozen=True)
@@ -91,9 +90,10 @@ def _write_rejects(rejects: DataFrame, path: str, load_id: str) -> None:
     write_table(rejects.withColumn("load_id", F.lit(load_id)), path, False, "load_id")
 
 
-def load_key(paths: list[str]) -> str:
-    """Name of a load that reads these files."""
-    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
+def load_key(listing: DataFrame) -> str:
+    """Name of a load that reads these files, the same whenever it reads them."""
+    row = listing.agg(F.hex(F.bit_xor(F.xxhash64("path"))).alias("k")).first()
+    return row.k or "none"
 
 
 def load_ticks(
@@ -102,11 +102,11 @@ def load_ticks(
     """Raw ticks to the tick table, rejects and the summary of the touched dates."""
 
     def with_flag(rows: DataFrame) -> DataFrame:
-        return clean.clean_ticks(rows, F.size(clean.tick_defects()).alias("_defects"))
+        return clean.clean_ticks(rows, clean.flawed(clean.tick_checks()).alias("_flawed"))
 
     done = _load(
         raw, lake.ticks, lake.rejects("ticks"), with_flag, clean.reject_ticks,
-        TICKS.fieldNames(), F.col("_defects") > 0, cluster, load_id,
+        TICKS.fieldNames(), F.col("_flawed"), cluster, load_id,
     )
     refresh_summary(raw.sparkSession, lake, done.dates)
     return done
@@ -118,11 +118,11 @@ def load_cancels(
     """Raw cancellations to their table and rejects."""
 
     def with_flag(rows: DataFrame) -> DataFrame:
-        return clean.clean_cancels(rows, F.size(clean.cancel_defects()).alias("_defects"))
+        return clean.clean_cancels(rows, clean.flawed(clean.cancel_checks()).alias("_flawed"))
 
     return _load(
         raw, lake.cancels, lake.rejects("cancels"), with_flag, clean.reject_cancels,
-        CANCELS.fieldNames(), F.col("_defects") > 0, cluster, load_id,
+        CANCELS.fieldNames(), F.col("_flawed"), cluster, load_id,
     )
 
 
@@ -141,20 +141,21 @@ def refresh_summary(
 
 def run_tick_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
     """Tick load of the requested days. Days without a readable archive drop out."""
-    paths = paths_for(raw_listing(spark, raw_root), days, TICK_NAME)
-    if not paths:
+    listing = files_of_days(raw_listing(spark, raw_root), days, TICK_NAME)
+    if listing.isEmpty():
         return Loaded()
-    archives = read_zipped_ticks(spark, paths)
+    archives = read_zipped_ticks(listing)
     # Archives unpack to one task per member; clustering spreads a large one.
-    done = load_ticks(archives.rows.drop("path", "member"), lake, load_key(paths))
+    done = load_ticks(archives.rows.drop("path", "member"), lake, load_key(listing))
     errors = [(row.path, row.error) for row in archives.errors.toLocalIterator()]
-    return Loaded(done.dates, done.rows, done.rejected, errors)
+    return replace(done, file_errors=errors)
 
 
 def run_cancel_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
     """Cancellation load of the requested days."""
-    paths = paths_for(raw_listing(spark, raw_root), days, CANCEL_NAME)
+    listing = files_of_days(raw_listing(spark, raw_root), days, CANCEL_NAME)
+    paths = [row.path for row in listing.select("path").toLocalIterator()]  # one per day
     if not paths:
         return Loaded()
     # Each file holds one day, so the write needs no shuffle to gather dates.
-    return load_cancels(read_cancels(spark, paths), lake, load_key(paths), cluster=False)
+    return load_cancels(read_cancels(spark, paths), lake, load_key(listing), cluster=False)

@@ -226,7 +226,7 @@ def zip_ticks(spark, sf_dir):
     """One archive per day, read without unpacking to disk."""
     root = fresh_dir(spark, "zips")
     samples.write_raw_zone(samples.raw_ticks(spark, sf_dir), root)
-    read = archives.read_zipped_ticks(spark, f"{root}/raw")
+    read = archives.read_zipped_ticks(files.list_files(spark, f"{root}/raw", "*.zip"))
     return clean.clean_ticks(read.rows)
 
 

@@ -29,6 +29,7 @@ def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
 
 RAW_TICKS = _fields(*[(name, _S) for name in RAW_TICK_COLUMNS])
+ZIPPED_TICKS = _fields(*[(name, _S) for name in [*RAW_TICK_COLUMNS, "path", "member"]])
 RAW_CANCELS = _fields(*[(name, _S) for name in RAW_CANCEL_COLUMNS])
 
 TICKS = _fields(

@@ -15,7 +15,6 @@ from tickloom.sources.files import few_tasks, list_files, locate, per_row
 TARGET_BYTES = 1 << 30
 RETENTION_HOURS = 168
 
-_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _SPLIT = "spark.sql.files.maxPartitionBytes"
 _OPEN_COST = "spark.sql.files.openCostInBytes"
 
@@ -30,8 +29,25 @@ def partition_sizes(listing: DataFrame, key: str = DATE_KEY) -> DataFrame:
 
 
 def fragmented(sizes: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Partitions with more files than their size calls for."""
-    return sizes.where(F.col("files") > F.ceil(F.col("bytes") / F.lit(target_bytes)))
+    """Partitions with more files than their size calls for, and that number."""
+    wanted = F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int")
+    return sizes.withColumn("wanted", wanted).where(F.col("files") > F.col("wanted"))
+
+
+def regrouped(rows: DataFrame, wanted: dict[dt.date, int], key: str = DATE_KEY) -> DataFrame:
+    """Rows shuffled so that each date ends in at most its wanted number of tasks.
+
+    A date gets as many salts as it should have files, so a date that holds much
+    of the table is written by many tasks. Twice as many tasks as salts keeps two
+    salts from often sharing one.
+    """
+    plan = rows.sparkSession.createDataFrame(list(wanted.items()), f"{key} date, _files int")
+    # One plan row per date, so the broadcast is bounded by the calendar.
+    salted = rows.join(F.broadcast(plan), key).withColumn(
+        "_salt", F.pmod(F.xxhash64(*rows.columns), F.col("_files"))
+    )
+    tasks = 2 * sum(wanted.values())
+    return salted.repartition(tasks, key, "_salt").select(*rows.columns)
 
 
 def compact(
@@ -43,15 +59,16 @@ def compact(
     failed run leaves either the old files or the staged copy. Returns the dates.
     """
     picked = fragmented(partition_sizes(list_files(spark, path, "*.parquet"), key), target_bytes)
-    dates = sorted(row[0] for row in picked.select(key).toLocalIterator())
-    if not dates:
+    wanted = {row[key]: row.wanted for row in picked.toLocalIterator()}  # one row per date
+    if not wanted:
         return []
+    dates = sorted(wanted)
     staged = fresh_dir(spark, "compact")
-    with settings(spark, **{_ADVISORY: target_bytes}):
-        write_table(on_dates(spark.read.parquet(path), dates, key), staged, key=key)
-    # The staged files have their final size. With the cost of opening a file as
-    # high as the split size, a scan task takes exactly one file, so the copy needs
-    # no shuffle and keeps the number of files.
+    rows = on_dates(spark.read.parquet(path), dates, key)
+    write_table(regrouped(rows, wanted, key), staged, cluster=False, key=key)
+    # The staged files are final. With the cost of opening a file as high as the
+    # split size, a scan task takes exactly one file, so the copy needs no shuffle
+    # and keeps the number of files.
     split = 2 * target_bytes
     with settings(spark, **{_SPLIT: split, _OPEN_COST: split}):
         write_table(spark.read.parquet(staged), path, cluster=False, key=key)

@@ -12,13 +12,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tickloom.schemas import RAW_TICK_COLUMNS, RAW_TICKS
+from tickloom.schemas import RAW_TICK_COLUMNS, ZIPPED_TICKS
 from tickloom.session import fresh_dir
 from tickloom.sources.delimited import Layout, layouts
-from tickloom.sources.files import list_files, locate, per_row
-from tickloom.sources.textlines import CHUNK, first_line, line_blocks
+from tickloom.sources.files import locate, per_row
+from tickloom.sources.textlines import CHUNK, drop_blank, first_line, line_blocks
 
 _CATALOG = "path string, member string, size long, header string, error string"
 _LINES = "path string, member string, line string"
@@ -79,13 +79,10 @@ def member_lines(members: DataFrame) -> DataFrame:
         system, path = locate(row["path"])
         with system.open_input_file(path) as file, zipfile.ZipFile(file) as archive:
             with archive.open(row["member"]) as stream:
-                header_seen = False
-                for lines in line_blocks(stream):
-                    if not header_seen:
-                        at = next((i for i, s in enumerate(lines.to_pylist()) if s.strip()), None)
-                        if at is None:
-                            continue
-                        lines, header_seen = lines.slice(at + 1), True
+                header_rows = 1
+                for block in line_blocks(stream):
+                    lines = drop_blank(block)
+                    lines, header_rows = lines[header_rows:], max(0, header_rows - len(lines))
                     n = len(lines)
                     yield pa.RecordBatch.from_arrays(
                         [pa.repeat(row["path"], n), pa.repeat(row["member"], n), lines],
@@ -95,12 +92,15 @@ def member_lines(members: DataFrame) -> DataFrame:
     return members.select("path", "member").mapInArrow(per_row(unpack), _LINES)
 
 
-def read_zipped_ticks(
-    spark: SparkSession, paths: str | list[str], name_glob: str = "*.zip"
-) -> ArchiveRead:
-    """Raw ticks of all archives below ``paths``, with their ``path`` and ``member``."""
+def read_zipped_ticks(listing: DataFrame) -> ArchiveRead:
+    """Raw ticks of all listed archives, with their ``path`` and ``member``.
+
+    The catalog of members is written before it is used: rows, errors and later
+    retries all rest on the same state of the archives.
+    """
+    spark = listing.sparkSession
     catalog_path = fresh_dir(spark, "archive-catalog")
-    archive_members(list_files(spark, paths, name_glob)).write.parquet(catalog_path)
+    archive_members(listing).write.parquet(catalog_path)
     catalog = spark.read.parquet(catalog_path)
     errors = catalog.where("error is not null").select("path", "error")
     good = catalog.where("error is null and header is not null")
@@ -116,6 +116,6 @@ def read_zipped_ticks(
 
     found = layouts(good, ",", RAW_TICK_COLUMNS)
     if not found:
-        empty = spark.createDataFrame([], RAW_TICKS.add("path", "string").add("member", "string"))
+        empty = spark.createDataFrame([], ZIPPED_TICKS)
         return ArchiveRead(empty, errors)
     return ArchiveRead(reduce(DataFrame.unionByName, map(rows, found)), errors)

@@ -77,9 +77,7 @@ def landing_manifest(days: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
-def paths_for(listing: DataFrame, days: DataFrame, name_pattern: str) -> list[str]:
-    """File names of the requested days, for a scan. Days without a file drop out."""
+def files_of_days(listing: DataFrame, days: DataFrame, name_pattern: str) -> DataFrame:
+    """Listed files of one kind for the requested days; days without one drop out."""
     day = F.try_to_date(F.regexp_extract("path", name_pattern, 1), "yyyyMMdd")
-    wanted = listing.where(F.col("path").rlike(name_pattern)).withColumn("job_date", day)
-    rows = wanted.join(days, "job_date", "left_semi").select("path").toLocalIterator()
-    return sorted(row.path for row in rows)
+    return listing.withColumn("job_date", day).join(days, "job_date", "left_semi")

@@ -27,17 +27,20 @@ def line_blocks(stream: BinaryIO, chunk: int = CHUNK) -> Iterator[pa.Array]:
         rest = tail + held
         if newline:
             yield _split(whole)
-    rest = rest.removesuffix(b"\r")
     if rest:
-        yield _split(rest)
+        yield _split(rest.removesuffix(b"\r"))
+
+
+def drop_blank(lines: pa.Array) -> pa.Array:
+    """Lines that hold more than white space; Spark's text readers skip the others."""
+    return lines.filter(pc.not_equal(pc.utf8_trim_whitespace(lines), ""))
 
 
 def first_line(stream: BinaryIO) -> str | None:
     """First line that is not blank, without a byte-order mark."""
     for block in line_blocks(stream, 64 << 10):
-        for line in block.to_pylist():
-            if line.strip():
-                return line.removeprefix("﻿")
+        for line in drop_blank(block):
+            return line.as_py().removeprefix("\ufeff")
     return None
 
 

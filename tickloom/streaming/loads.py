@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.clean import clean_ticks, dated
+from tickloom.operators.rollup import tick_summary
 from tickloom.plans.daily import Lake, load_ticks
-from tickloom.schemas import DATE_KEY, RAW_TICKS
+from tickloom.schemas import DATE_KEY, RAW_TICKS, SUMMARY
 
 
 def tick_stream(spark: SparkSession, folder: str, per_batch: int | None = None) -> DataFrame:
@@ -59,22 +60,14 @@ def hourly_summary(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Running summary of a tick stream per event-time hour.
 
     An hour is emitted once the watermark has passed its end; later ticks for it
-    are late. State holds the open hours only.
+    are late. State holds the open hours only. Watermarks need an instant, so the
+    market's clock is read as UTC whatever the session's zone; ticks whose clock
+    is no time of day have no event time and do not appear.
     """
     clock = F.lpad(F.replace("TradeTime", F.lit(":"), F.lit("")), 6, "0")
-    moment = F.try_to_timestamp(
-        F.concat(F.date_format(DATE_KEY, "yyyyMMdd"), clock), F.lit("yyyyMMddHHmmss")
-    )
-    timed = ticks.withColumn("at", moment).withWatermark("at", delay)
-    grouped = timed.groupBy(F.window("at", "1 hour"), "Symbol", "MessageCode").agg(
-        F.sum("TradeVolume").alias("GroupVolume"),
-        F.count(F.lit(1)).alias("GroupTradeCount"),
-        F.sum(F.col("TradePrice") * F.col("TradeVolume")).alias("GroupPriceVolume"),
-        F.sum("TradePrice").alias("GroupPriceSum"),
-    )
-    start = F.col("window.start")
-    return grouped.select(
-        F.to_date(start).alias(DATE_KEY), "Symbol", "MessageCode",
-        F.date_format(start, "HH").alias("Hour"),
-        "GroupVolume", "GroupTradeCount", "GroupPriceVolume", "GroupPriceSum",
-    )
+    parts = [F.substring(clock, at, 2) for at in (1, 3, 5)]
+    text = F.concat(F.col(DATE_KEY).cast("string"), F.lit(" "), F.concat_ws(":", *parts), F.lit("Z"))
+    timed = ticks.withColumn("at", text.try_cast("timestamp")).withWatermark("at", delay)
+    # Date and hour text are one to one with the window, and keep its stored form.
+    hours = tick_summary(timed, F.window("at", "1 hour"))
+    return hours.select(*SUMMARY.fieldNames())
