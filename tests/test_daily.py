@@ -2,6 +2,7 @@
 
 import datetime as dt
 import io
+import pathlib
 import zipfile
 
 import pytest
@@ -140,6 +141,18 @@ def test_landing_record_and_backfill(spark, zone, lake):
     assert ranges.maintain(spark, lake) == {lake.ticks: [], lake.cancels: []}
 
 
+def test_expired_intermediates(spark, folder, monkeypatch):
+    monkeypatch.setattr(ranges, "shared_root", lambda _: str(folder))
+    folder.put("tickloom/compact-1/x.parquet", "x")
+    folder.put("other/y.parquet", "y")
+    now = dt.datetime.now()
+    assert ranges.drop_expired(spark, now).isEmpty()
+    gone = ranges.drop_expired(spark, now + dt.timedelta(hours=169)).collect()
+    assert [(r.path.rpartition("/")[2], r.error) for r in gone] == [("x.parquet", None)]
+    assert not pathlib.Path(folder, "tickloom/compact-1/x.parquet").exists()
+    assert pathlib.Path(folder, "other/y.parquet").exists()
+
+
 def test_serving_update_and_reload(spark, zone, lake, folder, monkeypatch):
     run_tick_load(spark, f"{zone}/raw", lake, days(spark))
     table = f"{folder}/serving"

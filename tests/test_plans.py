@@ -12,7 +12,8 @@ from tickloom import samples
 from tickloom.operators import panels
 from tickloom.operators.replace import replace_dates
 from tickloom.operators.rollup import tick_summary
-from tickloom.sinks.tables import on_dates, write_table
+from tickloom.sinks.tables import write_table
+from tickloom.sources.tables import read_dates
 
 SF = "/root/testdata/sf0.001"
 CHOSEN = panels.Selection(["U1"], ["click"], dt.date(2024, 1, 3), dt.date(2024, 1, 5))
@@ -64,9 +65,13 @@ def test_detail_takes_ordered_rows(stored):
     assert "TakeOrderedAndProject(limit=10" in plan(panels.sample_rows(stored))
 
 
-def test_touched_dates_prune(stored):
-    text = plan(on_dates(stored, [dt.date(2024, 1, 3), dt.date(2024, 1, 9)]))
-    assert re.search(r"PartitionFilters: \[.*TradeDateParsed.* IN \(2024-01-03,2024-01-09\)", text)
+def test_touched_dates_list_their_folders_only(spark, tmp_path):
+    write_table(tick_summary(samples.ticks(spark, SF)), str(tmp_path))
+    some = read_dates(spark, str(tmp_path), [dt.date(2024, 1, 3), dt.date(2024, 1, 9)])
+    assert len(some.inputFiles()) == 2
+    assert [r[0] for r in some.select("TradeDateParsed").distinct().orderBy("TradeDateParsed").collect()] == [
+        dt.date(2024, 1, 3), dt.date(2024, 1, 9)
+    ]
 
 
 def test_dates_are_broadcast_other_keys_are_not(spark, stored):
@@ -92,4 +97,6 @@ def test_library_collects_no_data():
         for line in source.read_text().splitlines():
             if re.search(r"\.(collect|toPandas|rdd|localCheckpoint|cache|persist)\(", line):
                 found.append((source.name, line.strip()))
-    assert found == [("delimited.py", ".limit(MAX_LAYOUTS + 1).collect()")]
+    assert found == [
+        ("delimited.py", 'rows = per_layout.where("header is not null").limit(2 * MAX_LAYOUTS + 1).collect()')
+    ]

@@ -141,6 +141,17 @@ def test_archives_with_two_layouts(spark, folder):
     assert cells_of(read.rows) == [tuple(tick(comm="CN").split(",")), tuple(tick().split(","))]
 
 
+def test_large_members_are_spread(spark, folder):
+    folder.put("a.zip", archive(t_csv=text(*[tick(comm=f"A{i}") for i in range(3000)])))
+    folder.put("b.zip", archive(t_csv=text(tick())))
+    listing = list_files(spark, folder, "*.zip")
+    read = read_zipped_ticks(listing, large=10_000)
+    plan = read.rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REBALANCE_PARTITIONS_BY_NONE") == 1
+    assert read.rows.count() == 3001
+    assert read.rows.select("Comm").distinct().count() == 3001
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.sampled_from(["a", "é", "bc", "\n", "\r", "\r\n", ""]), max_size=40).map("".join),
@@ -171,8 +182,8 @@ def test_completeness_and_manifest(spark, folder):
         "20260529/TC_structure.dat", "20260601/WEBPXTICK_DT_20260601.zip", "20260601/other.txt",
     ):
         folder.put(f"raw/{name}", "x")
-    listing = rawzone.raw_listing(spark, f"{folder}/raw")
     days = requested_days(spark, first=dt.date(2026, 5, 29), last=dt.date(2026, 6, 2))
+    listing = rawzone.raw_listing(spark, f"{folder}/raw", days)
     friday, monday, tuesday = dt.date(2026, 5, 29), dt.date(2026, 6, 1), dt.date(2026, 6, 2)
     complete = rawzone.completeness(listing)
     assert {r.job_date: r.complete for r in complete.collect()} == {friday: True, monday: False}

@@ -56,6 +56,8 @@ def parser() -> argparse.ArgumentParser:
             in_range = name == "backfill"
             step.add_argument("--start-date", default=BACKFILL_FROM if in_range else "")
             step.add_argument("--end-date", default=BACKFILL_TO if in_range else "")
+        if name == "maintain":
+            step.add_argument("--delete-expired", action="store_true")
         if name == "backfill":
             step.add_argument("--skip-ingestion", action="store_true")
     return top
@@ -79,6 +81,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.step == "maintain":
         for path, dates in ranges.maintain(spark, lake).items():
             print(f"{path}: {len(dates)} dates compacted")
+        if args.delete_expired:
+            print(f"{ranges.drop_expired(spark, dt.datetime.now()).count()} expired files")
         return 0
 
     days = requested_days(

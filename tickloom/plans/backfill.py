@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.operators import runs
 from tickloom.plans.daily import Lake, Loaded, run_cancel_load, run_tick_load
-from tickloom.schemas import FAILED, RUN_LOG, SKIPPED, SUCCESS
+from tickloom.schemas import FAILED, RUN_LOG, SKIPPED, SUCCESS, SUMMARY
+from tickloom.session import fresh_dir, shared_root
 from tickloom.sinks.serving import refresh_serving, replace_serving
-from tickloom.sinks.tables import append_runs, on_dates
-from tickloom.sinks.upkeep import compact
+from tickloom.sinks.tables import append_runs
+from tickloom.sinks.upkeep import RETENTION_HOURS, compact, delete_files, retention_candidates
+from tickloom.sources.files import list_files
 from tickloom.sources.rawzone import completeness, landing_manifest, raw_listing
-from tickloom.sources.tables import read_table
+from tickloom.sources.tables import read_dates, read_table
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,7 @@ def plan_backfill(
     """Action per requested day, from the raw zone and the run log."""
     current = runs.latest_runs(read_runs(spark, lake))
     current = current.withColumn("job_date", F.col("job_date").try_cast("date"))
-    complete = completeness(raw_listing(spark, raw_root))
+    complete = completeness(raw_listing(spark, raw_root, days))
     return runs.backfill_plan(days, complete, current, skip_ingestion)
 
 
@@ -64,7 +66,7 @@ def record_landing(spark: SparkSession, raw_root: str, lake: Lake, days: DataFra
     A day with its two data files succeeded, whether or not the structure files
     came along. A day without any file is taken for a holiday.
     """
-    listing = raw_listing(spark, raw_root)
+    listing = raw_listing(spark, raw_root, days)
     files = landing_manifest(days, listing)
     per_file = F.struct("filename", "status", "error", "info")
     per_day = files.groupBy("job_date").agg(
@@ -97,9 +99,22 @@ def maintain(spark: SparkSession, lake: Lake) -> dict[str, list[dt.date]]:
     return {path: compact(spark, path) for path in (lake.ticks, lake.cancels)}
 
 
+def drop_expired(spark: SparkSession, now: dt.datetime, hours: int = RETENTION_HOURS) -> DataFrame:
+    """Delete this package's intermediates older than the retention.
+
+    Only files below its own folder of the shared root are looked at; nothing there
+    is live once its run has ended. Returns one row per file with its outcome.
+    """
+    listing = list_files(spark, f"{shared_root(spark)}/tickloom")
+    outcome = fresh_dir(spark, "expired")
+    old = retention_candidates(listing, spark.createDataFrame([], "path string"), now, hours)
+    delete_files(old).write.parquet(outcome)  # once, whatever is done with the report
+    return spark.read.parquet(outcome)
+
+
 def update_serving(
     spark: SparkSession, lake: Lake, dates: list[dt.date], url: str, table: str, **options: str
 ) -> None:
     """Bring the summary of some dates to the serving table; a repeat changes nothing."""
-    summary = read_table(spark, lake.summary)
-    replace_serving(on_dates(summary, dates), url, table, **options)
+    summary = read_dates(spark, lake.summary, dates, SUMMARY)
+    replace_serving(summary, url, table, **options)

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.operators import clean
 from tickloom.operators.rollup import tick_summary
-from tickloom.schemas import CANCELS, DATE_KEY, TICKS
-from tickloom.sinks.tables import WriteWatch, batch_dates, on_dates, write_csv, write_table
+from tickloom.schemas import CANCELS, DATE_KEY, SUMMARY, TICKS
+from tickloom.sinks.tables import WriteWatch, batch_dates, write_csv, write_table
 from tickloom.sources.archives import read_zipped_ticks
 from tickloom.sources.delimited import read_cancels
 from tickloom.sources.rawzone import CANCEL_NAME, TICK_NAME, files_of_days, raw_listing
+from tickloom.sources.tables import read_dates
 
 
 @dataclass(frozen=True)
@@ -132,16 +133,14 @@ def refresh_summary(
     """Recompute the summary of some dates from the tick table and replace them."""
     if not dates:
         return
-    ticks = spark.read.schema(TICKS).parquet(lake.ticks)
-    write_table(tick_summary(on_dates(ticks, dates)), lake.summary)
+    write_table(tick_summary(read_dates(spark, lake.ticks, dates, TICKS)), lake.summary)
     if as_csv:
-        summary = spark.read.parquet(lake.summary)
-        write_csv(on_dates(summary, dates), lake.summary_csv)
+        write_csv(read_dates(spark, lake.summary, dates, SUMMARY), lake.summary_csv)
 
 
 def run_tick_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
     """Tick load of the requested days. Days without a readable archive drop out."""
-    listing = files_of_days(raw_listing(spark, raw_root), days, TICK_NAME)
+    listing = files_of_days(raw_listing(spark, raw_root, days), days, TICK_NAME)
     if listing.isEmpty():
         return Loaded()
     archives = read_zipped_ticks(listing)
@@ -153,7 +152,7 @@ def run_tick_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFram
 
 def run_cancel_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
     """Cancellation load of the requested days."""
-    listing = files_of_days(raw_listing(spark, raw_root), days, CANCEL_NAME)
+    listing = files_of_days(raw_listing(spark, raw_root, days), days, CANCEL_NAME)
     paths = [row.path for row in listing.select("path").toLocalIterator()]  # one per day
     if not paths:
         return Loaded()

@@ -50,7 +50,9 @@ class WriteWatch:
     """Facts about a batch gathered while it is written, without another pass.
 
     ``watched`` has the same rows; once an action on it is done, ``dates`` and
-    ``counts`` are known. The dates come as a bitmap with one bit per day.
+    ``counts`` are known. The dates come as a bitmap with one bit per day. When Spark
+    repeats a stage, counts may include its rows twice; dates, and whether a count is
+    zero, do not change.
     """
 
     def __init__(self, df: DataFrame, key: str = DATE_KEY, **counts: Column):
@@ -82,11 +84,6 @@ class WriteWatch:
         return [_EPOCH + dt.timedelta(days=d) for d in hit]
 
 
-def on_dates(table: DataFrame, dates: list[dt.date], key: str = DATE_KEY) -> DataFrame:
-    """Rows of the given dates, as a partition filter."""
-    return table.where(F.col(key).isin(dates)) if dates else table.limit(0)
-
-
 def batch_dates(batch: DataFrame, watch: WriteWatch, key: str = DATE_KEY) -> list[dt.date]:
     """Touched dates of a written batch, by a second pass only if the bitmap is too short."""
     dates = watch.dates()

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.schemas import DATE_KEY
 from tickloom.session import fresh_dir, settings
-from tickloom.sinks.tables import on_dates, write_table
+from tickloom.sinks.tables import write_table
 from tickloom.sources.files import few_tasks, list_files, locate, per_row
+from tickloom.sources.tables import read_dates
 
 TARGET_BYTES = 1 << 30
 RETENTION_HOURS = 168
@@ -51,27 +52,28 @@ def regrouped(rows: DataFrame, wanted: dict[dt.date, int], key: str = DATE_KEY)
 
 
 def compact(
-    spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES, key: str = DATE_KEY
+    spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES
 ) -> list[dt.date]:
     """Rewrite fragmented date partitions into files of about the target size.
 
     Rows are staged first: Spark must not read the partitions it overwrites, and a
     failed run leaves either the old files or the staged copy. Returns the dates.
+    Not for the folder of a streaming file sink, whose log names its files.
     """
-    picked = fragmented(partition_sizes(list_files(spark, path, "*.parquet"), key), target_bytes)
-    wanted = {row[key]: row.wanted for row in picked.toLocalIterator()}  # one row per date
+    picked = fragmented(partition_sizes(list_files(spark, path, "*.parquet")), target_bytes)
+    wanted = {row[DATE_KEY]: row.wanted for row in picked.toLocalIterator()}  # one row per date
     if not wanted:
         return []
     dates = sorted(wanted)
     staged = fresh_dir(spark, "compact")
-    rows = on_dates(spark.read.parquet(path), dates, key)
-    write_table(regrouped(rows, wanted, key), staged, cluster=False, key=key)
+    rows = read_dates(spark, path, dates)
+    write_table(regrouped(rows, wanted), staged, cluster=False)
     # The staged files are final. With the cost of opening a file as high as the
     # split size, a scan task takes exactly one file, so the copy needs no shuffle
     # and keeps the number of files.
     split = 2 * target_bytes
     with settings(spark, **{_SPLIT: split, _OPEN_COST: split}):
-        write_table(spark.read.parquet(staged), path, cluster=False, key=key)
+        write_table(spark.read.parquet(staged), path, cluster=False)
     return dates
 
 

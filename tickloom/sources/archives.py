@@ -12,14 +12,17 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from tickloom.schemas import RAW_TICK_COLUMNS, ZIPPED_TICKS
 from tickloom.session import fresh_dir
-from tickloom.sources.delimited import Layout, layouts
+from tickloom.sources.delimited import Layout, checked, small_rows
 from tickloom.sources.files import locate, per_row
 from tickloom.sources.textlines import CHUNK, drop_blank, first_line, line_blocks
 
+# Unpacked size from which a member's lines are spread over tasks before parsing.
+LARGE_MEMBER = 1 << 30
+
 _CATALOG = "path string, member string, size long, header string, error string"
 _LINES = "path string, member string, line string"
 
@@ -92,7 +95,7 @@ def member_lines(members: DataFrame) -> DataFrame:
     return members.select("path", "member").mapInArrow(per_row(unpack), _LINES)
 
 
-def read_zipped_ticks(listing: DataFrame) -> ArchiveRead:
+def read_zipped_ticks(listing: DataFrame, large: int = LARGE_MEMBER) -> ArchiveRead:
     """Raw ticks of all listed archives, with their ``path`` and ``member``.
 
     The catalog of members is written before it is used: rows, errors and later
@@ -104,18 +107,24 @@ def read_zipped_ticks(listing: DataFrame) -> ArchiveRead:
     catalog = spark.read.parquet(catalog_path)
     errors = catalog.where("error is not null").select("path", "error")
     good = catalog.where("error is null and header is not null")
+    is_large = (F.col("size") >= large).alias("is_large")
+    groups = small_rows(good.groupBy("header", is_large).count())
 
-    def rows(layout: Layout) -> DataFrame:
-        members = good.where(F.col("header") == layout.header)
+    def rows(group: Row) -> DataFrame:
+        layout = checked(Layout(group.header, ","), RAW_TICK_COLUMNS)
+        of_group = (F.col("header") == group.header) & (is_large == group.is_large)
         # One task per member.
-        spread = members.select("path", "member").repartition(max(1, members.count()))
+        members = good.where(of_group).repartition(group["count"])
+        lines = member_lines(members)
+        if group.is_large:
+            # Unpacking a member is bound to one task, but parsing its lines costs
+            # several times more and can be shared.
+            lines = lines.hint("rebalance")
         record = F.from_csv("line", layout.schema().toDDL(), {"sep": layout.sep})
-        return member_lines(spread).select("path", "member", record.alias("r")).select(
+        return lines.select("path", "member", record.alias("r")).select(
             *[F.col(f"r.{name}").alias(name) for name in RAW_TICK_COLUMNS], "path", "member"
         )
 
-    found = layouts(good, ",", RAW_TICK_COLUMNS)
-    if not found:
-        empty = spark.createDataFrame([], ZIPPED_TICKS)
-        return ArchiveRead(empty, errors)
-    return ArchiveRead(reduce(DataFrame.unionByName, map(rows, found)), errors)
+    if not groups:
+        return ArchiveRead(spark.createDataFrame([], ZIPPED_TICKS), errors)
+    return ArchiveRead(reduce(DataFrame.unionByName, map(rows, groups)), errors)

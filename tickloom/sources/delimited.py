@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tickloom.schemas import RAW_CANCEL_COLUMNS, RAW_TICK_COLUMNS
 from tickloom.sources.files import few_tasks, list_files, locate, per_row
@@ -64,18 +64,22 @@ def file_headers(listing: DataFrame) -> DataFrame:
 
 def layouts(headers: DataFrame, sep: str, required: list[str]) -> list[Layout]:
     """Distinct layouts of a ``header`` column, checked to hold all required names."""
-    lines = [
-        row.header
-        for row in headers.select("header").where("header is not null").distinct()
-        .limit(MAX_LAYOUTS + 1).collect()
-    ]
-    if len(lines) > MAX_LAYOUTS:
+    lines = [row.header for row in small_rows(headers.select("header").distinct())]
+    return [checked(Layout(line, sep), required) for line in sorted(lines)]
+
+
+def small_rows(per_layout: DataFrame) -> list[Row]:
+    """Rows with a header line, of a frame that has few per header line."""
+    rows = per_layout.where("header is not null").limit(2 * MAX_LAYOUTS + 1).collect()
+    if len(rows) > 2 * MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different header lines")
-    found = [Layout(line, sep) for line in sorted(lines)]
-    for layout in found:
-        if missing := layout.lacks(required):
-            raise ValueError(f"header {layout.header!r} lacks {missing}")
-    return found
+    return rows
+
+
+def checked(layout: Layout, required: list[str]) -> Layout:
+    if missing := layout.lacks(required):
+        raise ValueError(f"header {layout.header!r} lacks {missing}")
+    return layout
 
 
 def read_delimited(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.days import day_key
-from tickloom.schemas import FAILED, SUCCESS
+from tickloom.schemas import FAILED, LISTING, SUCCESS
 from tickloom.sources.files import list_files
 
 # File names of the exchange's daily drop. The first two carry the
@@ -23,8 +23,12 @@ def dated_name(filename: Column, day: Column) -> Column:
     return F.regexp_replace(filename, F.lit(r"\."), F.concat(F.lit("_"), day_key(day), F.lit(".")))
 
 
-def raw_listing(spark: SparkSession, root: str | list[str]) -> DataFrame:
-    return list_files(spark, root)
+def raw_listing(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
+    """Files in the folders of the requested days; other days are not listed."""
+    keys = [row[0] for row in days.select(day_key(F.col("job_date"))).toLocalIterator()]
+    if not keys:
+        return spark.createDataFrame([], LISTING)
+    return list_files(spark, f"{root}/{{{','.join(sorted(keys))}}}")
 
 
 def completeness(listing: DataFrame) -> DataFrame:

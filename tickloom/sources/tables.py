@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.schemas import DATE_KEY, SUMMARY
 
@@ -13,6 +14,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_dates(
+    spark: SparkSession, path: str, dates: list[dt.date], schema: StructType | None = None
+) -> DataFrame:
+    """Rows of some dates of a table; only the folders of those dates are listed."""
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(*[f"{path}/{DATE_KEY}={day.isoformat()}" for day in dates])
+
+
 def retype_summary(text: DataFrame) -> DataFrame:
     """Summary read as text, with the types the roll-up computes."""
     return text.select(
