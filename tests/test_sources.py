@@ -15,7 +15,7 @@ from tickloom.sources.archives import read_zipped_ticks
 from tickloom.sources.delimited import Layout, read_cancels, read_ticks
 from tickloom.sources.files import list_files, locate
 from tickloom.sources.tables import retype_summary
-from tickloom.sources.textlines import first_line, line_blocks
+from tickloom.sources.textlines import after_first_line, first_line, text_blocks
 
 HEADER = ",".join(RAW_TICK_COLUMNS)
 
@@ -112,11 +112,13 @@ def test_archives_with_same_member_and_a_broken_one(spark, folder):
     damaged[60] ^= 255  # inside the first member's data: only its checksum tells
     folder.put("raw/4/d.zip", bytes(damaged))
     folder.put("raw/5/e.zip", archive(readme="nothing"))
+    folder.put("raw/6/f.zip", archive(t_csv="Comm,Price\nNK,1\n"))
     read = read_zipped_ticks(list_files(spark, f"{folder}/raw", "*.zip"))
     assert sorted(r.Comm for r in read.rows.collect()) == ["CN", "NK"]
     assert {r.member for r in read.rows.collect()} == {"t.csv"}
     bad = {r.path.rpartition("/")[2]: r.error for r in read.errors.collect()}
-    assert set(bad) == {"c.zip", "d.zip", "e.zip"}
+    assert set(bad) == {"c.zip", "d.zip", "e.zip", "f.zip"}
+    assert "lacks" in bad["f.zip"]
     assert "BadZipFile" in bad["c.zip"] and "no member" in bad["e.zip"]
 
 
@@ -157,12 +159,16 @@ def test_large_members_are_spread(spark, folder):
     st.lists(st.sampled_from(["a", "é", "bc", "\n", "\r", "\r\n", ""]), max_size=40).map("".join),
     st.integers(1, 7),
 )
-def test_line_blocks_equal_splitting_the_whole(content, chunk):
-    lines = [s for b in line_blocks(io.BytesIO(content.encode()), chunk) for s in b.to_pylist()]
+def test_text_blocks_equal_splitting_the_whole(content, chunk):
+    blocks = list(text_blocks(io.BytesIO(content.encode()), chunk))
+    lines = [line for block in blocks for line in block.split("\n")]
     whole = content.replace("\r\n", "\n").replace("\r", "\n").split("\n")
     if whole[-1] == "":
         whole.pop()
     assert lines == whole
+    filled = [line for line in whole if line.strip()]
+    after = [line for block in after_first_line(iter(blocks)) for line in block.split("\n")]
+    assert [line for line in after if line.strip()] == filled[1:]
 
 
 def test_first_line_skips_blank_lines_and_mark():

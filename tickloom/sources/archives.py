@@ -16,15 +16,15 @@ from pyspark.sql import DataFrame, Row, functions as F
 
 from tickloom.schemas import RAW_TICK_COLUMNS, ZIPPED_TICKS
 from tickloom.session import fresh_dir
-from tickloom.sources.delimited import Layout, checked, small_rows
+from tickloom.sources.delimited import Layout, small_rows
 from tickloom.sources.files import locate, per_row
-from tickloom.sources.textlines import CHUNK, drop_blank, first_line, line_blocks
+from tickloom.sources.textlines import CHUNK, after_first_line, first_line, text_blocks
 
-# Unpacked size from which a member's lines are spread over tasks before parsing.
-LARGE_MEMBER = 1 << 30
+# Unpacked size from which a member is spread over tasks before parsing.
+LARGE_MEMBER = 256 << 20
 
 _CATALOG = "path string, member string, size long, header string, error string"
-_LINES = "path string, member string, line string"
+_BLOCKS = "path string, member string, block string"
 
 
 @dataclass(frozen=True)
@@ -39,8 +39,8 @@ def archive_members(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
     """One row per member ending in ``suffix``: its size, header and any defect.
 
     Every member is unpacked once to test its checksum, so that a damaged one is
-    known before any of its rows are used. One bad member rules out its archive:
-    a day is loaded whole or reported.
+    known before any of its rows are used. One bad member, or one without the
+    needed columns, rules out its archive: a day is loaded whole or reported.
     """
 
     def inspect(row: dict):
@@ -55,6 +55,8 @@ def archive_members(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
                         header = first_line(stream)
                         while stream.read(CHUNK):
                             pass
+                    if header and (missing := Layout(header, ",").lacks(RAW_TICK_COLUMNS)):
+                        raise ValueError(f"{info.filename} lacks {missing}")
                     found.append((info.filename, info.file_size, header))
         except Exception as problem:  # any damage is reported as a row
             found, error = [], f"{type(problem).__name__}: {problem}"
@@ -75,24 +77,36 @@ def archive_members(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
     return listing.select("path").mapInArrow(per_row(inspect), _CATALOG)
 
 
-def member_lines(members: DataFrame) -> DataFrame:
-    """``path, member, line`` for each line after the header."""
+def member_blocks(members: DataFrame) -> DataFrame:
+    """``path, member, block`` with the lines after the header, about a megabyte each.
+
+    Tasks only unpack and cut at line ends. Splitting blocks into lines is left to
+    Spark: a row per block costs far less to hand over, and to shuffle, than a row
+    per line.
+    """
 
     def unpack(row: dict):
         system, path = locate(row["path"])
         with system.open_input_file(path) as file, zipfile.ZipFile(file) as archive:
             with archive.open(row["member"]) as stream:
-                header_rows = 1
-                for block in line_blocks(stream):
-                    lines = drop_blank(block)
-                    lines, header_rows = lines[header_rows:], max(0, header_rows - len(lines))
-                    n = len(lines)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(row["path"], n), pa.repeat(row["member"], n), lines],
-                        names=["path", "member", "line"],
+                for block in after_first_line(text_blocks(stream)):
+                    yield pa.RecordBatch.from_pydict(
+                        {"path": [row["path"]], "member": [row["member"]], "block": [block]}
                     )
 
-    return members.select("path", "member").mapInArrow(per_row(unpack), _LINES)
+    return members.select("path", "member").mapInArrow(per_row(unpack), _BLOCKS)
+
+
+def parsed_blocks(blocks: DataFrame, layout: Layout) -> DataFrame:
+    """Columns of the lines of each block, named as in the layout.
+
+    ``inline`` makes them columns of their own: a filter on one is then not pushed
+    down into a second parse of the line.
+    """
+    lines = blocks.select("path", "member", F.explode(F.split("block", "\n")).alias("line"))
+    lines = lines.where(F.btrim("line", F.lit(" \t")) != "")
+    record = F.from_csv("line", layout.schema().toDDL(), {"sep": layout.sep})
+    return lines.select("path", "member", F.inline(F.array(record)))
 
 
 def read_zipped_ticks(listing: DataFrame, large: int = LARGE_MEMBER) -> ArchiveRead:
@@ -111,19 +125,16 @@ def read_zipped_ticks(listing: DataFrame, large: int = LARGE_MEMBER) -> ArchiveR
     groups = small_rows(good.groupBy("header", is_large).count())
 
     def rows(group: Row) -> DataFrame:
-        layout = checked(Layout(group.header, ","), RAW_TICK_COLUMNS)
+        layout = Layout(group.header, ",")
         of_group = (F.col("header") == group.header) & (is_large == group.is_large)
         # One task per member.
         members = good.where(of_group).repartition(group["count"])
-        lines = member_lines(members)
+        blocks = member_blocks(members)
         if group.is_large:
             # Unpacking a member is bound to one task, but parsing its lines costs
             # several times more and can be shared.
-            lines = lines.hint("rebalance")
-        record = F.from_csv("line", layout.schema().toDDL(), {"sep": layout.sep})
-        return lines.select("path", "member", record.alias("r")).select(
-            *[F.col(f"r.{name}").alias(name) for name in RAW_TICK_COLUMNS], "path", "member"
-        )
+            blocks = blocks.hint("rebalance")
+        return parsed_blocks(blocks, layout).select(*RAW_TICK_COLUMNS, "path", "member")
 
     if not groups:
         return ArchiveRead(spark.createDataFrame([], ZIPPED_TICKS), errors)

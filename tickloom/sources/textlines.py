@@ -1,21 +1,19 @@
-"""Small helpers that run inside tasks: complete lines out of a byte stream."""
+"""Small helpers that run inside tasks: whole lines out of a byte stream."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from typing import BinaryIO
 
-import pyarrow as pa
-import pyarrow.compute as pc
+CHUNK = 1 << 20
 
-CHUNK = 4 << 20
 
+def text_blocks(stream: BinaryIO, chunk: int = CHUNK) -> Iterator[str]:
+    """A byte stream as texts of whole lines, about ``chunk`` bytes each.
 
-def line_blocks(stream: BinaryIO, chunk: int = CHUNK) -> Iterator[pa.Array]:
-    """Lines of a byte stream as Arrow string arrays, about ``chunk`` bytes each.
-
-    Ends of line are LF, CR LF or CR, as in Spark's text reader. Only the current
-    chunk and an unfinished line are in memory.
+    Lines in a block are parted by LF; the last one has no end. Ends of line in the
+    stream are LF, CR LF or CR, as in Spark's text reader. Only the current chunk
+    and an unfinished line are in memory.
     """
     rest = b""
     while data := stream.read(chunk):
@@ -26,24 +24,26 @@ def line_blocks(stream: BinaryIO, chunk: int = CHUNK) -> Iterator[pa.Array]:
         whole, newline, tail = data.rpartition(b"\n")
         rest = tail + held
         if newline:
-            yield _split(whole)
+            yield whole.decode("utf-8", errors="replace")
     if rest:
-        yield _split(rest.removesuffix(b"\r"))
-
-
-def drop_blank(lines: pa.Array) -> pa.Array:
-    """Lines that hold more than white space; Spark's text readers skip the others."""
-    return lines.filter(pc.not_equal(pc.utf8_trim_whitespace(lines), ""))
+        yield rest.removesuffix(b"\r").decode("utf-8", errors="replace")
 
 
 def first_line(stream: BinaryIO) -> str | None:
     """First line that is not blank, without a byte-order mark."""
-    for block in line_blocks(stream, 64 << 10):
-        for line in drop_blank(block):
-            return line.as_py().removeprefix("\ufeff")
+    for block in text_blocks(stream, 64 << 10):
+        for line in block.split("\n"):
+            if line.strip():
+                return line.removeprefix("\ufeff")
     return None
 
 
-def _split(data: bytes) -> pa.Array:
-    text = pa.array([data.decode("utf-8", errors="replace")], pa.large_string())
-    return pc.split_pattern(text, "\n").values.cast(pa.string())
+def after_first_line(blocks: Iterator[str]) -> Iterator[str]:
+    """The blocks without the first line that is not blank, and blank ones before it."""
+    seen = False
+    for block in blocks:
+        while not seen and block:
+            line, _, block = block.partition("\n")
+            seen = bool(line.strip())
+        if block:
+            yield block
