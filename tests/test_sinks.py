@@ -75,6 +75,15 @@ def test_csv_round_trip_keeps_values_and_types(spark, folder, summary):
     assert rows(back) == rows(summary)
 
 
+def test_csv_round_trip_of_odd_text(spark, folder, summary):
+    odd = ["\tNK", " a ", 'q"x', "a,b", None, "back\\slash", "é"]
+    one = summary.limit(1).drop("Symbol", "Hour").crossJoin(
+        spark.createDataFrame([(s, None if s is None else "09") for s in odd], "Symbol string, Hour string")
+    )
+    tables.write_csv(one.select(*summary.columns), f"{folder}/c")
+    assert {r.Symbol for r in read_summary_csv(spark, f"{folder}/c").collect()} == set(odd)
+
+
 def test_write_watch(spark, folder, summary):
     with_null = summary.withColumn(
         DATE_KEY, F.when(F.col(DATE_KEY) > "2024-01-02", F.col(DATE_KEY))

@@ -149,7 +149,7 @@ def test_large_members_are_spread(spark, folder):
     listing = list_files(spark, folder, "*.zip")
     read = read_zipped_ticks(listing, large=10_000)
     plan = read.rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("REBALANCE_PARTITIONS_BY_NONE") == 1
+    assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
     assert read.rows.count() == 3001
     assert read.rows.select("Comm").distinct().count() == 3001
 

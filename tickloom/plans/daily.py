@@ -144,8 +144,11 @@ def run_tick_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFram
     if listing.isEmpty():
         return Loaded()
     archives = read_zipped_ticks(listing)
-    # Archives unpack to one task per member; clustering spreads a large one.
-    done = load_ticks(archives.rows.drop("path", "member"), lake, load_key(listing))
+    # An archive holds one day and a task few archives, so the write needs no
+    # shuffle to gather dates.
+    done = load_ticks(
+        archives.rows.drop("path", "member"), lake, load_key(listing), cluster=False
+    )
     errors = [(row.path, row.error) for row in archives.errors.toLocalIterator()]
     return replace(done, file_errors=errors)
 

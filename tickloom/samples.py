@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.schemas import FAILED, RUNNING, SKIPPED, SUCCESS
+from tickloom.sinks.tables import CSV_OPTIONS
 from tickloom.sources.files import list_files, locate, per_row
 
 # Fixed value: exchange letters of the twelve delivery months.
@@ -63,14 +64,17 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flawed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw ticks with cells that do not parse: volume, price and date each in part."""
-    return raw_ticks(spark, sf_dir).select(
-        "Comm", "Contract_Type", "Mth_Code", "Year", "Strike", "Log_Time", "Msg_Code",
-        F.when(F.col("Log_Time") < "01", "abc").otherwise(F.col("Trade_Date")).alias("Trade_Date"),
-        F.when(F.col("Msg_Code") == "error", F.concat("Price", F.lit("?")))
-        .otherwise(F.col("Price")).alias("Price"),
-        F.when(F.col("Volume") == "0", "0.5").otherwise(F.col("Volume")).alias("Volume"),
-    )
+    """Raw ticks with cells that do not parse.
+
+    Dates in the first hour of a day, prices of errors, and volumes of zero.
+    """
+    first_hour = F.col("Log_Time").startswith("00")
+    mark = F.when(F.col("Msg_Code") == "error", "?").otherwise("")
+    return raw_ticks(spark, sf_dir).withColumns({
+        "Trade_Date": F.when(first_hour, "abc").otherwise(F.col("Trade_Date")),
+        "Price": F.concat("Price", mark),
+        "Volume": F.regexp_replace("Volume", "^0$", "0.5"),
+    })
 
 
 def raw_cancels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +97,7 @@ def raw_cancels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_delimited(raw: DataFrame, path: str, sep: str = ",") -> None:
-    raw.write.option("header", True).option("sep", sep).csv(path)
+    raw.write.options(**CSV_OPTIONS, sep=sep).csv(path)
 
 
 def write_raw_zone(raw: DataFrame, root: str) -> None:
@@ -103,7 +107,7 @@ def write_raw_zone(raw: DataFrame, root: str) -> None:
     streaming, next to the other days' archives.
     """
     by_day = raw.withColumn("day", F.col("Trade_Date")).hint("rebalance", "day")
-    by_day.write.option("header", True).partitionBy("day").csv(f"{root}/text")
+    by_day.write.options(**CSV_OPTIONS).partitionBy("day").csv(f"{root}/text")
     listing = list_files(raw.sparkSession, f"{root}/text", "*.csv")
     folder = F.regexp_replace("path", "/text/day=[^/]+/.*$", "")
     part = F.regexp_extract("path", r"/part-(\d+)", 1)
@@ -186,13 +190,16 @@ def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw-zone listing: tick archives on shipping days, cancellations on order days."""
-    def paths(source: DataFrame, day: str, prefix: str, extension: str) -> DataFrame:
-        key = F.date_format(day, "yyyyMMdd")
+    def files(source: DataFrame, day: str, prefix: str, extension: str) -> DataFrame:
+        d = F.to_date(day)
+        # The day is taken from an aggregate: filters on the path then stay above it.
+        days = source.groupBy(d).agg(F.max(d).alias("d"), F.count("*").alias("length"))
+        key = F.date_format("d", "yyyyMMdd")
         name = F.concat(F.lit("file:/raw/"), key, F.lit(f"/{prefix}_"), key, F.lit(extension))
-        return source.select(name.alias("path"), F.lit(1).cast("bigint").alias("length"))
+        return days.select(name.alias("path"), "length")
 
-    archives = paths(table(spark, sf_dir, "lineitem"), "l_shipdate", "WEBPXTICK_DT", ".zip")
-    cancels = paths(
+    archives = files(table(spark, sf_dir, "lineitem"), "l_shipdate", "WEBPXTICK_DT", ".zip")
+    cancels = files(
         table(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), "o_orderdate", "TC", ".txt"
     )
     return archives.unionByName(cancels)

@@ -13,6 +13,11 @@ from tickloom.schemas import DATE_KEY, RUN_LOG
 _BITMAP_DAYS = 32768
 _EPOCH = dt.date(1970, 1, 1)
 
+# Spark's writer strips white space around values unless told not to.
+CSV_OPTIONS = {
+    "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
 
 def clustered(df: DataFrame, key: str = DATE_KEY) -> DataFrame:
     """Bring the rows of a date together for writing.
@@ -43,7 +48,7 @@ def write_table(df: DataFrame, path: str, cluster: bool = True, key: str = DATE_
 
 def write_csv(df: DataFrame, path: str, cluster: bool = True, key: str = DATE_KEY) -> None:
     """Header text by date, same replacement. Normally one file per date."""
-    _write(df, path, "csv", cluster, key, header=True)
+    _write(df, path, "csv", cluster, key, **CSV_OPTIONS)
 
 
 class WriteWatch:

@@ -23,8 +23,11 @@ from tickloom.sources.textlines import CHUNK, after_first_line, first_line, text
 # Unpacked size from which a member is spread over tasks before parsing.
 LARGE_MEMBER = 256 << 20
 
+# Blocks of a large member that stay together when it is spread, about 32 MB.
+BLOCKS_PER_PART = 32
+
 _CATALOG = "path string, member string, size long, header string, error string"
-_BLOCKS = "path string, member string, block string"
+_BLOCKS = "path string, member string, part int, block string"
 
 
 @dataclass(frozen=True)
@@ -78,7 +81,7 @@ def archive_members(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
 
 
 def member_blocks(members: DataFrame) -> DataFrame:
-    """``path, member, block`` with the lines after the header, about a megabyte each.
+    """``path, member, part, block``: the lines after the header, a megabyte a block.
 
     Tasks only unpack and cut at line ends. Splitting blocks into lines is left to
     Spark: a row per block costs far less to hand over, and to shuffle, than a row
@@ -89,9 +92,15 @@ def member_blocks(members: DataFrame) -> DataFrame:
         system, path = locate(row["path"])
         with system.open_input_file(path) as file, zipfile.ZipFile(file) as archive:
             with archive.open(row["member"]) as stream:
-                for block in after_first_line(text_blocks(stream)):
-                    yield pa.RecordBatch.from_pydict(
-                        {"path": [row["path"]], "member": [row["member"]], "block": [block]}
+                for at, block in enumerate(after_first_line(text_blocks(stream))):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([row["path"]]),
+                            pa.array([row["member"]]),
+                            pa.array([at // BLOCKS_PER_PART], pa.int32()),
+                            pa.array([block]),
+                        ],
+                        names=["path", "member", "part", "block"],
                     )
 
     return members.select("path", "member").mapInArrow(per_row(unpack), _BLOCKS)
@@ -132,8 +141,9 @@ def read_zipped_ticks(listing: DataFrame, large: int = LARGE_MEMBER) -> ArchiveR
         blocks = member_blocks(members)
         if group.is_large:
             # Unpacking a member is bound to one task, but parsing its lines costs
-            # several times more and can be shared.
-            blocks = blocks.hint("rebalance")
+            # several times more and can be shared. Neighbouring blocks stay
+            # together, so a task still sees few archives, hence few dates.
+            blocks = blocks.hint("rebalance", "path", "member", "part")
         return parsed_blocks(blocks, layout).select(*RAW_TICK_COLUMNS, "path", "member")
 
     if not groups:

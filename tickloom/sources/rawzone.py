@@ -36,16 +36,16 @@ def completeness(listing: DataFrame) -> DataFrame:
 
     A day is complete with both; structure files are not required.
     """
+    # At most one of the two matches; the other gives empty text.
     tick_day = F.regexp_extract("path", TICK_NAME, 1)
     cancel_day = F.regexp_extract("path", CANCEL_NAME, 1)
     named = listing.select(
-        F.when(tick_day != "", tick_day).when(cancel_day != "", cancel_day).alias("day"),
+        F.try_to_date(F.concat(tick_day, cancel_day), "yyyyMMdd").alias("job_date"),
         (tick_day != "").alias("is_tick"),
-    ).where("day is not null")
+    )
     return (
-        named.groupBy(F.try_to_date("day", "yyyyMMdd").alias("job_date"))
+        named.where("job_date is not null").groupBy("job_date")
         .agg(F.max("is_tick").alias("has_ticks"), F.max(~F.col("is_tick")).alias("has_cancels"))
-        .where("job_date is not null")
         .withColumn("complete", F.col("has_ticks") & F.col("has_cancels"))
     )
 
