@@ -91,6 +91,8 @@ def test_repeated_and_corrected_loads(spark, zone, lake):
     done = run_tick_load(spark, f"{zone}/raw", lake, days(spark, MONDAY, MONDAY))
     assert done.dates == [MONDAY]
     assert volumes(spark, lake) == {**EXPECTED, (MONDAY, "NK", "09"): 9}
+    run_tick_load(spark, f"{zone}/raw", lake, days(spark))
+    assert spark.read.parquet(lake.rejects("ticks")).isEmpty()
 
 
 def test_rows_of_another_date_go_to_their_date(spark, folder, lake):

@@ -12,7 +12,7 @@ Folders and the serving table come from a configuration file::
     user = ...
 
 Without ``[serving]`` no serving table is kept; further entries of it are passed on
-as JDBC options. A blank date is today. Submit with ``spark-submit`` for a cluster; the session is taken as found.
+as JDBC options. A blank date is today.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import SparkSession
 from tickloom.operators.runs import requested_days
 from tickloom.plans import backfill as ranges
 from tickloom.plans.daily import Lake, run_cancel_load, run_tick_load
-from tickloom.session import SETTINGS
+from tickloom.session import cluster_session
 
 # Default range of a backfill.
 BACKFILL_FROM, BACKFILL_TO = "2026-03-01", "2026-04-30"
@@ -70,10 +70,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sys.exit(f"no configuration file at {args.config}")
     raw, lake = config["storage"]["raw"].strip(), Lake(config["storage"]["lake"].strip())
     if spark is None:
-        builder = SparkSession.builder.appName(f"tickloom-{args.step}")
-        for key, value in SETTINGS.items():
-            builder = builder.config(key, value)
-        spark = builder.getOrCreate()
+        spark = cluster_session(f"tickloom-{args.step}")
 
     if args.step == "reload":
         ranges.reload_serving(spark, lake, **dict(config["serving"]))

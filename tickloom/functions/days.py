@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
+
+# Days a four-digit year can name; bounds everything that has one row per day.
+CALENDAR_DAYS = 3_652_059
 
 
 def is_weekday(day: Column) -> Column:
@@ -43,3 +46,12 @@ def market_time(day: Column, hour: Column) -> Column:
     """Start of the hour as a zone-free timestamp; hours beyond 23 run into later days."""
     hours = hour.try_cast("int")
     return day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hours)
+
+
+def calendar_rows(per_day: DataFrame) -> list[Row]:
+    """Rows of a frame that has at most one per day, on the driver."""
+    # One partition, so that the limit is taken in one job.
+    rows = per_day.repartition(1).limit(CALENDAR_DAYS + 1).collect()
+    if len(rows) > CALENDAR_DAYS:
+        raise ValueError("more rows than days in the calendar")
+    return rows

@@ -22,10 +22,10 @@ FEED_HEADER = r"WEBPXTICK_DT-(\d{8})\.zip"
 
 def weekdays_between(bounds: DataFrame) -> DataFrame:
     """Weekdays of each ``(first, last)`` row, both ends included."""
-    days = F.explode(F.sequence("first", "last", F.expr("interval 1 day")))
-    return bounds.where("first <= last").select(days.alias("job_date")).where(
-        is_weekday(F.col("job_date"))
-    )
+    # A sequence with its ends the wrong way round is an error, not empty.
+    in_order = F.col("first") <= F.col("last")
+    days = F.when(in_order, F.sequence("first", "last", F.expr("interval 1 day")))
+    return bounds.select(F.explode(days).alias("job_date")).where(is_weekday(F.col("job_date")))
 
 
 def requested_days(
@@ -39,8 +39,9 @@ def requested_days(
     A single day passes even on a weekend; without any, it is today.
     """
     if first is not None and last is not None:
-        return weekdays_between(spark.createDataFrame([(first, last)], "first date, last date"))
-    return spark.createDataFrame([(day or dt.date.today(),)], "job_date date")
+        span = {"first": first, "last": last}
+        return weekdays_between(spark.sql("SELECT :first AS first, :last AS last", args=span))
+    return spark.sql("SELECT :day AS job_date", args={"day": day or dt.date.today()})
 
 
 def latest_runs(log: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tickloom.functions.days import calendar_rows
 from tickloom.operators import clean
 from tickloom.operators.rollup import tick_summary
 from tickloom.schemas import CANCELS, DATE_KEY, SUMMARY, TICKS
@@ -80,21 +81,23 @@ def _load(
     typed = clean.dated(watch.watched).select(*columns)
     write_table(typed, path, cluster=cluster)
     counts = watch.counts
-    if counts["rejected"] or counts["undated"]:
-        _write_rejects(make_rejects(raw), reject_path, load_id)
+    rejects = make_rejects(raw)
+    if not (counts["rejected"] or counts["undated"]):
+        rejects = raw.sparkSession.createDataFrame([], rejects.schema)
+    # By load, not by date: a reject may have none. Repeating a load replaces its
+    # rejects, also by none.
+    rejects.write.mode("overwrite").parquet(f"{reject_path}/load_id={load_id}")
     dates = batch_dates(clean.dated(flagged), watch)
     return Loaded(dates, counts["rows"] - counts["undated"], counts["rejected"])
 
 
-def _write_rejects(rejects: DataFrame, path: str, load_id: str) -> None:
-    # By load, not by date: a reject may have none. Repeating a load replaces them.
-    write_table(rejects.withColumn("load_id", F.lit(load_id)), path, False, "load_id")
+def load_key(listing: DataFrame) -> str | None:
+    """Name of a load that reads these files, the same whenever it reads them.
 
-
-def load_key(listing: DataFrame) -> str:
-    """Name of a load that reads these files, the same whenever it reads them."""
+    None without files.
+    """
     row = listing.agg(F.hex(F.bit_xor(F.xxhash64("path"))).alias("k")).first()
-    return row.k or "none"
+    return row.k and f"files-{row.k}"
 
 
 def load_ticks(
@@ -141,23 +144,25 @@ def refresh_summary(
 def run_tick_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
     """Tick load of the requested days. Days without a readable archive drop out."""
     listing = files_of_days(raw_listing(spark, raw_root, days), days, TICK_NAME)
-    if listing.isEmpty():
+    load_id = load_key(listing)
+    if load_id is None:
         return Loaded()
     archives = read_zipped_ticks(listing)
     # An archive holds one day and a task few archives, so the write needs no
     # shuffle to gather dates.
     done = load_ticks(
-        archives.rows.drop("path", "member"), lake, load_key(listing), cluster=False
+        archives.rows.drop("path", "member"), lake, load_id, cluster=False
     )
-    errors = [(row.path, row.error) for row in archives.errors.toLocalIterator()]
+    errors = [(row.path, row.error) for row in calendar_rows(archives.errors)]
     return replace(done, file_errors=errors)
 
 
 def run_cancel_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
     """Cancellation load of the requested days."""
     listing = files_of_days(raw_listing(spark, raw_root, days), days, CANCEL_NAME)
-    paths = [row.path for row in listing.select("path").toLocalIterator()]  # one per day
-    if not paths:
+    load_id = load_key(listing)
+    if load_id is None:
         return Loaded()
+    paths = [row.path for row in calendar_rows(listing.select("path"))]
     # Each file holds one day, so the write needs no shuffle to gather dates.
-    return load_cancels(read_cancels(spark, paths), lake, load_key(listing), cluster=False)
+    return load_cancels(read_cancels(spark, paths), lake, load_id, cluster=False)

@@ -146,7 +146,7 @@ complete AS (
          bool_or(is_tick) AND bool_or(NOT is_tick) AS complete
   FROM (SELECT cast(l_shipdate AS date) AS job_date, true AS is_tick FROM lineitem
         UNION ALL
-        SELECT cast(o_orderdate AS date), false FROM orders WHERE o_orderstatus = 'F')
+        SELECT cast(o_orderdate AS date), false FROM orders WHERE day(o_orderdate) < 28)
   GROUP BY 1)"""
 
 _LOG = """

@@ -199,9 +199,9 @@ def raw_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         return days.select(name.alias("path"), "length")
 
     archives = files(table(spark, sf_dir, "lineitem"), "l_shipdate", "WEBPXTICK_DT", ".zip")
-    cancels = files(
-        table(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), "o_orderdate", "TC", ".txt"
-    )
+    # Cancellation files are missing at the end of each month.
+    orders = table(spark, sf_dir, "orders").where("day(o_orderdate) < 28")
+    cancels = files(orders, "o_orderdate", "TC", ".txt")
     return archives.unionByName(cancels)
 
 

@@ -7,12 +7,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings that suit both a laptop and a large cluster. Sizes of shuffle
 # partitions are left to AQE: it starts from many and merges or splits them
 # towards the advisory size, also for the rebalanced table writes.
 SETTINGS = {
+    "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -22,10 +24,11 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
-# For cluster submissions reading many terabytes; see README "Running at scale".
+# For many terabytes; see README "Running at scale". A submission's own values win.
 CLUSTER_SETTINGS = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
 }
@@ -38,7 +41,6 @@ def local_session(cores: int | str = "*", app: str = "tickloom", **extra: str) -
     width = str(cores) if str(cores).isdigit() else "8"
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
-        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", width)
         .config("spark.driver.memory", "8g")
@@ -50,6 +52,16 @@ def local_session(cores: int | str = "*", app: str = "tickloom", **extra: str) -
     return spark
 
 
+def cluster_session(app: str) -> SparkSession:
+    """The session of a submitted job."""
+    given = SparkConf()
+    builder = SparkSession.builder.appName(app)
+    for key, value in {**SETTINGS, **CLUSTER_SETTINGS}.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from tickloom.functions.days import calendar_rows
 from tickloom.operators.replace import touched_dates
 from tickloom.schemas import DATE_KEY, RUN_LOG
 
@@ -93,7 +94,7 @@ def batch_dates(batch: DataFrame, watch: WriteWatch, key: str = DATE_KEY) -> lis
     """Touched dates of a written batch, by a second pass only if the bitmap is too short."""
     dates = watch.dates()
     if dates is None:
-        dates = [row[0] for row in touched_dates(batch, key).toLocalIterator()]
+        dates = [row[0] for row in calendar_rows(touched_dates(batch, key))]
     return sorted(dates)
 
 

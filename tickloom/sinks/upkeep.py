@@ -7,6 +7,7 @@ import datetime as dt
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom.functions.days import calendar_rows
 from tickloom.schemas import DATE_KEY
 from tickloom.session import fresh_dir, settings
 from tickloom.sinks.tables import write_table
@@ -61,7 +62,7 @@ def compact(
     Not for the folder of a streaming file sink, whose log names its files.
     """
     picked = fragmented(partition_sizes(list_files(spark, path, "*.parquet")), target_bytes)
-    wanted = {row[DATE_KEY]: row.wanted for row in picked.toLocalIterator()}  # one row per date
+    wanted = {row[DATE_KEY]: row.wanted for row in calendar_rows(picked)}
     if not wanted:
         return []
     dates = sorted(wanted)

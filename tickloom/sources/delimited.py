@@ -70,7 +70,8 @@ def layouts(headers: DataFrame, sep: str, required: list[str]) -> list[Layout]:
 
 def small_rows(per_layout: DataFrame) -> list[Row]:
     """Rows with a header line, of a frame that has few per header line."""
-    rows = per_layout.where("header is not null").limit(2 * MAX_LAYOUTS + 1).collect()
+    few = per_layout.where("header is not null").repartition(1)
+    rows = few.limit(2 * MAX_LAYOUTS + 1).collect()
     if len(rows) > 2 * MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different header lines")
     return rows

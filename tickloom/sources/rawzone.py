@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.functions.days import day_key
+from tickloom.functions.days import calendar_rows, day_key
 from tickloom.schemas import FAILED, LISTING, SUCCESS
 from tickloom.sources.files import list_files
 
@@ -25,7 +25,7 @@ def dated_name(filename: Column, day: Column) -> Column:
 
 def raw_listing(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
     """Files in the folders of the requested days; other days are not listed."""
-    keys = [row[0] for row in days.select(day_key(F.col("job_date"))).toLocalIterator()]
+    keys = [row[0] for row in calendar_rows(days.select(day_key(F.col("job_date"))))]
     if not keys:
         return spark.createDataFrame([], LISTING)
     return list_files(spark, f"{root}/{{{','.join(sorted(keys))}}}")
