@@ -44,7 +44,10 @@ def put_cancels(folder, day, *prices):
 
 @pytest.fixture
 def zone(folder):
-    put_ticks(folder, FRIDAY, ("NK", "90501", "10.5", "2"), ("NK", "095900", "11", "4"), ("CN", "100000", "", "5"))
+    put_ticks(
+        folder, FRIDAY,
+        ("NK", "90501", "10.5", "2"), ("NK", "095900", "11", "4"), ("CN", "100000", "", "5"),
+    )
     put_ticks(folder, MONDAY, ("NK", "90501", "20", "1"), ("NK", "90502", "bad", "1"))
     folder.put(f"raw/{key(TUESDAY)}/WEBPXTICK_DT_{key(TUESDAY)}.zip", "broken")
     put_cancels(folder, FRIDAY, "1050", "1100")

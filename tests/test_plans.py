@@ -5,7 +5,6 @@ import pathlib
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tickloom import samples
@@ -21,7 +20,7 @@ FILE_QUERIES = {
     "delimited_ticks", "delimited_cancels", "zip_ticks", "daily_load", "quarantine",
     "csv_round_trip", "partition_replace", "serving_replace", "batch_dates", "compaction",
     "retention_candidates", "run_log_latest", "incremental_load", "stream_replace",
-    "stream_hourly",
+    "stream_hourly", "stream_archives",
 }
 
 

@@ -34,7 +34,8 @@ def test_latest_state_wins(spark):
     )
     state = {r.job_date: r.status for r in runs.latest_runs(entries).collect()}
     assert state == {day: "success", "2026-06-01": "running"}
-    report = {r.status: (r.day_count, r.days) for r in runs.outcome_report(runs.latest_runs(entries)).collect()}
+    report = runs.outcome_report(runs.latest_runs(entries)).collect()
+    report = {r.status: (r.day_count, r.days) for r in report}
     assert report == {"success": (1, day), "running": (1, "2026-06-01")}
 
 

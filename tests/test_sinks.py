@@ -202,7 +202,8 @@ class Recorder:
 
     def __getattr__(self, name):
         def call(*args, **kwargs):
-            self.seen[name] = {**self.seen.get(name, {}), **kwargs, **dict([args[:2]] if len(args) == 2 else [])}
+            pair = dict([args]) if len(args) == 2 else {}
+            self.seen[name] = {**self.seen.get(name, {}), **kwargs, **pair}
             self.seen.setdefault("order", []).append((name, args))
             return self
 

@@ -1,6 +1,8 @@
 """Incremental loads: nothing twice, corrections replace, hours close."""
 
 import datetime as dt
+import io
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,7 +76,8 @@ def test_late_ticks_and_open_hours(spark, folder):
             " TradePrice decimal(18,4), TradeVolume int",
         )
         frame.coalesce(1).write.parquet(f"{folder}/in/{name}")
-        stream = spark.readStream.schema(frame.schema).option("recursiveFileLookup", True).parquet(f"{folder}/in")
+        reader = spark.readStream.schema(frame.schema).option("recursiveFileLookup", True)
+        stream = reader.parquet(f"{folder}/in")
         query = (
             loads.hourly_summary(stream).writeStream.format("parquet")
             .option("checkpointLocation", f"{folder}/check").trigger(availableNow=True)
@@ -87,3 +90,35 @@ def test_late_ticks_and_open_hours(spark, folder):
     assert put("a", "90000", "95959", "100500") == []
     assert put("b", "95958", "101500") == [("09", 3)]
     assert put("c", "90001", "113000") == [("09", 3), ("10", 2)]
+
+
+def test_archives_arrive_and_a_broken_one_does_not_stop_the_rest(spark, folder):
+    def put(name, *lines):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as out:
+            out.writestr("t.csv", "\n".join([",".join(RAW_TICK_COLUMNS), *lines]))
+        folder.put(f"raw/{name}", buffer.getvalue())
+
+    def line(day, volume):
+        return f"NK,F,M,2026,0,90501,T,{day},1.5,{volume}"
+
+    lake = Lake(f"{folder}/lake")
+
+    def load():
+        stream = loads.archive_stream(spark, f"{folder}/raw")
+        loads.replace_days_from_archives(stream, lake, f"{folder}/check").awaitTermination()
+        rows = spark.read.parquet(lake.summary).collect()
+        return {(str(r.TradeDateParsed), r.GroupVolume) for r in rows}
+
+    put("20260528/a.zip", line("20260528", 1))
+    put("20260529/a.zip", line("20260529", 2), line("x", 2))
+    folder.put("raw/20260601/a.zip", "broken")
+    first = {("2026-05-28", 1), ("2026-05-29", 2)}
+    assert load() == first
+    assert load() == first
+    put("20260529/b.zip", line("20260529", 5))
+    put("20260602/a.zip", line("20260602", 7))
+    assert load() == {("2026-05-28", 1), ("2026-05-29", 5), ("2026-06-02", 7)}
+    errors = spark.read.parquet(lake.file_errors).collect()
+    assert [(r.path.rpartition("raw/")[2], r.batch) for r in errors] == [("20260601/a.zip", 0)]
+    assert spark.read.parquet(lake.rejects("ticks")).count() == 1

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.functions.days import calendar_rows
 from tickloom.operators import clean
@@ -51,13 +52,22 @@ class Lake:
     def runs(self) -> str:
         return f"{self.root}/ingestion_runs"
 
-    def rejects(self, kind: str) -> str:
-        return f"{self.root}/rejects/{kind}"
+    @property
+    def file_errors(self) -> str:
+        return f"{self.root}/file_errors"
+
+    def rejects(self, kind: str, load_id: str | None = None) -> str:
+        of_kind = f"{self.root}/rejects/{kind}"
+        return of_kind if load_id is None else f"{of_kind}/load_id={load_id}"
 
 
 @dataclass(frozen=True)
 class Loaded:
-    """Result of a load: touched dates, counts, and files that could not be read."""
+    """Result of a load: touched dates, counts, and files that could not be read.
+
+    ``rows`` went to the table; ``rejected`` rows have a defect, whether or not they
+    did.
+    """
 
     dates: list[dt.date] = field(default_factory=list)
     rows: int = 0
@@ -65,30 +75,33 @@ class Loaded:
     file_errors: list[tuple[str, str]] = field(default_factory=list)
 
 
-def _load(
-    raw: DataFrame,
-    path: str,
-    reject_path: str,
-    make_clean: Callable[[DataFrame], DataFrame],
-    make_rejects: Callable[[DataFrame], DataFrame],
-    columns: list[str],
-    bad: Column,
-    cluster: bool,
-    load_id: str,
-) -> Loaded:
-    flagged = make_clean(raw)
-    watch = WriteWatch(flagged, rejected=bad, undated=F.col(DATE_KEY).isNull())
-    typed = clean.dated(watch.watched).select(*columns)
+@dataclass(frozen=True)
+class Feed:
+    """How the rows of one kind of raw file are cleaned and judged."""
+
+    schema: StructType
+    clean: Callable[..., DataFrame]
+    checks: Callable[[], dict[str, Column]]
+    rejects: Callable[[DataFrame], DataFrame]
+
+
+TICK_FEED = Feed(TICKS, clean.clean_ticks, clean.tick_checks, clean.reject_ticks)
+CANCEL_FEED = Feed(CANCELS, clean.clean_cancels, clean.cancel_checks, clean.reject_cancels)
+
+
+def _load(feed: Feed, raw: DataFrame, path: str, rejects_path: str, cluster: bool) -> Loaded:
+    flag = clean.flawed(feed.checks()).alias("_flawed")
+    cleaned = feed.clean(raw, flag)
+    watch = WriteWatch(cleaned, flawed=F.col("_flawed"), undated=F.col(DATE_KEY).isNull())
+    typed = clean.dated(watch.watched).select(*feed.schema.fieldNames())
     write_table(typed, path, cluster=cluster)
     counts = watch.counts
-    rejects = make_rejects(raw)
-    if not (counts["rejected"] or counts["undated"]):
+    rejects = feed.rejects(raw)
+    if not counts["flawed"]:
         rejects = raw.sparkSession.createDataFrame([], rejects.schema)
-    # By load, not by date: a reject may have none. Repeating a load replaces its
-    # rejects, also by none.
-    rejects.write.mode("overwrite").parquet(f"{reject_path}/load_id={load_id}")
-    dates = batch_dates(clean.dated(flagged), watch)
-    return Loaded(dates, counts["rows"] - counts["undated"], counts["rejected"])
+    rejects.write.mode("overwrite").parquet(rejects_path)
+    dates = batch_dates(clean.dated(cleaned), watch)
+    return Loaded(dates, counts["rows"] - counts["undated"], counts["flawed"])
 
 
 def load_key(listing: DataFrame) -> str | None:
@@ -100,34 +113,20 @@ def load_key(listing: DataFrame) -> str | None:
     return row.k and f"files-{row.k}"
 
 
-def load_ticks(
-    raw: DataFrame, lake: Lake, load_id: str, cluster: bool = True
-) -> Loaded:
-    """Raw ticks to the tick table, rejects and the summary of the touched dates."""
+def load_ticks(raw: DataFrame, lake: Lake, load_id: str, cluster: bool = True) -> Loaded:
+    """Raw ticks to the tick table, rejects and the summary of the touched dates.
 
-    def with_flag(rows: DataFrame) -> DataFrame:
-        return clean.clean_ticks(rows, clean.flawed(clean.tick_checks()).alias("_flawed"))
-
-    done = _load(
-        raw, lake.ticks, lake.rejects("ticks"), with_flag, clean.reject_ticks,
-        TICKS.fieldNames(), F.col("_flawed"), cluster, load_id,
-    )
+    Rejects are kept by load, not by date, as one may have none. Repeating a load
+    replaces its rejects, also by none.
+    """
+    done = _load(TICK_FEED, raw, lake.ticks, lake.rejects("ticks", load_id), cluster)
     refresh_summary(raw.sparkSession, lake, done.dates)
     return done
 
 
-def load_cancels(
-    raw: DataFrame, lake: Lake, load_id: str, cluster: bool = True
-) -> Loaded:
+def load_cancels(raw: DataFrame, lake: Lake, load_id: str, cluster: bool = True) -> Loaded:
     """Raw cancellations to their table and rejects."""
-
-    def with_flag(rows: DataFrame) -> DataFrame:
-        return clean.clean_cancels(rows, clean.flawed(clean.cancel_checks()).alias("_flawed"))
-
-    return _load(
-        raw, lake.cancels, lake.rejects("cancels"), with_flag, clean.reject_cancels,
-        CANCELS.fieldNames(), F.col("_flawed"), cluster, load_id,
-    )
+    return _load(CANCEL_FEED, raw, lake.cancels, lake.rejects("cancels", load_id), cluster)
 
 
 def refresh_summary(

@@ -258,6 +258,7 @@ FROM cancels WHERE "Amend_Code" = 'P'""",
     "tick_summary": _ROUND_TRIP,
     "csv_round_trip": _ROUND_TRIP,
     "compaction": _ROUND_TRIP,
+    "stream_archives": _ROUND_TRIP,
     "daily_load": _over_summary('SELECT * FROM summary WHERE isodow("TradeDateParsed") < 6'),
     "tick_summary_scale": _over_summary("SELECT * FROM summary", _SCALE_TICKS),
     "reaggregation": f"""

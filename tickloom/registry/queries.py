@@ -456,6 +456,19 @@ def stream_replace(spark, sf_dir):
     return spark.read.parquet(lake.summary).select(*_summary(spark, sf_dir).columns)
 
 
+@registered
+def stream_archives(spark, sf_dir):
+    """Archives of new days arrive in two deliveries; each start loads the new ones."""
+    root = fresh_dir(spark, "stream-archives")
+    raw = samples.raw_ticks(spark, sf_dir)
+    lake = daily.Lake(f"{root}/lake")
+    for n, part in enumerate(["Trade_Date < '20240116'", "Trade_Date >= '20240116'"]):
+        samples.write_raw_zone(raw.where(part), f"{root}/in/delivery{n}")
+        stream = loads.archive_stream(spark, f"{root}/in")
+        loads.replace_days_from_archives(stream, lake, f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(lake.summary).select(*_summary(spark, sf_dir).columns)
+
+
 @registered
 def stream_hourly(spark, sf_dir):
     """Hours closed by the watermark, from a stream of tick files."""

@@ -60,4 +60,9 @@ FILE_RESULTS = T.ArrayType(
     _fields(("filename", _S), ("status", _S), ("error", _S), ("info", _S))
 )
 
+# Columns of Spark's file listing source.
+BINARY_FILE = _fields(
+    ("path", _S), ("modificationTime", T.TimestampType()), ("length", _L),
+    ("content", T.BinaryType()),
+)
 LISTING = _fields(("path", _S), ("length", _L), ("modificationTime", T.TimestampType()))

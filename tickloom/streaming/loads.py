@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.clean import clean_ticks, dated
 from tickloom.operators.rollup import tick_summary
 from tickloom.plans.daily import Lake, load_ticks
-from tickloom.schemas import DATE_KEY, RAW_TICKS, SUMMARY
+from tickloom.schemas import BINARY_FILE, DATE_KEY, LISTING, RAW_TICKS, SUMMARY
+from tickloom.sources.archives import read_zipped_ticks
 
 
 def tick_stream(spark: SparkSession, folder: str, per_batch: int | None = None) -> DataFrame:
@@ -56,6 +57,40 @@ def replace_days(raw: DataFrame, lake: Lake, checkpoint: str) -> StreamingQuery:
     )
 
 
+def archive_stream(spark: SparkSession, raw_root: str, per_batch: int | None = None) -> DataFrame:
+    """Stream of tick archives arriving in the raw zone, as a listing.
+
+    Only the listing's columns are selected, so contents are not read here.
+    """
+    reader = (
+        spark.readStream.format("binaryFile").schema(BINARY_FILE)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip")
+    )
+    if per_batch:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
+    return reader.load(raw_root).select(*LISTING.fieldNames())
+
+
+def replace_days_from_archives(
+    archives: DataFrame, lake: Lake, checkpoint: str
+) -> StreamingQuery:
+    """Load new archives as they arrive; each replaces the dates it holds.
+
+    A damaged archive is listed below ``file_errors`` of the lake and does not hold
+    up the others; it is picked up again when it is delivered under a new name.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        read = read_zipped_ticks(batch)
+        load_ticks(read.rows.drop("path", "member"), lake, f"archives-{batch_id}", cluster=False)
+        read.errors.write.mode("overwrite").parquet(f"{lake.file_errors}/batch={batch_id}")
+
+    return (
+        archives.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def hourly_summary(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Running summary of a tick stream per event-time hour.
 
