@@ -12,7 +12,14 @@ from tickloom import cli
 from tickloom.operators.rollup import tick_summary
 from tickloom.operators.runs import requested_days
 from tickloom.plans import backfill as ranges
-from tickloom.plans.daily import Lake, load_ticks, refresh_summary, run_cancel_load, run_tick_load
+from tickloom.plans.daily import (
+    Lake,
+    load_ticks,
+    refresh_summary,
+    register_views,
+    run_cancel_load,
+    run_tick_load,
+)
 from tickloom.schemas import CANCELS, RAW_CANCEL_COLUMNS, RAW_TICK_COLUMNS, SUMMARY, TICKS
 from tickloom.sinks import serving
 from tickloom.sources.tables import read_summary_csv
@@ -123,6 +130,20 @@ def test_cancels(spark, zone, lake):
     assert sorted(r.Price for r in table.collect()) == [10.5, 11.0]
 
 
+def test_sql_over_the_tables(spark, zone, lake):
+    run_tick_load(spark, f"{zone}/raw", lake, days(spark))
+    run_cancel_load(spark, f"{zone}/raw", lake, days(spark))
+    register_views(spark, lake)
+    total = """
+        SELECT sum(GroupVolume) AS volume FROM ticks_summary
+        WHERE TradeDateParsed BETWEEN :first AND :last AND array_contains(:symbols, Symbol)
+    """
+    chosen = {"first": FRIDAY, "last": MONDAY, "symbols": F.array(F.lit("NK"), F.lit("it's"))}
+    assert spark.sql(total, args=chosen).first().volume == 8
+    assert spark.sql("SELECT count(*) AS n FROM ticks").first().n == 5
+    assert spark.sql("SELECT max(Price) AS p FROM trade_cancellations").first().p == 11.0
+
+
 def test_summary_as_text(spark, zone, lake):
     done = run_tick_load(spark, f"{zone}/raw", lake, days(spark))
     refresh_summary(spark, lake, done.dates, as_csv=True)
@@ -167,7 +188,7 @@ def test_serving_update_and_reload(spark, zone, lake, folder, monkeypatch):
     def refresh(df, *_, **__):
         df.write.mode("overwrite").parquet(table)
 
-    monkeypatch.setattr(serving, "read_serving", lambda *_, **__: spark.read.parquet(table))
+    monkeypatch.setattr(serving, "read_whole_serving", lambda *_, **__: spark.read.parquet(table))
     monkeypatch.setattr(serving, "refresh_serving", refresh)
     monkeypatch.setattr(ranges, "refresh_serving", refresh)
     ranges.update_serving(spark, lake, [MONDAY], url="jdbc:x", table="t")

@@ -14,6 +14,7 @@ from tickloom.schemas import DATE_KEY, RUN_LOG, SUMMARY
 from tickloom.session import settings
 from tickloom.sinks import serving, tables, upkeep
 from tickloom.sources.files import list_files
+from tickloom.sources import tables as stored
 from tickloom.sources.tables import read_serving, read_summary_csv
 
 SF = "/root/testdata/sf0.001"
@@ -176,7 +177,9 @@ class StoredTable:
 
     def __init__(self, spark, path, monkeypatch):
         self.spark, self.path = spark, path
-        monkeypatch.setattr(serving, "read_serving", lambda *_, **__: spark.read.parquet(path))
+        monkeypatch.setattr(
+            serving, "read_whole_serving", lambda *_, **__: spark.read.parquet(path)
+        )
         monkeypatch.setattr(
             serving, "refresh_serving", lambda df, *_, **__: df.write.mode("overwrite").parquet(path)
         )
@@ -230,3 +233,16 @@ def test_jdbc_options():
     read_serving(Session, "jdbc:x", "t", dt.date(2024, 1, 1), dt.date(2024, 1, 31), user="u")
     assert Session.read.seen["options"]["partitionColumn"] == DATE_KEY
     assert Session.read.seen["options"]["lowerBound"] == "2024-01-01"
+
+
+def test_serving_is_read_in_slices_of_its_own_range(spark, summary, monkeypatch):
+    calls = []
+
+    def read(_, url, table, first=None, last=None, **options):
+        calls.append((first, last, options))
+        return summary
+
+    monkeypatch.setattr(stored, "read_serving", read)
+    assert stored.read_whole_serving(spark, "jdbc:x", "t", user="u") is summary
+    span = (dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+    assert calls == [(None, None, {"user": "u"}), (*span, {"user": "u"})]

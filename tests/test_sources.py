@@ -122,6 +122,16 @@ def test_archives_with_same_member_and_a_broken_one(spark, folder):
     assert "BadZipFile" in bad["c.zip"] and "no member" in bad["e.zip"]
 
 
+def test_members_of_one_name_in_one_archive(spark, folder):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as out, pytest.warns(UserWarning):
+        out.writestr("t.csv", text(tick(comm="A")))
+        out.writestr("t.csv", text(tick(comm="B")))
+    folder.put("a.zip", buffer.getvalue())
+    read = read_zipped_ticks(list_files(spark, folder, "*.zip"))
+    assert sorted(r.Comm for r in read.rows.collect()) == ["A", "B"]
+
+
 def test_archive_rows_equal_unpacked_rows(spark, folder):
     lines = [tick(comm=f'"A,{i}"' if i % 3 else "B", clock=str(i)) for i in range(500)]
     content = text(*lines, "", "short,row")

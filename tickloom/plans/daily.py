@@ -104,6 +104,14 @@ def _load(feed: Feed, raw: DataFrame, path: str, rejects_path: str, cluster: boo
     return Loaded(dates, counts["rows"] - counts["undated"], counts["flawed"])
 
 
+def register_views(spark: SparkSession, lake: Lake) -> None:
+    """Make the published tables known to SQL under their usual names."""
+    for name, path in {
+        "ticks": lake.ticks, "trade_cancellations": lake.cancels, "ticks_summary": lake.summary,
+    }.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+
+
 def load_key(listing: DataFrame) -> str | None:
     """Name of a load that reads these files, the same whenever it reads them.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from tickloom.operators.replace import replace_dates
 from tickloom.schemas import DATE_KEY
 from tickloom.session import fresh_dir
-from tickloom.sources.tables import read_serving
+from tickloom.sources.tables import read_whole_serving
 
 CONNECTIONS = 8
 BATCH_ROWS = 10_000
@@ -51,5 +51,5 @@ def replace_serving(
     batch: DataFrame, url: str, table: str, key: str = DATE_KEY, **options: str
 ) -> None:
     """Exchange the rows of the batch's dates. Running it twice changes nothing more."""
-    target = read_serving(batch.sparkSession, url, table, **options)
+    target = read_whole_serving(batch.sparkSession, url, table, **options)
     refresh_serving(staged_replacement(target, batch, key), url, table, **options)

@@ -26,7 +26,7 @@ LARGE_MEMBER = 256 << 20
 # Blocks of a large member that stay together when it is spread, about 32 MB.
 BLOCKS_PER_PART = 32
 
-_CATALOG = "path string, member string, size long, header string, error string"
+_CATALOG = "path string, slot int, member string, size long, header string, error string"
 _BLOCKS = "path string, member string, part int, block string"
 
 
@@ -38,12 +38,15 @@ class ArchiveRead:
     errors: DataFrame
 
 
-def archive_members(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
-    """One row per member ending in ``suffix``: its size, header and any defect.
+def archive_members(
+    listing: DataFrame, suffix: str = ".csv", verify: bool = True
+) -> DataFrame:
+    """One row per member ending in ``suffix``: its place, size, header and any defect.
 
     Every member is unpacked once to test its checksum, so that a damaged one is
     known before any of its rows are used. One bad member, or one without the
-    needed columns, rules out its archive: a day is loaded whole or reported.
+    needed columns, rules out its archive: a day is loaded whole or reported. Without
+    ``verify`` members are unpacked only once, and a damaged one fails the load.
     """
 
     def inspect(row: dict):
@@ -51,30 +54,31 @@ def archive_members(listing: DataFrame, suffix: str = ".csv") -> DataFrame:
         try:
             system, path = locate(row["path"])
             with system.open_input_file(path) as file, zipfile.ZipFile(file) as archive:
-                for info in archive.infolist():
+                for slot, info in enumerate(archive.infolist()):
                     if not info.filename.endswith(suffix):
                         continue
                     with archive.open(info) as stream:
                         header = first_line(stream)
-                        while stream.read(CHUNK):
+                        while verify and stream.read(CHUNK):
                             pass
                     if header and (missing := Layout(header, ",").lacks(RAW_TICK_COLUMNS)):
                         raise ValueError(f"{info.filename} lacks {missing}")
-                    found.append((info.filename, info.file_size, header))
+                    found.append((slot, info.filename, info.file_size, header))
         except Exception as problem:  # any damage is reported as a row
             found, error = [], f"{type(problem).__name__}: {problem}"
         if not found:
-            found, error = [(None, None, None)], error or f"no member ending in {suffix}"
-        members, sizes, headers = zip(*found)
+            found, error = [(None, None, None, None)], error or f"no member ending in {suffix}"
+        slots, members, sizes, headers = zip(*found)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([row["path"]] * len(found), pa.string()),
+                pa.array(slots, pa.int32()),
                 pa.array(members, pa.string()),
                 pa.array(sizes, pa.int64()),
                 pa.array(headers, pa.string()),
                 pa.array([error] * len(found), pa.string()),
             ],
-            names=["path", "member", "size", "header", "error"],
+            names=["path", "slot", "member", "size", "header", "error"],
         )
 
     return listing.select("path").mapInArrow(per_row(inspect), _CATALOG)
@@ -91,7 +95,8 @@ def member_blocks(members: DataFrame) -> DataFrame:
     def unpack(row: dict):
         system, path = locate(row["path"])
         with system.open_input_file(path) as file, zipfile.ZipFile(file) as archive:
-            with archive.open(row["member"]) as stream:
+            # By place: two members of an archive may have the same name.
+            with archive.open(archive.infolist()[row["slot"]]) as stream:
                 for at, block in enumerate(after_first_line(text_blocks(stream))):
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -103,7 +108,7 @@ def member_blocks(members: DataFrame) -> DataFrame:
                         names=["path", "member", "part", "block"],
                     )
 
-    return members.select("path", "member").mapInArrow(per_row(unpack), _BLOCKS)
+    return members.select("path", "slot", "member").mapInArrow(per_row(unpack), _BLOCKS)
 
 
 def parsed_blocks(blocks: DataFrame, layout: Layout) -> DataFrame:
@@ -118,7 +123,9 @@ def parsed_blocks(blocks: DataFrame, layout: Layout) -> DataFrame:
     return lines.select("path", "member", F.inline(F.array(record)))
 
 
-def read_zipped_ticks(listing: DataFrame, large: int = LARGE_MEMBER) -> ArchiveRead:
+def read_zipped_ticks(
+    listing: DataFrame, large: int = LARGE_MEMBER, verify: bool = True
+) -> ArchiveRead:
     """Raw ticks of all listed archives, with their ``path`` and ``member``.
 
     The catalog of members is written before it is used: rows, errors and later
@@ -126,7 +133,7 @@ def read_zipped_ticks(listing: DataFrame, large: int = LARGE_MEMBER) -> ArchiveR
     """
     spark = listing.sparkSession
     catalog_path = fresh_dir(spark, "archive-catalog")
-    archive_members(listing).write.parquet(catalog_path)
+    archive_members(listing, verify=verify).write.parquet(catalog_path)
     catalog = spark.read.parquet(catalog_path)
     errors = catalog.where("error is not null").select("path", "error")
     good = catalog.where("error is null and header is not null")

@@ -9,6 +9,9 @@ from pyspark.sql.types import StructType
 
 from tickloom.schemas import DATE_KEY, SUMMARY
 
+# Rows a connection fetches at a time; some drivers fetch all of them by default.
+FETCH_ROWS = 10_000
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -59,10 +62,19 @@ def read_serving(
     Filters, column selection, aggregates and limits on the result run in the
     database where Spark can push them.
     """
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    settings = {"url": url, "dbtable": table, "fetchsize": str(FETCH_ROWS), **options}
+    reader = spark.read.format("jdbc").options(**settings)
     if first and last:
         reader = reader.options(
             partitionColumn=DATE_KEY, lowerBound=str(first), upperBound=str(last),
             numPartitions=str(slices),
         )
     return reader.load()
+
+
+def read_whole_serving(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
+    """All rows of the serving table, in parallel slices over its own date range."""
+    span = read_serving(spark, url, table, **options).agg(
+        F.min(DATE_KEY).alias("first"), F.max(DATE_KEY).alias("last")
+    ).first()
+    return read_serving(spark, url, table, span.first, span.last, **options)
