@@ -6,6 +6,7 @@ import zipfile
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tickloom.operators.clean import clean_cancels, clean_ticks, dated, reject_ticks
 from tickloom.operators.runs import requested_days
@@ -153,6 +154,14 @@ def test_archives_with_two_layouts(spark, folder):
     assert cells_of(read.rows) == [tuple(tick(comm="CN").split(",")), tuple(tick().split(","))]
 
 
+def test_each_member_has_its_own_task(spark, folder):
+    for i in range(12):
+        folder.put(f"{i}/a.zip", archive(t_csv=text(tick(comm=f"A{i}"))))
+    read = read_zipped_ticks(list_files(spark, folder, "*.zip"))
+    per_task = read.rows.groupBy(F.spark_partition_id()).count().collect()
+    assert [r["count"] for r in per_task] == [1] * 12
+
+
 def test_large_members_are_spread(spark, folder):
     folder.put("a.zip", archive(t_csv=text(*[tick(comm=f"A{i}") for i in range(3000)])))
     folder.put("b.zip", archive(t_csv=text(tick())))
