@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A task that writes few dates keeps a file open for each instead of sorting.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 # For many terabytes; see README "Running at scale". A submission's own values win.
