@@ -6,18 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import near_dup
+from tickloom.llm import contamination, near_dup
 from tickloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"
+    )
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_near_duplicates,)}
+    return {f.__name__: f for f in (op4_decontamination, op6_near_duplicates)}
 
 
 def all_sql() -> dict[str, str]:
