@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickloom.llm.frames import rows_of
 from tickloom.llm.text import LETTERED, raw_texts, slices, words
 
 WINDOW = 10
@@ -211,7 +212,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     Texts that are null or without words have zeros; items without id, text or words take no
     part; equal item ids count once; an empty benchmark leaves everything clean.
     """
-    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    frame = docs.select(rows_of(docs))
     blocks = _blocks(benchmark, block_bytes)
     this = next(blocks)
     opened = False

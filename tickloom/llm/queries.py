@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import contamination, near_dup
+from tickloom.llm import contamination, language, near_dup
 from tickloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +25,15 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identified(docs.select("doc_id", "text"), language.learned(docs))
+    found = found.select("row.doc_id", "lang_pred", "score", "rejected")
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_decontamination, op6_near_duplicates)}
+    return {f.__name__: f for f in (op4_decontamination, op6_near_duplicates, op10_language_id)}
 
 
 def all_sql() -> dict[str, str]:
