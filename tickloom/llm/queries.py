@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import contamination, language, near_dup
+from tickloom.llm import contamination, language, near_dup, pieces
 from tickloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encoded(docs, pieces.vocabulary())
+    return found.select("row.doc_id", "n_tokens", "n_bytes", "exact", "tokens")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identified(docs.select("doc_id", "text"), language.learned(docs))
@@ -33,7 +39,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_decontamination, op6_near_duplicates, op10_language_id)}
+    return {f.__name__: f for f in (op4_decontamination, op6_near_duplicates, op8_sentencepiece, op10_language_id)}
 
 
 def all_sql() -> dict[str, str]:
