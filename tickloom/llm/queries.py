@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import contamination, language, near_dup, pieces
+from tickloom.llm import contamination, language, near_dup, passages, pieces
 from tickloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -39,7 +43,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_decontamination, op6_near_duplicates, op8_sentencepiece, op10_language_id)}
+    return {f.__name__: f for f in (
+        op2_passages, op4_decontamination, op6_near_duplicates, op8_sentencepiece, op10_language_id,
+    )}
 
 
 def all_sql() -> dict[str, str]:
