@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import contamination, language, near_dup, passages, pieces
+from tickloom.llm import contamination, language, near_dup, neighbours, passages, pieces
 from tickloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pieces.encoded(docs, pieces.vocabulary())
@@ -44,7 +48,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_passages, op4_decontamination, op6_near_duplicates, op8_sentencepiece, op10_language_id,
+        op2_passages, op4_decontamination, op6_near_duplicates, op7_neighbours,
+        op8_sentencepiece, op10_language_id,
     )}
 
 
