@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import contamination, language, near_dup, neighbours, passages, pieces
+from tickloom.llm import chat, contamination, language, near_dup, neighbours, passages, pieces, warc
 from tickloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,13 @@ def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passages(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table has no capture times; pages are taken to have been captured a second apart.
+    seconds = F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce(F.col("page_id"), F.lit(0)))
+    date = F.date_format(seconds, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return warc.archived(table(spark, sf_dir, "pages"), date).drop("position")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
@@ -39,6 +47,15 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_tokens", "n_bytes", "exact", "tokens")
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    return chat.read_back(chat.formatted(chat.text_parts(rows.unionByName(added))))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identified(docs.select("doc_id", "text"), language.learned(docs))
@@ -48,10 +65,44 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_passages, op4_decontamination, op6_near_duplicates, op7_neighbours,
-        op8_sentencepiece, op10_language_id,
+        op2_passages, op3_warc_merge, op4_decontamination, op6_near_duplicates, op7_neighbours,
+        op8_sentencepiece, op9_chat_format, op10_language_id,
     )}
 
 
+OP3_SQL = """
+WITH captures AS (
+    SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), originals AS (
+    SELECT payload_digest, min(page_id) AS original FROM captures WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN original IS NOT NULL AND page_id IS DISTINCT FROM original THEN 'revisit' ELSE 'response' END
+           AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM original THEN original END AS refers_to
+FROM captures LEFT JOIN originals USING (payload_digest)
+"""
+
+OP9_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(
+           length('<|im_start|>' || regexp_replace(
+               replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g'
+           ) || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10))
+       ) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc_merge": OP3_SQL, "op9_chat_format": OP9_SQL}
