@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, contamination, language, near_dup, neighbours, passages, pieces, warc
+from tickloom.llm import (
+    chat, contamination, language, licenses, near_dup, neighbours, passages, pieces, quality, warc,
+)
 from tickloom.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passages(table(spark, sf_dir, "documents"))
 
@@ -33,6 +39,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vectors = quality.word_vectors(docs)
+    network = quality.fit(docs, table(spark, sf_dir, "labels"), vectors)
+    found = quality.scored(docs, network, vectors).select("row.doc_id", "score", "predicted")
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -65,8 +79,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_passages, op3_warc_merge, op4_decontamination, op6_near_duplicates, op7_neighbours,
-        op8_sentencepiece, op9_chat_format, op10_language_id,
+        op1_license_scan, op2_passages, op3_warc_merge, op4_decontamination, op5_quality,
+        op6_near_duplicates, op7_neighbours, op8_sentencepiece, op9_chat_format, op10_language_id,
     )}
 
 
