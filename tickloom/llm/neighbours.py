@@ -32,7 +32,7 @@ SAMPLE = 20_000
 LEAF = 64
 #: Leaves are opened until the sum of their shares of the vectors, over all trees, is this.
 #: Vectors without any clusters need that much for a recall of 0.9 and more.
-OPENED = 1.2
+OPENED = 2.0
 BLOCK = 8192
 QUERY_BLOCK = 1024
 _U64 = np.uint64
