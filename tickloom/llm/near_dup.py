@@ -7,9 +7,9 @@ of equal registers, corrected for collisions, estimates their Jaccard similarity
 that may pass are verified on their full sets. Linked texts form components.
 
 Equal sets are one class from the start. Within a band's bucket each class is compared
-with one hub, so a bucket of any size costs a row per class. Where a bucket still spans
-several components afterwards, classes of different components in it are compared too, so
-that no link that the bands find is lost.
+with one hub, so a bucket of any size costs a row per class. Where buckets span several
+components afterwards, the classes outside the largest one are compared with all others, in
+blocks, so that no link that the bands find is lost.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +29,16 @@ from tickloom.llm.text import long_lists, mix, raw_texts, shingle_sets, slices
 
 _U64 = np.uint64
 MANTISSA_BITS = 10
+#: Classes in a block, about, where those of large groups are compared with each other.
+BLOCK = 512
 
 
 @dataclass(frozen=True)
 class Banding:
     """At similarity s a pair shares no band with probability (1 - s**rows)**bands."""
 
-    rows: int = 6
-    bands: int = 48
+    rows: int = 5
+    bands: int = 40
     words: int = 5
     percent: int = 75
     #: Pairs whose estimate is below are not verified; ten standard deviations of the
@@ -121,7 +124,7 @@ def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarr
 
 
 def sketches(docs: DataFrame, banding: Banding, id_column: str = "doc_id") -> DataFrame:
-    """(id, n_shingles, set_id, registers, keys): set_id is a 128-bit digest of the full set."""
+    """(id, n_shingles, set_id, registers): set_id is a 128-bit digest of the full set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,19 +144,36 @@ def sketches(docs: DataFrame, banding: Banding, id_column: str = "doc_id") -> Da
                         pa.array(counts, pa.int64()),
                         pa.array([d.tobytes() for d in np.ascontiguousarray(digest.T)], pa.binary()),
                         pa.array([r.tobytes() for r in rows], pa.binary()),
-                        long_lists(
-                            np.ascontiguousarray(band_keys(rows, banding)).reshape(-1),
-                            np.arange(len(rows) + 1) * banding.bands,
-                        ),
                     ],
-                    names=["id", "n_shingles", "set_id", "registers", "keys"],
+                    names=["id", "n_shingles", "set_id", "registers"],
                 )
 
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(
-        work, "id long, n_shingles long, set_id binary, registers binary, keys array<long>"
+        work, "id long, n_shingles long, set_id binary, registers binary"
     )
 
 
+def _registers(column: pa.Array, buckets: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, buckets)
+
+
+def banded(sketched: DataFrame, banding: Banding) -> DataFrame:
+    """(key, id): the key of each band of each sketch."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = band_keys(_registers(batch.column(1), banding.buckets), banding)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.ascontiguousarray(keys).reshape(-1).view(np.int64)),
+                    batch.column(0).take(pa.array(np.repeat(np.arange(len(keys)), banding.bands))),
+                ],
+                names=["key", "id"],
+            )
+
+    return sketched.select("id", "registers").mapInArrow(work, "key long, id long")
+
+
 def full_sets(docs: DataFrame, n: int, id_column: str = "doc_id") -> DataFrame:
     """(id, shingles): the sorted distinct shingles of each whole text."""
 
@@ -180,9 +200,7 @@ def plausible(pairs: DataFrame, sketched: DataFrame, banding: Banding) -> DataFr
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows_a, rows_b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, buckets) for c in (2, 3)
-            )
+            rows_a, rows_b = (_registers(batch.column(c), buckets) for c in (2, 3))
             size_a, size_b = (batch.column(c).to_numpy(zero_copy_only=False) for c in (4, 5))
             keep = estimates(rows_a, rows_b, size_a, size_b) >= least
             yield pa.RecordBatch.from_arrays(
@@ -210,39 +228,108 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _torn(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id, component) of the buckets that span several components."""
+    labelled = members.select("key", "id").join(found, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")
+    )
+    torn = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
+    return written(labelled.join(torn.select("key"), "key"), "torn-buckets")
+
+
+def _to_hubs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's hub and its members of other components.
+
+    The hub is the member that shares buckets with most others, ties to the smaller id: in
+    a group of copies of one text that is most likely the text they were copied from.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    degrees = members.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("degree"))
+    ranked = members.join(degrees, "id")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("back"), "component")).alias("hub"))
+    return (
+        members.join(hubs, "key").where("component <> hub.component")
+        .select((-F.col("hub.back")).alias("hub"), "id")
+        .select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    )
+
+
+def _alike(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between the outliers and the others of a group, where components differ."""
+    outliers, others = frame[frame["outlier"]], frame[~frame["outlier"]]
+    pairs: list[tuple] = []
+    if len(outliers) and len(others):
+        sets = [np.asarray(s, np.int64) for s in others["shingles"]]
+        sizes = np.array([len(s) for s in sets])
+        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        known, number = np.unique(np.concatenate(sets), return_inverse=True)
+        ids, components = others["id"].to_numpy(), others["component"].to_numpy()
+        for a, component, shingles in zip(outliers["id"], outliers["component"], outliers["shingles"], strict=True):
+            values = np.asarray(shingles, np.int64)
+            near = np.minimum(np.searchsorted(known, values), len(known) - 1)
+            held = np.zeros(len(known), np.int64)
+            held[near[known[near] == values]] = 1
+            common = np.add.reduceat(held[number], first)
+            good = (100 * common >= percent * (len(values) + sizes - common)) & (components != component)
+            pairs += [(min(a, b), max(a, b)) for b in ids[good].tolist()]
+    return pd.DataFrame(pairs, columns=["a", "b"], dtype=np.int64)
+
+
+def _across(torn: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that still share buckets.
+
+    Ids that torn buckets connect make up a group. The largest component of a group is
+    settled within itself; ids outside of it, its outliers, are compared with all of the
+    group on their full sets. Both sides are dealt into blocks and each pair of blocks is a
+    task's group, from which only links come out; few outliers cost few copies of a row,
+    however large the group.
+    """
+    lowest = torn.groupBy("key").agg(F.min("id").alias("low"))
+    groups = connected(torn.join(lowest, "key").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
+    placed = written(
+        torn.select("id", "component").distinct().join(groups.withColumnRenamed("component", "group"), "id"), "groups"
+    )
+    parts = placed.groupBy("group", "component").agg(F.count("*").alias("n"))
+    shape = parts.groupBy("group").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("largest"))
+    rows = placed.join(sets, "id").join(shape, "group").select(
+        "group", "id", "component", "shingles", (F.col("component") != F.col("largest.component")).alias("stray"),
+        F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).cast("int").alias("stray_blocks"),
+    )
+    every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    block = lambda count: F.expr(f"cast(pmod(xxhash64(id, '{count}'), {count}) as int)")
+    columns = ["group", "block", "stray_block", "outlier", "id", "component", "shingles"]
+    others = rows.withColumn("block", block("blocks")).withColumn("stray_block", F.explode(every("stray_blocks")))
+    strays = rows.where("stray").withColumn("stray_block", block("stray_blocks")).withColumn(
+        "block", F.explode(every("blocks"))
+    )
+    both = others.withColumn("outlier", F.lit(False)).select(columns).unionByName(
+        strays.withColumn("outlier", F.lit(True)).select(columns)
+    )
+    return both.groupBy("group", "block", "stray_block").applyInPandas(
+        lambda frame: _alike(frame, percent), "a long, b long"
+    )
+
+
 def linked(docs: DataFrame, sketched: DataFrame, banding: Banding) -> DataFrame:
     """Components (id, component) of the classes of equal sets; ids without a link are left out.
 
     ``sketched`` holds one row per class, ``docs`` at least the text of each class's id.
     """
-    keyed = sketched.where("n_shingles > 0").select("id", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
-    members = written(keyed.join(hubs.select("key", "hub"), "key"), "bucket-members")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        candidates = written(plausible(pairs, sketched, banding), "candidates")
-        wanted = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct()
-        sets = written(full_sets(docs.join(wanted, "doc_id", "left_semi"), banding.words), "sets")
-        return verified(candidates, sets, banding.percent)
-
-    edges = written(
-        confirm(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()), "edges"
-    )
+    keyed = banded(sketched, banding)
+    shared = keyed.groupBy("key").agg(F.min("id").alias("id1"), F.max("id").alias("id2")).where("id1 <> id2")
+    members = written(keyed.join(shared.select("key"), "key"), "bucket-members")
+    wanted = written(members.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
+    with_text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    sets = written(full_sets(with_text.join(wanted, "doc_id", "left_semi"), banding.words), "sets")
+
+    pairs = written(_to_hubs(members.withColumn("component", F.col("id"))), "pairs")
+    edges = written(verified(plausible(pairs, sketched, banding), sets, banding.percent), "edges")
     found = connected(edges)
-    # Buckets that still span several components: compare across these.
-    labelled = members.join(found, "id", "left").select(
-        "key", "hub", "id", F.coalesce("component", "id").alias("component")
-    )
-    torn = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    rest = written(labelled.join(torn.select("key"), "key"), "torn-buckets")
-    across = (
-        rest.select("key", F.col("id").alias("a"), F.col("component").alias("c_a"), "hub")
-        .join(rest.select("key", F.col("id").alias("b"), F.col("component").alias("c_b")), "key")
-        .where("c_a < c_b AND a <> hub AND b <> hub")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    more = written(confirm(across), "edges")
-    return connected(edges.unionByName(more))
+    torn = _torn(members, found)
+    if torn.isEmpty():
+        return found
+    return connected(edges.unionByName(written(_across(torn, sets, banding.percent), "edges")))
 
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
@@ -254,15 +341,16 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     document. A null doc_id is in no component and kept. Other columns are not read.
     """
     every = written(sketches(docs, banding), "sketches")
-    classes = (
-        every.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_id")
-        .agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    # One sketch of each class, that of its smallest id.
+    classes = written(
+        every.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_id").agg(
+            F.min("id").alias("id"), F.max("id").alias("last_id"),
+            F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"),
+        ),
+        "classes",
     )
-    # One sketch of each class.
-    chosen = every.join(classes.select("set_id", F.col("first_id").alias("id")), ["set_id", "id"], "left_semi")
-    sketched = written(chosen, "class-sketches")
-    found = written(linked(docs, sketched, banding), "components")
-    copies = classes.where("first_id <> last_id").select("set_id", "first_id")
+    found = written(linked(docs, classes.select("id", "n_shingles", "registers"), banding), "components")
+    copies = classes.where("id <> last_id").select("set_id", F.col("id").alias("first_id"))
     return (
         every.select("id", "n_shingles", "set_id").join(copies, "set_id", "left")
         .withColumn("class_id", F.coalesce("first_id", "id"))
