@@ -31,6 +31,8 @@ MARKER = "▁"
 UNKNOWN_COST = 10.0
 #: Longer units are segmented one by one.
 LONG_UNIT = 200
+#: A worker remembers so many units at most, and starts anew beyond them.
+KEPT_UNITS = 400_000
 
 
 @dataclass
@@ -102,6 +104,7 @@ class Vocabulary:
     def __post_init__(self) -> None:
         self.unknown = float(self.scores.min()) - UNKNOWN_COST
         self.spelled = np.frombuffer(b"".join(self.spellings), np.uint8)
+        self.key = hash((tuple(self.spellings), self.scores.tobytes()))
         self.spelled_first = np.concatenate([[0], np.cumsum([len(s) for s in self.spellings])]).astype(np.int64)
 
 
@@ -245,34 +248,49 @@ def _spans(first: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(starts[-1]) + np.repeat(first[chosen] - starts[:-1], counts), starts
 
 
+class _Seen:
+    """Units segmented so far by a worker, to be used again by later slices and tasks."""
+
+    def __init__(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.pieces = np.zeros(0, np.int32)
+        self.first = np.zeros(1, np.int64)
+
+    def learn(self, units: set[bytes], vocab: Vocabulary) -> None:
+        # Long units would make every step of the common segmentation last long.
+        short = [u for u in units if len(u) <= LONG_UNIT]
+        self._add(short, *segment(short, vocab))
+        for unit in units:
+            if len(unit) > LONG_UNIT:
+                self._add([unit], *segment([unit], vocab))
+
+    def _add(self, units: list[bytes], pieces: np.ndarray, first: np.ndarray) -> None:
+        known = len(self.index)
+        self.index.update(zip(units, range(known, known + len(units)), strict=True))
+        self.pieces = np.concatenate([self.pieces, pieces.astype(np.int32)])
+        self.first = np.concatenate([self.first, self.first[-1] + first[1:]])
+
+
+_seen: dict[int, _Seen] = {}
+
+
 def encode(texts: Sequence[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of all texts, and where each text's begin. An empty text has none."""
-    index: dict[bytes, int] = {}
-    chosen: list[int] = []
+    seen = _seen.setdefault(vocab.key, _Seen())
+    units: list[bytes] = []
     first = [0]
     for text in texts:
         if text:
-            chosen.extend([index.setdefault(u, len(index)) for u in vocab.units.findall(b" " + text)])
-        first.append(len(chosen))
-    units = list(index)
-    # Long units would make every step of the common segmentation last long.
-    long = {i for i, u in enumerate(units) if len(u) > LONG_UNIT}
-    short = [u for i, u in enumerate(units) if i not in long]
-    pieces, starts = segment(short, vocab)
-    if long:
-        parts, counts = [], np.zeros(len(units), np.int64)
-        singles = {i: segment([units[i]], vocab)[0] for i in long}
-        place = 0
-        for i in range(len(units)):
-            part = singles.get(i)
-            if part is None:
-                part = pieces[starts[place]: starts[place + 1]]
-                place += 1
-            parts.append(part)
-            counts[i] = len(part)
-        pieces, starts = np.concatenate(parts), np.concatenate([[0], np.cumsum(counts)])
-    places, spread = _spans(starts, np.array(chosen, np.int64))
-    return pieces[places], spread[np.array(first)]
+            units += vocab.units.findall(b" " + text)
+        first.append(len(units))
+    new = set(units).difference(seen.index)
+    if len(seen.index) + len(new) > KEPT_UNITS:
+        seen = _seen[vocab.key] = _Seen()
+        new = set(units)
+    seen.learn(new, vocab)
+    chosen = np.fromiter(map(seen.index.__getitem__, units), np.int64, len(units))
+    places, spread = _spans(seen.first, chosen)
+    return seen.pieces[places], spread[np.array(first)]
 
 
 def decode_bytes(pieces: np.ndarray, first: np.ndarray, vocab: Vocabulary) -> list[bytes]:
