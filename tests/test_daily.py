@@ -1,6 +1,7 @@
 """Whole loads over small raw zones."""
 
 import datetime as dt
+import decimal
 import io
 import pathlib
 import zipfile
@@ -22,7 +23,7 @@ from tickloom.plans.daily import (
 )
 from tickloom.schemas import CANCELS, RAW_CANCEL_COLUMNS, RAW_TICK_COLUMNS, SUMMARY, TICKS
 from tickloom.sinks import serving
-from tickloom.sources.tables import read_summary_csv
+from tickloom.sources.tables import read_or_empty, read_summary_csv
 
 FRIDAY, MONDAY, TUESDAY = dt.date(2026, 5, 29), dt.date(2026, 6, 1), dt.date(2026, 6, 2)
 
@@ -81,7 +82,7 @@ EXPECTED = {(FRIDAY, "NK", "09"): 6, (FRIDAY, "CN", "10"): 5, (MONDAY, "NK", "09
 def test_load_skips_broken_days_and_reports(spark, zone, lake):
     done = run_tick_load(spark, f"{zone}/raw", lake, days(spark))
     assert (done.dates, done.rows, done.rejected) == ([FRIDAY, MONDAY], 5, 1)
-    assert [p.rpartition("/")[2] for p, _ in done.file_errors] == [f"WEBPXTICK_DT_{key(TUESDAY)}.zip"]
+    assert [r.path.rpartition("/")[2] for r in done.file_errors.collect()] == [f"WEBPXTICK_DT_{key(TUESDAY)}.zip"]
     assert volumes(spark, lake) == EXPECTED
     ticks = spark.read.parquet(lake.ticks)
     assert sorted(ticks.columns) == sorted(TICKS.fieldNames())
@@ -102,10 +103,45 @@ def test_repeated_and_corrected_loads(spark, zone, lake):
     assert done.dates == [MONDAY]
     assert volumes(spark, lake) == {**EXPECTED, (MONDAY, "NK", "09"): 9}
     run_tick_load(spark, f"{zone}/raw", lake, days(spark))
-    assert spark.read.parquet(lake.rejects("ticks")).isEmpty()
+    assert rejected(spark, lake) == []
 
 
-def test_rows_of_another_date_go_to_their_date(spark, folder, lake):
+def rejected(spark, lake):
+    schema = "Volume string, reasons array<string>, path string, member string"
+    rows = read_or_empty(spark, lake.rejects("ticks"), schema, recursiveFileLookup="true").collect()
+    return sorted((r.Volume, r.reasons[0], r.path.rpartition("/")[2], r.member) for r in rows)
+
+
+def test_rows_of_another_date_touch_no_other_day(spark, zone, lake):
+    run_tick_load(spark, f"{zone}/raw", lake, days(spark))
+    name = f"WEBPXTICK_DT_{key(MONDAY)}.zip"
+    lines = [",".join(RAW_TICK_COLUMNS)] + [
+        f"NK,F,M,2026,0,90501,T,{key(day)},1,{volume}" for day, volume in ((MONDAY, 3), (FRIDAY, 7))
+    ]
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as out:
+        out.writestr("ticks.csv", "\n".join(lines))
+    zone.put(f"raw/{key(MONDAY)}/{name}", buffer.getvalue())
+    done = run_tick_load(spark, f"{zone}/raw", lake, days(spark, MONDAY, MONDAY))
+    assert (done.dates, done.rows, done.rejected) == ([MONDAY], 1, 1)
+    assert volumes(spark, lake) == {**EXPECTED, (MONDAY, "NK", "09"): 3}
+    assert rejected(spark, lake) == [("7", "other date than the file's", name, "ticks.csv")]
+
+
+def test_an_emptied_day_and_a_damaged_one(spark, zone, lake):
+    run_tick_load(spark, f"{zone}/raw", lake, days(spark))
+    put_ticks(zone, MONDAY)
+    assert run_tick_load(spark, f"{zone}/raw", lake, days(spark, MONDAY, MONDAY)).rows == 0
+    friday = {k: v for k, v in EXPECTED.items() if k[0] == FRIDAY}
+    assert volumes(spark, lake) == friday and rejected(spark, lake) == []
+    put_ticks(zone, FRIDAY, ("NK", "90501", "1", "99"))
+    zone.put(f"raw/{key(FRIDAY)}/more/WEBPXTICK_DT_{key(FRIDAY)}.zip", "broken")
+    done = run_tick_load(spark, f"{zone}/raw", lake, days(spark, FRIDAY, FRIDAY))
+    assert done.dates == [] and done.file_errors.count() == 1
+    assert volumes(spark, lake) == friday
+
+
+def test_frames_without_files_replace_the_dates_of_their_rows(spark, folder, lake):
     put_ticks(folder, FRIDAY, ("NK", "90501", "1", "1"))
     raw = spark.createDataFrame(
         [("NK", "F", "M", "2026", "0", "90501", "T", d, "1", "1") for d in (key(FRIDAY), key(MONDAY), "x")],
@@ -144,6 +180,14 @@ def test_sql_over_the_tables(spark, zone, lake):
     assert spark.sql("SELECT max(Price) AS p FROM trade_cancellations").first().p == 11.0
 
 
+def test_sql_before_the_first_load(spark, lake):
+    register_views(spark, lake)
+    assert spark.sql("SELECT count(*) AS n FROM trade_cancellations").first().n == 0
+    assert spark.sql("SELECT hour_bucket('9:05:01') AS h, weighted_price(-10, 4) AS p").first()[:] == (
+        "09", decimal.Decimal("-2.5000")
+    )
+
+
 def test_summary_as_text(spark, zone, lake):
     done = run_tick_load(spark, f"{zone}/raw", lake, days(spark))
     refresh_summary(spark, lake, done.dates, as_csv=True)
@@ -157,12 +201,26 @@ def test_landing_record_and_backfill(spark, zone, lake):
     current = ranges.record_landing(spark, f"{zone}/raw", lake, days(spark, last=last))
     state = {r.job_date: r.status for r in current.collect()}
     assert state == {
-        "2026-05-29": "success", "2026-06-01": "failed", "2026-06-02": "failed", "2026-06-03": "skipped",
+        "2026-05-29": "success", "2026-06-01": "failed", "2026-06-02": "failed", "2026-06-03": "failed",
     }
+    probes = spark.createDataFrame(
+        [(last, 1, 404, None, None)],
+        "job_date date, feed_id long, status_code int, content_disposition string, error string",
+    )
+    ranges.record_landing(spark, f"{zone}/raw", lake, days(spark, last, last), probes)
+    log = ranges.read_runs(spark, lake).where("job_date = '2026-06-03'").collect()
+    assert sorted(r.status for r in log) == ["failed", "running", "running", "skipped"]
+    assert all((r.ended_at is None) == (r.status == "running") for r in log)
     result = ranges.backfill(spark, f"{zone}/raw", lake, days(spark, last=last))
     actions = {r.job_date: r.action for r in result.plan.collect()}
     assert actions == {FRIDAY: "etl", MONDAY: "land", TUESDAY: "land", last: "skip"}
-    assert result.ticks.dates == [FRIDAY, MONDAY] and result.cancels.dates == [FRIDAY]
+    assert result.ticks.dates == [FRIDAY] and result.cancels.dates == [FRIDAY]
+    assert {r.status: r.days for r in result.report.collect()} == {
+        "success": "2026-05-29", "land": "2026-06-01,2026-06-02", "skipped": "2026-06-03",
+    }
+    every = ranges.backfill(spark, f"{zone}/raw", lake, days(spark, last=last), skip_ingestion=True)
+    assert every.ticks.dates == [FRIDAY, MONDAY]
+    assert "2026-06-02" in {r.status: r.days for r in every.report.collect()}["failed"]
     assert volumes(spark, lake) == EXPECTED
     assert ranges.maintain(spark, lake) == {lake.ticks: [], lake.cancels: []}
 
@@ -200,17 +258,19 @@ def test_serving_update_and_reload(spark, zone, lake, folder, monkeypatch):
 def test_command_line(spark, zone, lake, capsys):
     config = zone.put("t.ini", f"[storage]\nraw = {zone}/raw\nlake = {lake.root}\n")
 
-    def run(*argv):
-        assert cli.main([*argv, "--config", config], spark) == 0
+    def run(*argv, code=0):
+        assert cli.main([*argv, "--config", config], spark) == code
         return capsys.readouterr()
 
     span = ["--start-date", str(FRIDAY), "--end-date", str(TUESDAY)]
     assert "2026-05-29" in run("land", "--date", str(FRIDAY)).out
-    shown = run("ticks", *span)
+    assert "failed" in run("land", "--date", str(MONDAY), code=1).out
+    shown = run("ticks", *span, "--csv", code=1)
+    assert read_summary_csv(spark, lake.summary_csv).count() == 3
     assert "ticks: 5 rows on 2 dates, 1 rejected" in shown.out
     assert "skipped" in shown.err
     assert "cancels: 2 rows on 1 dates" in run("cancels", *span).out
-    assert "ticks: 5 rows" in run("backfill", *span, "--skip-ingestion").out
+    assert "ticks: 5 rows" in run("backfill", *span, "--skip-ingestion", code=1).out
     assert "0 dates compacted" in run("maintain").out
     assert volumes(spark, lake) == EXPECTED
 

@@ -154,19 +154,11 @@ def test_archives_with_two_layouts(spark, folder):
     assert cells_of(read.rows) == [tuple(tick(comm="CN").split(",")), tuple(tick().split(","))]
 
 
-def test_each_member_has_its_own_task(spark, folder):
-    for i in range(12):
-        folder.put(f"{i}/a.zip", archive(t_csv=text(tick(comm=f"A{i}"))))
-    read = read_zipped_ticks(list_files(spark, folder, "*.zip"))
-    per_task = read.rows.groupBy(F.spark_partition_id()).count().collect()
-    assert [r["count"] for r in per_task] == [1] * 12
-
-
-def test_large_members_are_spread(spark, folder):
+def test_members_are_spread(spark, folder):
     folder.put("a.zip", archive(t_csv=text(*[tick(comm=f"A{i}") for i in range(3000)])))
     folder.put("b.zip", archive(t_csv=text(tick())))
     listing = list_files(spark, folder, "*.zip")
-    read = read_zipped_ticks(listing, large=10_000)
+    read = read_zipped_ticks(listing)
     plan = read.rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
     assert read.rows.count() == 3001

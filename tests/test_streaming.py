@@ -11,6 +11,7 @@ from tickloom import samples
 from tickloom.operators.rollup import tick_summary
 from tickloom.plans.daily import Lake
 from tickloom.schemas import RAW_TICK_COLUMNS, SUMMARY
+from tickloom.sources.tables import read_or_empty
 from tickloom.streaming import loads
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def test_restart_loads_nothing_again(spark, folder):
 
     def load():
         stream = loads.tick_stream(spark, f"{folder}/in", per_batch=1)
-        query = loads.load_new_files(stream, f"{folder}/out", f"{folder}/check")
+        query = loads.load_new_files(stream, f"{folder}/out", f"{folder}/rejects", f"{folder}/check")
         query.awaitTermination()
         return spark.read.parquet(f"{folder}/out").count()
 
@@ -37,7 +38,7 @@ def test_other_header_fails_rather_than_shifts(spark, folder):
     names = list(reversed(RAW_TICK_COLUMNS))
     folder.put("in/a.csv", ",".join(names) + "\n3,1.5,20240101,T,90501,0,2024,F,F,NK\n")
     query = loads.load_new_files(
-        loads.tick_stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/check"
+        loads.tick_stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/rejects", f"{folder}/check"
     )
     with pytest.raises(Exception, match="header"):
         query.awaitTermination()
@@ -118,7 +119,13 @@ def test_archives_arrive_and_a_broken_one_does_not_stop_the_rest(spark, folder):
     assert load() == first
     put("20260529/b.zip", line("20260529", 5))
     put("20260602/a.zip", line("20260602", 7))
-    assert load() == {("2026-05-28", 1), ("2026-05-29", 5), ("2026-06-02", 7)}
+    assert load() == {("2026-05-28", 1), ("2026-05-29", 7), ("2026-06-02", 7)}
     errors = spark.read.parquet(lake.file_errors).collect()
-    assert [(r.path.rpartition("raw/")[2], r.batch) for r in errors] == [("20260601/a.zip", 0)]
-    assert spark.read.parquet(lake.rejects("ticks")).count() == 1
+    assert [r.path.rpartition("raw/")[2] for r in errors] == ["20260601/a.zip"]
+    rejects = spark.read.parquet(lake.rejects("ticks")).collect()
+    assert [(r.path.rpartition("raw/")[2], r.member) for r in rejects] == [("20260529/a.zip", "t.csv")]
+    # A better file for the damaged day clears its error.
+    put("20260601/a.zip", line("20260601", 4))
+    put("20260601/b.zip", line("20260601", 1))
+    assert load() == {("2026-05-28", 1), ("2026-05-29", 7), ("2026-06-01", 5), ("2026-06-02", 7)}
+    assert read_or_empty(spark, lake.file_errors, "path string", recursiveFileLookup="true").count() == 0

@@ -12,7 +12,8 @@ Folders and the serving table come from a configuration file::
     user = ...
 
 Without ``[serving]`` no serving table is kept; further entries of it are passed on
-as JDBC options. A blank date is today.
+as JDBC options. A blank date is today. The exit code is 1 if a day failed to land or a
+file could not be read.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ import configparser
 import datetime as dt
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from tickloom.operators.runs import requested_days
 from tickloom.plans import backfill as ranges
 from tickloom.plans.daily import Lake, run_cancel_load, run_tick_load
+from tickloom.schemas import FAILED
 from tickloom.session import cluster_session
 
 # Default range of a backfill.
@@ -52,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
         step.add_argument("--config", default="tickloom.ini")
         if name in ("land", "ticks", "cancels"):
             step.add_argument("--date", default="")
+        if name in ("ticks", "cancels", "backfill"):
+            step.add_argument("--csv", action="store_true", help="write the tables as text too")
         if name in ("land", "ticks", "cancels", "backfill"):
             in_range = name == "backfill"
             step.add_argument("--start-date", default=BACKFILL_FROM if in_range else "")
@@ -86,24 +90,30 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark, _day(getattr(args, "date", "")), _day(args.start_date), _day(args.end_date)
     )
     if args.step == "land":
-        ranges.record_landing(spark, raw, lake, days).join(
+        landed = ranges.record_landing(spark, raw, lake, days).join(
             days.selectExpr("cast(job_date AS string) AS job_date"), "job_date", "left_semi"
-        ).show(truncate=False)
-        return 0
+        )
+        landed.show(truncate=False)
+        return int(not landed.where(F.col("status") == FAILED).isEmpty())
+    failed = False
     if args.step == "backfill":
-        result = ranges.backfill(spark, raw, lake, days, args.skip_ingestion)
-        result.plan.groupBy("action").count().show()
+        result = ranges.backfill(spark, raw, lake, days, args.skip_ingestion, args.csv)
+        result.report.show(truncate=False)
+        failed = not result.report.where(F.col("status") == FAILED).isEmpty()
         loads = {"ticks": result.ticks, "cancels": result.cancels}
     else:
         run = run_tick_load if args.step == "ticks" else run_cancel_load
-        loads = {args.step: run(spark, raw, lake, days)}
+        loads = {args.step: run(spark, raw, lake, days, args.csv)}
     if "ticks" in loads and loads["ticks"].dates and config.has_section("serving"):
         ranges.update_serving(spark, lake, loads["ticks"].dates, **dict(config["serving"]))
     for name, done in loads.items():
         print(f"{name}: {done.rows} rows on {len(done.dates)} dates, {done.rejected} rejected")
-        for path, error in done.file_errors:
-            print(f"{name}: skipped {path}: {error}", file=sys.stderr)
-    return 0
+        if done.file_errors is not None and (count := done.file_errors.count()):
+            failed = True
+            print(f"{name}: {count} files skipped, among them:", file=sys.stderr)
+            for row in done.file_errors.orderBy("path").limit(20).collect():
+                print(f"{name}: {row.path}: {row.error}", file=sys.stderr)
+    return int(failed)
 
 
 if __name__ == "__main__":

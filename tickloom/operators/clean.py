@@ -75,19 +75,27 @@ def dated(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col(DATE_KEY).isNotNull())
 
 
-def tick_checks() -> dict[str, Column]:
-    """Per defect of a raw tick: whether the row has it."""
-    return _checks("Trade_Date", {"Price": cells.price, "Volume": cells.whole})
+def tick_checks(of_file: bool = False) -> dict[str, Column]:
+    """Per defect of a raw tick: whether the row has it.
 
+    ``of_file`` adds the defect of another date than ``file_day``, the day of the file.
+    """
+    return _checks("Trade_Date", {"Price": cells.price, "Volume": cells.whole}, of_file)
 
-def cancel_checks() -> dict[str, Column]:
-    return _checks("Business_Date", {"Price": cells.price, "Volume": cells.whole})
 
+def cancel_checks(of_file: bool = False) -> dict[str, Column]:
+    return _checks("Business_Date", {"Price": cells.price, "Volume": cells.whole}, of_file)
 
-def _checks(date_cell: str, parsers: dict[str, Callable[[str], Column]]) -> dict[str, Column]:
+
+def _checks(
+    date_cell: str, parsers: dict[str, Callable[[str], Column]], of_file: bool
+) -> dict[str, Column]:
     day = cells.trade_date(date_cell)
     bad = {name: cells.is_bad(name, parse(name)) for name, parse in parsers.items()}
-    return {date_cell: cells.is_bad(date_cell, day), **bad, "no trade date": day.isNull()}
+    found = {date_cell: cells.is_bad(date_cell, day), **bad, "no trade date": day.isNull()}
+    if of_file:
+        found["other date than the file's"] = F.coalesce(day != F.col("file_day"), F.lit(False))
+    return found
 
 
 def flawed(checks: dict[str, Column]) -> Column:
@@ -95,13 +103,13 @@ def flawed(checks: dict[str, Column]) -> Column:
     return reduce(operator.or_, checks.values())
 
 
-def reject_ticks(raw: DataFrame) -> DataFrame:
+def reject_ticks(raw: DataFrame, of_file: bool = False) -> DataFrame:
     """Raw rows with a defect, and their ``reasons``."""
-    return _rejects(drop_repeated_headers(raw, "Comm"), tick_checks())
+    return _rejects(drop_repeated_headers(raw, "Comm"), tick_checks(of_file))
 
 
-def reject_cancels(raw: DataFrame) -> DataFrame:
-    return _rejects(drop_repeated_headers(raw, "Commodity"), cancel_checks())
+def reject_cancels(raw: DataFrame, of_file: bool = False) -> DataFrame:
+    return _rejects(drop_repeated_headers(raw, "Commodity"), cancel_checks(of_file))
 
 
 def _rejects(raw: DataFrame, checks: dict[str, Column]) -> DataFrame:

@@ -20,7 +20,10 @@ from tickloom.schemas import DATE_KEY
 
 @dataclass(frozen=True)
 class Selection:
-    """Choices of a dashboard user; ``None`` is "All" or an open end of the range."""
+    """Choices of a dashboard user; ``None`` is "All" or an open end of the range.
+
+    An empty list of symbols or codes is "All" too, as in the dashboard.
+    """
 
     symbols: list[str] | None = None
     message_codes: list[str] | None = None
@@ -43,7 +46,7 @@ ALL = Selection()
 
 def _chosen(name: str, values: list[str] | None) -> Column:
     # "All" lists every value, and a null is in no list.
-    return F.col(name).isNotNull() if values is None else F.col(name).isin(values)
+    return F.col(name).isNotNull() if not values else F.col(name).isin(values)
 
 
 def table_profile(summary: DataFrame) -> DataFrame:

@@ -1,5 +1,10 @@
 """The daily load: raw files to ticks, cancellations, rejects and summary.
 
+A load replaces the days whose files it read, whole: a file's day is in its name or
+folder. A row of another date than its file's is listed as a reject and touches no
+other day; a day without rows any more is emptied; a day with an unreadable file is left
+as it is. Rejects are kept by the file's day too, with the file and member they came from.
+
 Raw text is parsed once, by the write of the typed table. That write also reports
 which dates it touched and how many rows did not parse. Later steps read the typed
 table back, restricted to those dates; rejects cost a second pass over the text
@@ -15,15 +20,20 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.functions.days import calendar_rows
+from tickloom.functions.days import calendar_rows, day_key
+from tickloom.functions.register import register_functions
 from tickloom.operators import clean
 from tickloom.operators.rollup import tick_summary
-from tickloom.schemas import CANCELS, DATE_KEY, SUMMARY, TICKS
+from tickloom.schemas import CANCELS, DATE_KEY, RUN_LOG, SUMMARY, TICKS
 from tickloom.sinks.tables import WriteWatch, batch_dates, write_csv, write_table
+from tickloom.sinks.upkeep import drop_partitions
 from tickloom.sources.archives import read_zipped_ticks
-from tickloom.sources.delimited import read_cancels
-from tickloom.sources.rawzone import CANCEL_NAME, TICK_NAME, files_of_days, raw_listing
-from tickloom.sources.tables import read_dates
+from tickloom.sources.delimited import read_cancels, read_ticks
+from tickloom.sources.files import list_files
+from tickloom.sources.rawzone import (
+    CANCEL_GLOB, CANCEL_NAME, TICK_NAME, day_folder, file_day, files_of_days, raw_listing,
+)
+from tickloom.sources.tables import read_dates, read_or_empty
 
 
 @dataclass(frozen=True)
@@ -56,23 +66,30 @@ class Lake:
     def file_errors(self) -> str:
         return f"{self.root}/file_errors"
 
-    def rejects(self, kind: str, load_id: str | None = None) -> str:
-        of_kind = f"{self.root}/rejects/{kind}"
-        return of_kind if load_id is None else f"{of_kind}/load_id={load_id}"
+    @property
+    def ticks_csv(self) -> str:
+        return f"{self.root}/ticks_csv"
+
+    @property
+    def cancels_csv(self) -> str:
+        return f"{self.root}/trade_cancellations_csv"
+
+    def rejects(self, kind: str) -> str:
+        return f"{self.root}/rejects/{kind}"
 
 
 @dataclass(frozen=True)
 class Loaded:
-    """Result of a load: touched dates, counts, and files that could not be read.
+    """Result of a load: replaced dates, counts, and files that could not be read.
 
     ``rows`` went to the table; ``rejected`` rows have a defect, whether or not they
-    did.
+    did. ``file_errors`` has (path, error) rows, one per file; it stays distributed.
     """
 
     dates: list[dt.date] = field(default_factory=list)
     rows: int = 0
     rejected: int = 0
-    file_errors: list[tuple[str, str]] = field(default_factory=list)
+    file_errors: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -81,95 +98,180 @@ class Feed:
 
     schema: StructType
     clean: Callable[..., DataFrame]
-    checks: Callable[[], dict[str, Column]]
-    rejects: Callable[[DataFrame], DataFrame]
+    checks: Callable[..., dict[str, Column]]
+    rejects: Callable[..., DataFrame]
 
 
 TICK_FEED = Feed(TICKS, clean.clean_ticks, clean.tick_checks, clean.reject_ticks)
 CANCEL_FEED = Feed(CANCELS, clean.clean_cancels, clean.cancel_checks, clean.reject_cancels)
 
 
-def _load(feed: Feed, raw: DataFrame, path: str, rejects_path: str, cluster: bool) -> Loaded:
-    flag = clean.flawed(feed.checks()).alias("_flawed")
-    cleaned = feed.clean(raw, flag)
-    watch = WriteWatch(cleaned, flawed=F.col("_flawed"), undated=F.col(DATE_KEY).isNull())
-    typed = clean.dated(watch.watched).select(*feed.schema.fieldNames())
+TICK_GLOB = "*.csv"
+
+# Where a raw row came from: its file, the archive member, what its rejects are
+# replaced by, and the day the file is for, if it is for one.
+ORIGIN = {"path": "string", "member": "string", "origin": "string", "file_day": "date"}
+
+
+def _load(
+    feed: Feed, raw: DataFrame, path: str, rejects_path: str, cluster: bool,
+    origins: list[str], days: list[dt.date] | None,
+) -> Loaded:
+    """Load raw rows with the columns of ``ORIGIN``.
+
+    ``days`` are the days to replace, also by nothing; without them, those of the rows.
+    """
+    spark = raw.sparkSession
+    flag = clean.flawed(feed.checks(of_file=True)).alias("_flawed")
+    cleaned = feed.clean(raw, flag, F.col("file_day"))
+    stray = F.col(DATE_KEY).isNull() | F.coalesce(F.col(DATE_KEY) != F.col("file_day"), F.lit(False))
+    cleaned = cleaned.withColumn("_day", F.when(~stray, F.col(DATE_KEY)))
+    watch = WriteWatch(cleaned, "_day", flawed=F.col("_flawed"), kept=F.col("_day").isNotNull())
+    typed = watch.watched.where(F.col("_day").isNotNull()).select(*feed.schema.fieldNames())
     write_table(typed, path, cluster=cluster)
     counts = watch.counts
-    rejects = feed.rejects(raw)
-    if not counts["flawed"]:
-        rejects = raw.sparkSession.createDataFrame([], rejects.schema)
-    rejects.write.mode("overwrite").parquet(rejects_path)
-    dates = batch_dates(clean.dated(cleaned), watch)
-    return Loaded(dates, counts["rows"] - counts["undated"], counts["flawed"])
+    drop_partitions(spark, rejects_path, "origin", origins)
+    if counts["flawed"]:
+        write_table(feed.rejects(raw, of_file=True), rejects_path, cluster=False, key="origin")
+    found = batch_dates(cleaned, watch, "_day")
+    if days is not None:
+        drop_partitions(spark, path, DATE_KEY, sorted({str(d) for d in days} - {str(d) for d in found}))
+    return Loaded(sorted(days) if days is not None else found, counts["kept"], counts["flawed"])
 
 
-def register_views(spark: SparkSession, lake: Lake) -> None:
-    """Make the published tables known to SQL under their usual names."""
-    for name, path in {
-        "ticks": lake.ticks, "trade_cancellations": lake.cancels, "ticks_summary": lake.summary,
-    }.items():
-        spark.read.parquet(path).createOrReplaceTempView(name)
+def _unplaced(raw: DataFrame, load_id: str) -> DataFrame:
+    """Raw rows that are from no file that is known."""
+    values = {"origin": F.lit(load_id)}
+    return raw.withColumns({n: values.get(n, F.lit(None)).cast(kind) for n, kind in ORIGIN.items() if n not in raw.columns})
+
 
+VIEWS = {
+    "ticks": ("ticks", TICKS), "trade_cancellations": ("cancels", CANCELS), "ticks_summary": ("summary", SUMMARY),
+    "ingestion_runs": ("runs", RUN_LOG),
+}
 
-def load_key(listing: DataFrame) -> str | None:
-    """Name of a load that reads these files, the same whenever it reads them.
 
-    None without files.
+def register_views(spark: SparkSession, lake: Lake) -> None:
+    """Make the published tables known to SQL under their usual names, and the SQL functions.
+
+    A table that does not exist yet is empty.
     """
-    row = listing.agg(F.hex(F.bit_xor(F.xxhash64("path"))).alias("k")).first()
-    return row.k and f"files-{row.k}"
+    register_functions(spark)
+    for name, (attribute, schema) in VIEWS.items():
+        read_or_empty(spark, getattr(lake, attribute), schema).createOrReplaceTempView(name)
 
 
-def load_ticks(raw: DataFrame, lake: Lake, load_id: str, cluster: bool = True) -> Loaded:
-    """Raw ticks to the tick table, rejects and the summary of the touched dates.
+def load_ticks(
+    raw: DataFrame, lake: Lake, load_id: str, cluster: bool = True, as_csv: bool = False
+) -> Loaded:
+    """Raw ticks that hold whole days to the tick table, rejects and the summary of these days.
 
-    Rejects are kept by load, not by date, as one may have none. Repeating a load
-    replaces its rejects, also by none.
+    Repeating a load of the same id replaces its rejects, also by none.
     """
-    done = _load(TICK_FEED, raw, lake.ticks, lake.rejects("ticks", load_id), cluster)
-    refresh_summary(raw.sparkSession, lake, done.dates)
+    done = _load(TICK_FEED, _unplaced(raw, load_id), lake.ticks, lake.rejects("ticks"), cluster, [load_id], None)
+    refresh_summary(raw.sparkSession, lake, done.dates, as_csv)
     return done
 
 
 def load_cancels(raw: DataFrame, lake: Lake, load_id: str, cluster: bool = True) -> Loaded:
-    """Raw cancellations to their table and rejects."""
-    return _load(CANCEL_FEED, raw, lake.cancels, lake.rejects("cancels", load_id), cluster)
+    """Raw cancellations that hold whole days to their table and rejects."""
+    return _load(CANCEL_FEED, _unplaced(raw, load_id), lake.cancels, lake.rejects("cancels"), cluster, [load_id], None)
 
 
 def refresh_summary(
     spark: SparkSession, lake: Lake, dates: list[dt.date], as_csv: bool = False
 ) -> None:
-    """Recompute the summary of some dates from the tick table and replace them."""
+    """Recompute the summary of some dates from the tick table and replace them.
+
+    ``as_csv`` also writes summary and ticks of these dates as text.
+    """
     if not dates:
         return
-    write_table(tick_summary(read_dates(spark, lake.ticks, dates, TICKS)), lake.summary)
+    ticks = read_dates(spark, lake.ticks, dates, TICKS)
+    write_table(tick_summary(ticks), lake.summary)
+    gone = sorted({str(d) for d in dates} - {str(r[0]) for r in calendar_rows(ticks.select(DATE_KEY).distinct())})
+    drop_partitions(spark, lake.summary, DATE_KEY, gone)
     if as_csv:
         write_csv(read_dates(spark, lake.summary, dates, SUMMARY), lake.summary_csv)
+        write_csv(ticks, lake.ticks_csv)
+        for path in (lake.summary_csv, lake.ticks_csv):
+            drop_partitions(spark, path, DATE_KEY, gone)
 
 
-def run_tick_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
-    """Tick load of the requested days. Days without a readable archive drop out."""
-    listing = files_of_days(raw_listing(spark, raw_root, days), days, TICK_NAME)
-    load_id = load_key(listing)
-    if load_id is None:
-        return Loaded()
-    archives = read_zipped_ticks(listing)
+def _dealt(listing: DataFrame) -> DataFrame:
+    """Listed files with their day and the key of their rejects: the day, else the folder."""
+    return listing.withColumn("file_day", file_day(F.col("path"))).withColumn("origin", _origin())
+
+
+def _origin() -> Column:
+    path = F.col("path")
+    return F.coalesce(day_key(file_day(path)), F.concat(F.lit("folder-"), F.hex(F.xxhash64(day_folder(path)))))
+
+
+def _per_day(files: DataFrame) -> tuple[list[str], list[dt.date] | None]:
+    """Keys of rejects and days of the files; no days if a file is for none."""
+    rows = calendar_rows(files.groupBy("origin", "file_day").agg(F.count("*").alias("files")))
+    days = [row.file_day for row in rows]
+    return [row.origin for row in rows], None if None in days else days
+
+
+def load_archives(spark: SparkSession, listing: DataFrame, lake: Lake, as_csv: bool = False) -> Loaded:
+    """Tick load of the listed archives, which must be all those of their days.
+
+    A day with an unreadable archive is left as it is, and its files are reported.
+    """
+    files = _dealt(listing)
+    read = read_zipped_ticks(files, together="origin")
+    good = files.join(read.errors.select("path").withColumn("origin", _origin()), "origin", "left_anti")
+    origins, days = _per_day(good)
+    if not origins:
+        return Loaded(file_errors=read.errors)
     # An archive holds one day and a task few archives, so the write needs no
     # shuffle to gather dates.
-    done = load_ticks(
-        archives.rows.drop("path", "member"), lake, load_id, cluster=False
-    )
-    errors = [(row.path, row.error) for row in calendar_rows(archives.errors)]
-    return replace(done, file_errors=errors)
+    raw = _dealt(read.rows)
+    done = _load(TICK_FEED, raw, lake.ticks, lake.rejects("ticks"), False, origins, days)
+    refresh_summary(spark, lake, done.dates, as_csv)
+    return replace(done, file_errors=read.errors)
+
+
+def record_file_errors(spark: SparkSession, lake: Lake, listing: DataFrame, done: Loaded) -> None:
+    """Keep the files that a load could not read; those of its days before are forgotten."""
+    origins, _ = _per_day(_dealt(listing))
+    drop_partitions(spark, lake.file_errors, "origin", origins)
+    if done.file_errors is not None:
+        errors = done.file_errors.withColumn("origin", _origin())
+        write_table(errors, lake.file_errors, cluster=False, key="origin")
+
+
+def load_tick_files(spark: SparkSession, folders: list[str], lake: Lake) -> Loaded:
+    """Tick load of all unpacked files of some folders, which hold whole days."""
+    origins, days = _per_day(_dealt(list_files(spark, folders, TICK_GLOB)))
+    raw = _dealt(read_ticks(spark, folders, TICK_GLOB, origin=True))
+    done = _load(TICK_FEED, raw, lake.ticks, lake.rejects("ticks"), True, origins, days)
+    refresh_summary(spark, lake, done.dates)
+    return done
+
+
+def run_tick_load(
+    spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame, as_csv: bool = False
+) -> Loaded:
+    """Tick load of the requested days. Days without an archive drop out."""
+    listing = files_of_days(raw_listing(spark, raw_root, days), days, TICK_NAME)
+    return load_archives(spark, listing.drop("job_date"), lake, as_csv)
 
 
-def run_cancel_load(spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame) -> Loaded:
+def run_cancel_load(
+    spark: SparkSession, raw_root: str, lake: Lake, days: DataFrame, as_csv: bool = False
+) -> Loaded:
     """Cancellation load of the requested days."""
-    listing = files_of_days(raw_listing(spark, raw_root, days), days, CANCEL_NAME)
-    load_id = load_key(listing)
-    if load_id is None:
+    files = _dealt(files_of_days(raw_listing(spark, raw_root, days), days, CANCEL_NAME))
+    origins, found = _per_day(files)
+    if not origins:
         return Loaded()
-    paths = [row.path for row in calendar_rows(listing.select("path"))]
+    # A glob of the days' folders, not a list of files: the driver holds days only.
+    raw = read_cancels(spark, f"{raw_root}/{{{','.join(sorted(origins))}}}", CANCEL_GLOB, origin=True)
     # Each file holds one day, so the write needs no shuffle to gather dates.
-    return load_cancels(read_cancels(spark, paths), lake, load_id, cluster=False)
+    done = _load(CANCEL_FEED, _dealt(raw), lake.cancels, lake.rejects("cancels"), False, origins, found)
+    if as_csv:
+        write_csv(read_dates(spark, lake.cancels, done.dates, CANCELS), lake.cancels_csv)
+    return done

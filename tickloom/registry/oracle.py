@@ -155,7 +155,8 @@ attempts AS (
          CASE WHEN o_orderstatus = 'P' THEN 'running'
               WHEN o_orderpriority = '5-LOW' THEN 'skipped'
               WHEN o_orderpriority = '1-URGENT' THEN 'failed' ELSE 'success' END AS status,
-         o_orderdate + to_seconds(o_orderkey % 86400) AS started_at
+         o_orderdate + to_seconds(o_orderkey % 86400) AS started_at,
+         o_orderpriority = '1-URGENT' OR o_orderkey % 7 = 0 AS missed
   FROM orders),
 run_log AS (
   SELECT strftime(o_orderdate, '%Y-%m-%d') AS job_date, status, started_at,
@@ -164,9 +165,9 @@ run_log AS (
               WHEN status <> 'running' THEN
                 '[{"filename":"WEBPXTICK_DT_' || k || '.zip","status":"success"},'
                 || '{"filename":"TC_' || k || '.txt","status":'
-                || CASE WHEN status = 'failed' THEN '"timed out","error":"HTTP 504"}]'
+                || CASE WHEN missed THEN '"timed out","error":"HTTP 504"}]'
                         ELSE '"success"}]' END
-         END AS results, k
+         END AS results, k, missed
   FROM attempts)"""
 
 _LATEST = f"""{_LOG},
@@ -259,6 +260,20 @@ FROM cancels WHERE "Amend_Code" = 'P'""",
     "csv_round_trip": _ROUND_TRIP,
     "compaction": _ROUND_TRIP,
     "stream_archives": _ROUND_TRIP,
+    "stray_date_load": _ROUND_TRIP,
+    "damaged_part_load": _ROUND_TRIP,
+    "split_day_stream": _ROUND_TRIP,
+    "emptied_day_load": _over_summary(
+        """SELECT * FROM summary WHERE "TradeDateParsed" < DATE '2024-01-25'"""
+    ),
+    "quarantine_reload": _TICK_REJECTS,
+    "incremental_rejects": _TICK_REJECTS,
+    "daily_load_csv": _over_summary('SELECT * FROM summary WHERE isodow("TradeDateParsed") < 6'),
+    "vwap_sql": _over_summary(_vwap()),
+    "symbols_chosen": _over_summary(
+        'SELECT "Hour", cast(sum("GroupVolume") AS bigint) AS "Total Volume" FROM summary'
+        """ WHERE "Symbol" IN ('U1', 'U2', 'U3') GROUP BY 1"""
+    ),
     "daily_load": _over_summary('SELECT * FROM summary WHERE isodow("TradeDateParsed") < 6'),
     "tick_summary_scale": _over_summary("SELECT * FROM summary", _SCALE_TICKS),
     "reaggregation": f"""
@@ -368,12 +383,15 @@ FROM (
   SELECT *, unnest(CASE WHEN status IN ('success', 'failed') THEN
            [{{'filename': 'WEBPXTICK_DT_' || k || '.zip', 'status': 'success', 'error': NULL}},
             {{'filename': 'TC_' || k || '.txt',
-              'status': CASE WHEN status = 'failed' THEN 'timed out' ELSE 'success' END,
-              'error': CASE WHEN status = 'failed' THEN 'HTTP 504' END}}]
+              'status': CASE WHEN missed THEN 'timed out' ELSE 'success' END,
+              'error': CASE WHEN missed THEN 'HTTP 504' END}}]
          ELSE [NULL] END) AS f
   FROM run_log)""",
     "run_outcome": f"""
-WITH {_LOG} SELECT status, status AS outcome, count(*) AS run_count FROM run_log GROUP BY 1""",
+WITH {_LOG} SELECT status, count(*) AS run_count,
+       CASE WHEN results LIKE '[%"timed out"%' THEN 'failed' WHEN results LIKE '[%' THEN 'success'
+            ELSE status END AS outcome
+FROM run_log GROUP BY ALL""",
     "outcome_report": f"""
 WITH {_LATEST}
 SELECT status, count(*) AS day_count, string_agg(job_date, ',' ORDER BY job_date) AS days

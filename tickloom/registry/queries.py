@@ -15,8 +15,9 @@ from tickloom import samples
 from tickloom.functions import cells
 from tickloom.functions.days import business_days
 from tickloom.operators import clean, panels, rollup, runs
+from tickloom.operators.replace import touched_dates
 from tickloom.plans import daily
-from tickloom.schemas import DATE_KEY, TICKS
+from tickloom.schemas import DATE_KEY, RAW_TICK_COLUMNS, SUMMARY, TICKS
 from tickloom.session import fresh_dir
 from tickloom.sinks import serving, tables, upkeep
 from tickloom.sources import archives, delimited, files, rawzone
@@ -248,8 +249,116 @@ def quarantine(spark, sf_dir):
     """Rejects written by the tick load."""
     lake = daily.Lake(fresh_dir(spark, "quarantine"))
     daily.load_ticks(samples.flawed_ticks(spark, sf_dir), lake, "first")
-    rejects = spark.read.parquet(lake.rejects("ticks")).drop("load_id")
-    return rejects.withColumn("reasons", F.concat_ws("|", "reasons"))
+    return _rejects(spark, lake.rejects("ticks"))
+
+
+def _rejects(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.parquet(path).select(*RAW_TICK_COLUMNS, "reasons")
+    return rows.withColumn("reasons", F.concat_ws("|", "reasons"))
+
+
+def _zone(spark: SparkSession, name: str) -> tuple[str, daily.Lake]:
+    root = fresh_dir(spark, name)
+    return root, daily.Lake(f"{root}/lake")
+
+
+def _archives(spark: SparkSession, root: str) -> DataFrame:
+    return files.list_files(spark, f"{root}/raw", "*.zip")
+
+
+def _published(spark: SparkSession, lake: daily.Lake) -> DataFrame:
+    return spark.read.parquet(lake.summary).select(*SUMMARY.fieldNames())
+
+
+def _late(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col("Trade_Date") >= F.lit(CORRECTION_FROM.strftime("%Y%m%d")))
+
+
+@registered
+def stray_date_load(spark, sf_dir):
+    """The last days are delivered again, with rows of an earlier day in their files."""
+    root, lake = _zone(spark, "stray")
+    raw = samples.raw_ticks(spark, sf_dir)
+    samples.write_raw_zone(raw, root)
+    daily.load_archives(spark, _archives(spark, root), lake)
+    strays = raw.where("Trade_Date = '20240103'").withColumn("Volume", F.lit("999"))
+    file_day = F.greatest("Trade_Date", F.lit("20240125"))
+    samples.write_raw_zone(_late(raw).unionByName(strays), f"{root}/again", file_day)
+    daily.load_archives(spark, _archives(spark, f"{root}/again"), lake)
+    return _published(spark, lake)
+
+
+@registered
+def damaged_part_load(spark, sf_dir):
+    """The last days are delivered again in two archives each, one of them damaged: they stay as they were."""
+    root, lake = _zone(spark, "damaged")
+    raw = samples.raw_ticks(spark, sf_dir)
+    samples.write_raw_zone(raw, root)
+    daily.load_archives(spark, _archives(spark, root), lake)
+    again = _late(raw).withColumn("Volume", F.lit("999"))
+    samples.write_raw_zone(again, f"{root}/again")
+    samples.write_day_files(again.select(F.col("Trade_Date").alias("day")), f"{root}/again", b"broken", "more")
+    daily.load_archives(spark, _archives(spark, f"{root}/again"), lake)
+    return _published(spark, lake)
+
+
+@registered
+def emptied_day_load(spark, sf_dir):
+    """The last days are delivered again without any row."""
+    root, lake = _zone(spark, "emptied")
+    raw = samples.raw_ticks(spark, sf_dir)
+    samples.write_raw_zone(raw, root)
+    daily.load_archives(spark, _archives(spark, root), lake)
+    days = _late(raw).select(F.col("Trade_Date").alias("day"))
+    samples.write_day_files(days, f"{root}/again", samples.header_only_archive(), "empty")
+    daily.load_archives(spark, _archives(spark, f"{root}/again"), lake)
+    return _published(spark, lake)
+
+
+@registered
+def quarantine_reload(spark, sf_dir):
+    """Archives with bad cells are loaded all together, and some days once more: rejects do not double."""
+    root, lake = _zone(spark, "reload")
+    flawed = samples.flawed_ticks(spark, sf_dir)
+    # A row without a usable date lies in the file of some day of its month.
+    day = F.when(F.col("Trade_Date") == "abc", F.lit("20240103")).otherwise(F.col("Trade_Date"))
+    samples.write_raw_zone(flawed, root, day)
+    listing = _archives(spark, root)
+    daily.load_archives(spark, listing, lake)
+    daily.load_archives(spark, listing.where("path LIKE '%/2024010%'"), lake)
+    return _rejects(spark, lake.rejects("ticks"))
+
+
+@registered
+def daily_load_csv(spark, sf_dir):
+    """The summary that a load writes as text."""
+    root, lake = _zone(spark, "daily-csv")
+    samples.write_raw_zone(samples.raw_ticks(spark, sf_dir), root)
+    bounds = samples.ticks(spark, sf_dir).agg(F.min(DATE_KEY).alias("first"), F.max(DATE_KEY).alias("last"))
+    daily.run_tick_load(spark, f"{root}/raw", lake, runs.weekdays_between(bounds), as_csv=True)
+    return read_summary_csv(spark, lake.summary_csv)
+
+
+@registered
+def vwap_sql(spark, sf_dir):
+    """The hourly price series as SQL over the published tables."""
+    _, lake = _zone(spark, "vwap-sql")
+    daily.load_ticks(samples.raw_ticks(spark, sf_dir), lake, "all")
+    daily.register_views(spark, lake)
+    return spark.sql("""
+        SELECT market_time(TradeDateParsed, Hour) AS time,
+               weighted_price(sum(GroupPriceVolume), sum(GroupVolume)) AS `Weighted Avg Price`,
+               sum(GroupVolume) AS Volume
+        FROM ticks_summary WHERE TradeDateParsed IS NOT NULL AND Symbol IS NOT NULL AND MessageCode IS NOT NULL
+        GROUP BY market_time(TradeDateParsed, Hour)
+    """)
+
+
+@registered
+def symbols_chosen(spark, sf_dir):
+    """Volume by hour of chosen symbols; an empty choice of codes is all of them."""
+    chosen = panels.Selection(symbols=["U1", "U2", "U3"], message_codes=[])
+    return panels.hourly_liquidity(_summary(spark, sf_dir), chosen)
 
 
 @registered
@@ -287,12 +396,8 @@ def serving_replace(spark, sf_dir):
 
 @registered
 def batch_dates(spark, sf_dir):
-    """Dates a batch touches, gathered while it is written."""
-    ticks = samples.ticks_from_lineitem(spark, sf_dir)
-    watch = tables.WriteWatch(ticks)
-    watch.watched.write.parquet(fresh_dir(spark, "watched"))
-    dates = tables.batch_dates(ticks, watch)
-    return spark.createDataFrame([(day,) for day in dates], f"{DATE_KEY} date")
+    """Dates a batch touches."""
+    return touched_dates(samples.ticks_from_lineitem(spark, sf_dir))
 
 
 @registered
@@ -436,10 +541,36 @@ def incremental_load(spark, sf_dir):
         if wave is not None:
             samples.write_delimited(wave, f"{root}/in/wave{n}")
         stream = loads.tick_stream(spark, f"{root}/in")
-        loads.load_new_files(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        query = loads.load_new_files(stream, f"{root}/out", f"{root}/rejects", f"{root}/checkpoint")
+        query.awaitTermination()
     return spark.read.parquet(f"{root}/out").select(*TICKS.fieldNames())
 
 
+@registered
+def incremental_rejects(spark, sf_dir):
+    """Rejects of files with bad cells that arrive in two waves."""
+    root = fresh_dir(spark, "incremental-rejects")
+    flawed = samples.flawed_ticks(spark, sf_dir)
+    for n, wave in enumerate(["Msg_Code < 'n'", "Msg_Code >= 'n'"]):
+        samples.write_delimited(flawed.where(wave), f"{root}/in/wave{n}")
+        stream = loads.tick_stream(spark, f"{root}/in")
+        query = loads.load_new_files(stream, f"{root}/out", f"{root}/rejects", f"{root}/checkpoint")
+        query.awaitTermination()
+    return _rejects(spark, f"{root}/rejects")
+
+
+@registered
+def split_day_stream(spark, sf_dir):
+    """Each day comes in two archives, in different deliveries and batches."""
+    root, lake = _zone(spark, "split-days")
+    raw = samples.raw_ticks(spark, sf_dir)
+    for n, part in enumerate(["Volume % 2 = 0", "Volume % 2 = 1"]):
+        samples.write_raw_zone(raw.where(part), root, delivery=f"d{n}")
+        stream = loads.archive_stream(spark, f"{root}/raw", per_batch=16)
+        loads.replace_days_from_archives(stream, lake, f"{root}/checkpoint").awaitTermination()
+    return _published(spark, lake)
+
+
 @registered
 def stream_replace(spark, sf_dir):
     """A second delivery corrects the last days; ticks and summary follow."""

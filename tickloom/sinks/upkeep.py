@@ -111,3 +111,10 @@ def delete_files(candidates: DataFrame) -> DataFrame:
     return few_tasks(candidates.select("path")).mapInArrow(
         per_row(remove), "path string, error string"
     )
+
+
+def drop_partitions(spark: SparkSession, path: str, key: str, values: list[str]) -> None:
+    """Delete the files of some partitions of a table; those that have none are left alone."""
+    if values:
+        gone = list_files(spark, f"{path}/{key}={{{','.join(values)}}}")
+        delete_files(gone).write.format("noop").mode("overwrite").save()

@@ -12,18 +12,15 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tickloom.schemas import RAW_TICK_COLUMNS, ZIPPED_TICKS
 from tickloom.session import fresh_dir
-from tickloom.sources.delimited import Layout, small_rows
+from tickloom.sources.delimited import Layout, header_rows
 from tickloom.sources.files import locate, per_row
 from tickloom.sources.textlines import CHUNK, after_first_line, first_line, text_blocks
 
-# Unpacked size from which a member is spread over tasks before parsing.
-LARGE_MEMBER = 256 << 20
-
-# Blocks of a large member that stay together when it is spread, about 32 MB.
+# Blocks of a member that stay together when it is spread, about 32 MB.
 BLOCKS_PER_PART = 32
 
 _CATALOG = "path string, slot int, member string, size long, header string, error string"
@@ -124,37 +121,33 @@ def parsed_blocks(blocks: DataFrame, layout: Layout) -> DataFrame:
 
 
 def read_zipped_ticks(
-    listing: DataFrame, large: int = LARGE_MEMBER, verify: bool = True
+    listing: DataFrame, verify: bool = True, together: str | None = None
 ) -> ArchiveRead:
     """Raw ticks of all listed archives, with their ``path`` and ``member``.
 
     The catalog of members is written before it is used: rows, errors and later
-    retries all rest on the same state of the archives.
+    retries all rest on the same state of the archives. Archives that share the column
+    ``together`` of the listing with a damaged one are left out with it. Unpacking a
+    member is bound to one task; parsing its lines costs several times more, so blocks
+    are spread, neighbours together, and AQE sizes the tasks.
     """
     spark = listing.sparkSession
     catalog_path = fresh_dir(spark, "archive-catalog")
-    # One small file: a round-robin from one partition deals its rows out evenly,
-    # while several partitions would each start at a random place.
-    archive_members(listing, verify=verify).repartition(1).write.parquet(catalog_path)
+    key = F.col(together) if together else F.col("path")
+    keyed = listing.select("path", key.cast("string").alias("unit"))
+    archive_members(listing, verify=verify).join(keyed, "path").write.parquet(catalog_path)
     catalog = spark.read.parquet(catalog_path)
-    errors = catalog.where("error is not null").select("path", "error")
-    good = catalog.where("error is null and header is not null")
-    is_large = (F.col("size") >= large).alias("is_large")
-    groups = small_rows(good.groupBy("header", is_large).count())
-
-    def rows(group: Row) -> DataFrame:
-        layout = Layout(group.header, ",")
-        of_group = (F.col("header") == group.header) & (is_large == group.is_large)
-        # One task per member.
-        members = good.where(of_group).repartition(group["count"])
-        blocks = member_blocks(members)
-        if group.is_large:
-            # Unpacking a member is bound to one task, but parsing its lines costs
-            # several times more and can be shared. Neighbouring blocks stay
-            # together, so a task still sees few archives, hence few dates.
-            blocks = blocks.hint("rebalance", "path", "member", "part")
-        return parsed_blocks(blocks, layout).select(*RAW_TICK_COLUMNS, "path", "member")
-
-    if not groups:
+    errors = catalog.where("error is not null").select("path", "error").distinct()
+    damaged = catalog.where("error is not null").select("unit").distinct()
+    good = catalog.where("error is null and header is not null").join(damaged, "unit", "left_anti")
+    headers = header_rows(good)
+
+    def rows(header: str) -> DataFrame:
+        # One task per member, as far as there are tasks.
+        members = good.where(F.col("header") == header).repartition("path", "slot")
+        blocks = member_blocks(members).hint("rebalance", "path", "member", "part")
+        return parsed_blocks(blocks, Layout(header, ",")).select(*RAW_TICK_COLUMNS, "path", "member")
+
+    if not headers:
         return ArchiveRead(spark.createDataFrame([], ZIPPED_TICKS), errors)
-    return ArchiveRead(reduce(DataFrame.unionByName, map(rows, groups)), errors)
+    return ArchiveRead(reduce(DataFrame.unionByName, map(rows, headers)), errors)

@@ -12,16 +12,12 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.schemas import RAW_CANCEL_COLUMNS, RAW_TICK_COLUMNS
 from tickloom.sources.files import few_tasks, list_files, locate, per_row
 from tickloom.sources.textlines import first_line
 
-# More header lines than this means the folder holds something else.
-MAX_LAYOUTS = 200
-
-
 @dataclass(frozen=True)
 class Layout:
     """One header line and the columns it names."""
@@ -64,17 +60,13 @@ def file_headers(listing: DataFrame) -> DataFrame:
 
 def layouts(headers: DataFrame, sep: str, required: list[str]) -> list[Layout]:
     """Distinct layouts of a ``header`` column, checked to hold all required names."""
-    lines = [row.header for row in small_rows(headers.select("header").distinct())]
-    return [checked(Layout(line, sep), required) for line in sorted(lines)]
+    return [checked(Layout(line, sep), required) for line in header_rows(headers)]
 
 
-def small_rows(per_layout: DataFrame) -> list[Row]:
-    """Rows with a header line, of a frame that has few per header line."""
-    few = per_layout.where("header is not null").repartition(1)
-    rows = few.limit(2 * MAX_LAYOUTS + 1).collect()
-    if len(rows) > 2 * MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different header lines")
-    return rows
+def header_rows(frame: DataFrame) -> list[str]:
+    """Distinct header lines, sorted. Each becomes a scan of its own in the plan."""
+    lines = frame.where("header is not null").select("header").distinct()
+    return sorted(row.header for row in lines.collect())
 
 
 def checked(layout: Layout, required: list[str]) -> Layout:
@@ -89,21 +81,27 @@ def read_delimited(
     required: list[str],
     sep: str = ",",
     name_glob: str | None = None,
+    origin: bool = False,
 ) -> DataFrame:
-    """The required columns as text, over all files, whatever their column order."""
+    """The required columns as text, over all files, whatever their column order.
+
+    ``origin`` adds the file's ``path`` and a null ``member``.
+    """
     listing = list_files(spark, paths, name_glob)
     headers = file_headers(listing)
     found = layouts(headers, sep, required)
+    more = ["path", "member"] if origin else []
     if not found:
         return spark.createDataFrame([], T.StructType(
-            [T.StructField(name, T.StringType(), True) for name in required]))
+            [T.StructField(name, T.StringType(), True) for name in [*required, *more]]))
 
     def scan(layout: Layout, where: str | list[str]) -> DataFrame:
         reader = spark.read.schema(layout.schema()).option("header", True).option("sep", sep)
         reader = reader.option("recursiveFileLookup", "true")
         if name_glob:
             reader = reader.option("pathGlobFilter", name_glob)
-        return reader.csv(where).select(*required)
+        place = [F.col("_metadata.file_path").alias("path"), F.lit(None).cast("string").alias("member")]
+        return reader.csv(where).select(*required, *(place if origin else []))
 
     if len(found) == 1:
         return scan(found[0], paths)
@@ -117,14 +115,18 @@ def read_delimited(
     )
 
 
-def read_ticks(spark: SparkSession, paths: str | list[str], name_glob: str = "*.csv") -> DataFrame:
+def read_ticks(
+    spark: SparkSession, paths: str | list[str], name_glob: str = "*.csv", origin: bool = False
+) -> DataFrame:
     """Raw ticks from unpacked comma-separated files."""
-    return read_delimited(spark, paths, RAW_TICK_COLUMNS, ",", name_glob)
+    return read_delimited(spark, paths, RAW_TICK_COLUMNS, ",", name_glob, origin)
 
 
-def read_cancels(spark: SparkSession, paths: str | list[str], name_glob: str = "*.txt") -> DataFrame:
+def read_cancels(
+    spark: SparkSession, paths: str | list[str], name_glob: str = "*.txt", origin: bool = False
+) -> DataFrame:
     """Raw cancellations from tab-separated files."""
-    return read_delimited(spark, paths, RAW_CANCEL_COLUMNS, "\t", name_glob)
+    return read_delimited(spark, paths, RAW_CANCEL_COLUMNS, "\t", name_glob, origin)
 
 
 def drop_repeated_headers(raw: DataFrame, key: str) -> DataFrame:

@@ -16,6 +16,25 @@ STRUCTURE_FILES = ["TickData_structure.dat", "TC_structure.dat"]
 # How a day shows in the names of the two data files.
 TICK_NAME = r"/WEBPXTICK_DT_(\d{8})\.zip$"
 CANCEL_NAME = r"/TC_(\d{8})\.txt$"
+CANCEL_GLOB = "TC_*.txt"
+
+
+def _day_in(path: Column, pattern: str) -> Column:
+    return F.try_to_date(F.regexp_extract(path, pattern, 1), "yyyyMMdd")
+
+
+def file_day(path: Column) -> Column:
+    """The day a file is for: the one in its name, else that of the innermost day folder, else null."""
+    return F.coalesce(
+        _day_in(path, TICK_NAME), _day_in(path, CANCEL_NAME), _day_in(path, r"^.*/(\d{8})/")
+    )
+
+
+def day_folder(path: Column) -> Column:
+    """The innermost day folder of a file, else the folder it is in."""
+    path = F.regexp_replace(path, "^file:/+", "file:/")
+    folder = F.regexp_extract(path, r"^(.*/\d{8})/", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"^(.*)/", 1))
 
 
 def dated_name(filename: Column, day: Column) -> Column:
@@ -68,7 +87,7 @@ def landing_manifest(days: DataFrame, listing: DataFrame) -> DataFrame:
     )
     expected = days.select("job_date", F.explode(templates).alias("filename"))
     present = listing.select(
-        F.try_to_date(F.regexp_extract("path", r"/(\d{8})/", 1), "yyyyMMdd").alias("job_date"),
+        _day_in(F.col("path"), r"^.*/(\d{8})/").alias("job_date"),
         F.substring_index("path", "/", -1).alias("filename"),
         F.lit(True).alias("found"),
     ).distinct()

@@ -17,14 +17,28 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
+    """A Parquet table with the given columns; empty while it does not exist."""
+    try:
+        return spark.read.options(**options).schema(schema).parquet(path)
+    except Exception as error:  # the analysis error class differs between Spark releases
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_dates(
     spark: SparkSession, path: str, dates: list[dt.date], schema: StructType | None = None
 ) -> DataFrame:
-    """Rows of some dates of a table; only the folders of those dates are listed."""
-    reader = spark.read.option("basePath", path)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(*[f"{path}/{DATE_KEY}={day.isoformat()}" for day in dates])
+    """Rows of some dates of a table; only the folders of those dates are listed.
+
+    With a schema, dates without a folder have no rows.
+    """
+    if schema is None:
+        reader = spark.read.option("basePath", path)
+        return reader.parquet(*[f"{path}/{DATE_KEY}={day.isoformat()}" for day in dates])
+    chosen = ",".join(sorted({day.isoformat() for day in dates}))
+    return read_or_empty(spark, f"{path}/{DATE_KEY}={{{chosen}}}", schema, basePath=path)
 
 
 def retype_summary(text: DataFrame) -> DataFrame:

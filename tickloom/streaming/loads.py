@@ -1,19 +1,24 @@
-"""Incremental loads: every new raw file once, each touched date replaced."""
+"""Incremental loads: every new raw file once, or each touched day replaced whole."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.clean import clean_ticks, dated
+from tickloom.functions.days import calendar_rows
+from tickloom.operators.clean import clean_ticks, dated, flawed, reject_ticks, tick_checks
 from tickloom.operators.rollup import tick_summary
-from tickloom.plans.daily import Lake, load_ticks
+from tickloom.plans.daily import Lake, load_archives, load_tick_files, record_file_errors
 from tickloom.schemas import BINARY_FILE, DATE_KEY, LISTING, RAW_TICKS, SUMMARY
-from tickloom.sources.archives import read_zipped_ticks
+from tickloom.sinks.tables import WriteWatch
+from tickloom.sources.files import list_files
+from tickloom.sources.rawzone import day_folder
 
 
 def tick_stream(spark: SparkSession, folder: str, per_batch: int | None = None) -> DataFrame:
-    """Stream of raw ticks from unpacked files arriving below ``folder``.
+    """Stream of raw ticks, with their ``path``, from unpacked files arriving below ``folder``.
 
     A stream has one schema, so all files share the declared column order; a file
     with another header fails the batch instead of shifting its cells.
@@ -24,32 +29,55 @@ def tick_stream(spark: SparkSession, folder: str, per_batch: int | None = None)
     )
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.csv(folder)
+    return reader.csv(folder).select("*", F.col("_metadata.file_path").alias("path"))
 
 
-def load_new_files(raw: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append the ticks of files not seen before, then stop.
+def load_new_files(raw: DataFrame, out: str, rejects: str, checkpoint: str) -> StreamingQuery:
+    """Append the ticks of files not seen before, and their rejects, then stop.
 
-    The file source's checkpoint remembers the files and the sink's log the
-    batches, so a restart neither repeats nor skips one.
+    The checkpoint remembers the files of each batch. A batch writes partitions of its
+    own, named by checkpoint and batch, so one that is repeated writes them again.
     """
+    name = f"{zlib.crc32(checkpoint.encode()):08x}"
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        load = F.lit(f"{name}-{batch_id}").alias("load")
+        flag = flawed(tick_checks()).alias("_flawed")
+        watch = WriteWatch(clean_ticks(batch, flag, load), flawed=F.col("_flawed"))
+        ticks = dated(watch.watched).drop("_flawed")
+        _into(ticks, out, "load", DATE_KEY)
+        if watch.counts["flawed"]:
+            _into(reject_ticks(batch).select("*", load), rejects, "load")
+
     return (
-        dated(clean_ticks(raw)).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).partitionBy(DATE_KEY)
-        .trigger(availableNow=True).start(out)
+        raw.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
 
 
+def _into(rows: DataFrame, path: str, *keys: str) -> None:
+    (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).parquet(path)
+    )
+
+
+def _day_folders(files: DataFrame) -> list[str]:
+    """The folders of the days that files are for; one per day."""
+    return [row.folder for row in calendar_rows(files.select(day_folder(F.col("path")).alias("folder")).distinct())]
+
+
 def replace_days(raw: DataFrame, lake: Lake, checkpoint: str) -> StreamingQuery:
-    """Replace the dates each batch of new files brings, in ticks and summary.
+    """Replace the days whose folders got new files, in ticks, rejects and summary.
 
-    A corrected file for an old day replaces that day. A batch must hold whole
-    days, as the daily drop does. A batch that is repeated after a failure writes
-    the same partitions again.
+    A batch loads its days' folders whole, so a day may arrive in any number of files
+    and batches. A file's folder is its day's, or if no folder is named by a day, the one
+    it lies in; then the dates of its rows are replaced. A batch that is repeated after a
+    failure writes the same partitions again.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        load_ticks(batch, lake, f"stream-{batch_id}")
+        load_tick_files(batch.sparkSession, _day_folders(batch), lake)
 
     return (
         raw.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
@@ -74,16 +102,18 @@ def archive_stream(spark: SparkSession, raw_root: str, per_batch: int | None = N
 def replace_days_from_archives(
     archives: DataFrame, lake: Lake, checkpoint: str
 ) -> StreamingQuery:
-    """Load new archives as they arrive; each replaces the dates it holds.
+    """Load new archives as they arrive, each with all others of its day's folder.
 
-    A damaged archive is listed below ``file_errors`` of the lake and does not hold
-    up the others; it is picked up again when it is delivered under a new name.
+    A day with a damaged archive stays as it is and does not hold up the others; the
+    archive is listed below ``file_errors`` of the lake until the day loads.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        read = read_zipped_ticks(batch)
-        load_ticks(read.rows.drop("path", "member"), lake, f"archives-{batch_id}", cluster=False)
-        read.errors.write.mode("overwrite").parquet(f"{lake.file_errors}/batch={batch_id}")
+        spark = batch.sparkSession
+        folders = _day_folders(batch)
+        listing = list_files(spark, folders, "*.zip")
+        done = load_archives(spark, listing, lake)
+        record_file_errors(spark, lake, listing, done)
 
     return (
         archives.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
