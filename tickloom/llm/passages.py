@@ -22,11 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from xxhash import xxh3_128_digest
 
 from tickloom.llm.frames import rows_of
 from tickloom.llm.near_dup import Banding, near_duplicates
 from tickloom.llm.store import written
-from tickloom.llm.text import SPACED, Words, mix, ngram_hashes, raw_texts, slices, words
+from tickloom.llm.text import SPACED, Words, long_lists, mix, ngram_hashes, raw_texts, slices, words
 
 WORDS = 50
 SHINGLE = 5
@@ -60,27 +61,30 @@ def _per_text(found: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark): the different MinHashes of a document's runs."""
+    """(doc_id, n_words, digest, marks): a 128-bit digest of a text's words, and the different
+    MinHashes of its runs; texts of fewer than WORDS words are left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = raw_texts(batch.column(1))
             for low, high in slices(texts):
-                ids, marks = [], []
-                for text, _, least in _per_text(words(texts[low:high], SPACED)):
-                    different = np.unique(least)
-                    ids.append(np.full(len(different), low + text))
-                    marks.append(different)
-                if ids:
+                source, counts, digests, marks = [], [], [], []
+                for text, hashes, least in _per_text(words(texts[low:high], SPACED)):
+                    source.append(low + text)
+                    counts.append(len(hashes))
+                    digests.append(xxh3_128_digest(hashes.tobytes()))
+                    marks.append(np.unique(least))
+                if source:
+                    first = np.concatenate([[0], np.cumsum([len(m) for m in marks])])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column(0).take(pa.array(np.concatenate(ids))),
-                            pa.array(np.concatenate(marks).view(np.int64)),
+                            batch.column(0).take(pa.array(source)), pa.array(counts, pa.int32()),
+                            pa.array(digests, pa.binary()), long_lists(np.concatenate(marks), first),
                         ],
-                        names=["doc_id", "mark"],
+                        names=["doc_id", "n_words", "digest", "marks"],
                     )
 
-    return docs.mapInArrow(work, "doc_id long, mark long")
+    return docs.mapInArrow(work, "doc_id long, n_words int, digest binary, marks array<long>")
 
 
 def _runs(docs: DataFrame) -> DataFrame:
@@ -119,23 +123,72 @@ def _runs(docs: DataFrame) -> DataFrame:
 
 
 def copied_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, source_id, source_place): runs of WORDS words, from word number ``place`` on,
-    that more than one document holds; the source is the first of them."""
-    signatures = _signatures(docs)
+    """(doc_id, place, n_words, source_id): runs of WORDS words, and whole texts, that more than one
+    document holds, from word number ``place`` on; the source is the first of them.
+
+    Documents of equal words are one from the start: only the first of them is searched for
+    runs, and the others are copies of it as a whole.
+    """
+    signed = written(_signatures(docs), "signatures")
+    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
+    several = classes.where("source_id <> last").select("digest", "source_id")
+    whole = signed.join(several, "digest").select("doc_id", F.lit(0).alias("place"), "n_words", "source_id").distinct()
+    first = signed.join(classes.select("digest", F.col("source_id").alias("doc_id")), ["digest", "doc_id"], "left_semi")
+    marks = first.select("doc_id", F.explode("marks").alias("mark"))
     shared = (
-        signatures.groupBy("mark").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"))
+        marks.groupBy("mark").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"))
         .where("d1 <> d2").select("mark")
     )
-    wanted = signatures.join(shared, "mark").groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
+    wanted = written(marks.join(shared, "mark").groupBy("doc_id").agg(F.collect_set("mark").alias("marks")), "marks")
     runs = written(_runs(docs.join(wanted, "doc_id")), "runs")
     sources = (
         runs.groupBy("mark", "digest")
-        .agg(F.min(F.struct("doc_id", "place")).alias("source"), F.max("doc_id").alias("last"))
-        .where("source.doc_id <> last").select("mark", "digest", "source")
-    )
-    return runs.join(sources, ["mark", "digest"]).select(
-        "doc_id", "place", F.col("source.doc_id").alias("source_id"), F.col("source.place").alias("source_place")
+        .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
+        .where("source_id <> last").select("mark", "digest", "source_id")
     )
+    found = runs.join(sources, ["mark", "digest"]).select("doc_id", "place", F.lit(WORDS).alias("n_words"), "source_id")
+    return written(_spans(found).unionByName(whole), "copied-runs")
+
+
+def _spans(found: DataFrame) -> DataFrame:
+    """Runs of a document with the same source, one word apart each, as longer ones."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in _pieces(batch.column(1)):
+                part = batch.slice(low, high - low)
+                places = part.column(1)
+                owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(places).to_numpy())
+                place = pc.struct_field(places.flatten(), "place").to_numpy().astype(np.int64)
+                source = pc.struct_field(places.flatten(), "source_id").to_numpy()
+                order = np.lexsort((place, source, owner))
+                owner, place, source = owner[order], place[order], source[order]
+                new = (np.diff(owner) != 0) | (np.diff(source) != 0) | (np.diff(place) > 1)
+                heads = np.flatnonzero(np.concatenate([[True], new]))
+                tails = np.append(heads[1:], len(owner)) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(owner[heads])), pa.array(place[heads], pa.int32()),
+                        pa.array(place[tails] - place[heads] + WORDS, pa.int32()), pa.array(source[heads]),
+                    ],
+                    names=["doc_id", "place", "n_words", "source_id"],
+                )
+
+    # What one document holds is bound by its length.
+    held = found.groupBy("doc_id").agg(F.collect_list(F.struct("place", "source_id")).alias("places"))
+    return held.mapInArrow(work, "doc_id long, place int, n_words int, source_id long")
+
+
+def _pieces(lists: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of lists of about so many members."""
+    start, size = 0, 0
+    for place, count in enumerate(pc.list_value_length(lists).to_pylist()):
+        if size and size + count > limit:
+            yield start, place
+            start, size = place, 0
+        size += count
+    if start < len(lists):
+        yield start, len(lists)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -166,7 +219,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def alike_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, n_words, source_id, source_place): lines of more than one document in a component."""
+    """(doc_id, place, n_words, source_id): lines of more than one document in a component."""
     lines = _lines(docs).withColumn("line_id", F.xxhash64("doc_id", "place"))
     found = near_duplicates(lines.select(F.col("line_id").alias("doc_id"), "text"), LINES)
     grouped = written(
@@ -176,13 +229,10 @@ def alike_lines(docs: DataFrame) -> DataFrame:
     )
     several = (
         grouped.groupBy("component_id")
-        .agg(F.min(F.struct("doc_id", "place")).alias("source"), F.max("doc_id").alias("last"))
-        .where("source.doc_id <> last")
-    )
-    return grouped.join(several, "component_id").select(
-        "doc_id", "place", "n_words",
-        F.col("source.doc_id").alias("source_id"), F.col("source.place").alias("source_place"),
+        .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
+        .where("source_id <> last").select("component_id", "source_id")
     )
+    return grouped.join(several, "component_id").select("doc_id", "place", "n_words", "source_id")
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -197,8 +247,7 @@ def passages(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
-    runs = copied_runs(docs).withColumn("n_words", F.lit(WORDS))
-    every = runs.unionByName(alike_lines(docs)).select(
+    every = copied_runs(docs).unionByName(alike_lines(docs)).select(
         "doc_id", "place", "n_words", "source_id", (F.col("source_id") == F.col("doc_id")).alias("kept")
     )
     # What one document holds is bound by its length.

@@ -8,10 +8,16 @@ from tickloom.session import fresh_dir
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame as a Parquet table in the folder that all executors share."""
+    """The frame as a Parquet table in the folder that all executors share.
+
+    Spark deletes shuffle files once the driver's garbage collector has found their plan
+    unused. With a large heap that may come late, so one collection is asked for here:
+    what the write has shuffled is not needed any more.
+    """
     spark: SparkSession = frame.sparkSession
     path = fresh_dir(spark, label)
     frame.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(frame.schema).parquet(path)
 
 
