@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.store import written
+from tickloom.llm.store import dropped, written
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -22,12 +22,14 @@ def connected(edges: DataFrame) -> DataFrame:
         "links",
     )
     while not _all_stars(links):
+        before = links
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
         large = both.join(lowest, "a").where("b > a AND b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         down = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(down, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         links = written(small.unionByName(down.select("a", F.col("low").alias("b"))).distinct(), "links")
+        dropped(links.sparkSession, before._written_at)
     stars = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return stars.unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 

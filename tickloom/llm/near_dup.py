@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import connected
-from tickloom.llm.store import written
+from tickloom.llm.store import Scratch, written
 from tickloom.llm.text import long_lists, mix, raw_texts, shingle_sets, slices
 
 _U64 = np.uint64
@@ -234,7 +234,7 @@ def _torn(members: DataFrame, found: DataFrame) -> DataFrame:
         "key", "id", F.coalesce("component", "id").alias("component")
     )
     torn = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    return written(labelled.join(torn.select("key"), "key"), "torn-buckets")
+    return labelled.join(torn.select("key"), "key")
 
 
 def _to_hubs(members: DataFrame) -> DataFrame:
@@ -312,24 +312,26 @@ def _across(torn: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def linked(docs: DataFrame, sketched: DataFrame, banding: Banding) -> DataFrame:
-    """Components (id, component) of the classes of equal sets; ids without a link are left out.
+    """Components (id, component) of the classes of equal sets, written; ids without a link are left out.
 
     ``sketched`` holds one row per class, ``docs`` at least the text of each class's id.
     """
-    keyed = banded(sketched, banding)
-    shared = keyed.groupBy("key").agg(F.min("id").alias("id1"), F.max("id").alias("id2")).where("id1 <> id2")
-    members = written(keyed.join(shared.select("key"), "key"), "bucket-members")
-    wanted = written(members.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
-    with_text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = written(full_sets(with_text.join(wanted, "doc_id", "left_semi"), banding.words), "sets")
-
-    pairs = written(_to_hubs(members.withColumn("component", F.col("id"))), "pairs")
-    edges = written(verified(plausible(pairs, sketched, banding), sets, banding.percent), "edges")
-    found = connected(edges)
-    torn = _torn(members, found)
-    if torn.isEmpty():
-        return found
-    return connected(edges.unionByName(written(_across(torn, sets, banding.percent), "edges")))
+    with Scratch(docs.sparkSession) as scratch:
+        keyed = banded(sketched, banding)
+        shared = keyed.groupBy("key").agg(F.min("id").alias("id1"), F.max("id").alias("id2")).where("id1 <> id2")
+        members = scratch.write(keyed.join(shared.select("key"), "key"), "bucket-members")
+        wanted = scratch.write(members.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
+        with_text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        sets = scratch.write(full_sets(with_text.join(wanted, "doc_id", "left_semi"), banding.words), "sets")
+
+        pairs = scratch.write(_to_hubs(members.withColumn("component", F.col("id"))), "pairs")
+        edges = scratch.write(verified(plausible(pairs, sketched, banding), sets, banding.percent), "edges")
+        found = connected(edges)
+        torn = scratch.write(_torn(members, found), "torn-buckets")
+        if not torn.isEmpty():
+            more = scratch.write(_across(torn, sets, banding.percent), "edges")
+            found = connected(edges.unionByName(more))
+        return written(found, "components")
 
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
@@ -340,24 +342,26 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     fewer words than a shingle has is compared as a whole. Rows of one doc_id count as one
     document. A null doc_id is in no component and kept. Other columns are not read.
     """
-    every = written(sketches(docs, banding), "sketches")
-    # One sketch of each class, that of its smallest id.
-    classes = written(
-        every.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_id").agg(
-            F.min("id").alias("id"), F.max("id").alias("last_id"),
-            F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"),
-        ),
-        "classes",
-    )
-    found = written(linked(docs, classes.select("id", "n_shingles", "registers"), banding), "components")
-    copies = classes.where("id <> last_id").select("set_id", F.col("id").alias("first_id"))
-    return (
-        every.select("id", "n_shingles", "set_id").join(copies, "set_id", "left")
-        .withColumn("class_id", F.coalesce("first_id", "id"))
-        .join(found.withColumnRenamed("id", "class_id"), "class_id", "left")
-        .select(
-            F.col("id").alias("doc_id"), "n_shingles",
-            F.coalesce("component", "class_id").alias("component_id"),
+    with Scratch(docs.sparkSession) as scratch:
+        every = scratch.write(sketches(docs, banding), "sketches")
+        # One sketch of each class, that of its smallest id.
+        classes = scratch.write(
+            every.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_id").agg(
+                F.min("id").alias("id"), F.max("id").alias("last_id"),
+                F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"),
+            ),
+            "classes",
         )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+        found = scratch.adopt(linked(docs, classes.select("id", "n_shingles", "registers"), banding))
+        copies = classes.where("id <> last_id").select("set_id", F.col("id").alias("first_id"))
+        result = (
+            every.select("id", "n_shingles", "set_id").join(copies, "set_id", "left")
+            .withColumn("class_id", F.coalesce("first_id", "id"))
+            .join(found.withColumnRenamed("id", "class_id"), "class_id", "left")
+            .select(
+                F.col("id").alias("doc_id"), "n_shingles",
+                F.coalesce("component", "class_id").alias("component_id"),
+            )
+            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        )
+        return written(result, "near-duplicates")

@@ -26,7 +26,7 @@ from xxhash import xxh3_128_digest
 
 from tickloom.llm.frames import rows_of
 from tickloom.llm.near_dup import Banding, near_duplicates
-from tickloom.llm.store import written
+from tickloom.llm.store import Scratch, written
 from tickloom.llm.text import SPACED, Words, long_lists, mix, ngram_hashes, raw_texts, slices, words
 
 WORDS = 50
@@ -129,25 +129,28 @@ def copied_runs(docs: DataFrame) -> DataFrame:
     Documents of equal words are one from the start: only the first of them is searched for
     runs, and the others are copies of it as a whole.
     """
-    signed = written(_signatures(docs), "signatures")
-    classes = signed.groupBy("digest").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
-    several = classes.where("source_id <> last").select("digest", "source_id")
-    whole = signed.join(several, "digest").select("doc_id", F.lit(0).alias("place"), "n_words", "source_id").distinct()
-    first = signed.join(classes.select("digest", F.col("source_id").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    marks = first.select("doc_id", F.explode("marks").alias("mark"))
-    shared = (
-        marks.groupBy("mark").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"))
-        .where("d1 <> d2").select("mark")
-    )
-    wanted = written(marks.join(shared, "mark").groupBy("doc_id").agg(F.collect_set("mark").alias("marks")), "marks")
-    runs = written(_runs(docs.join(wanted, "doc_id")), "runs")
-    sources = (
-        runs.groupBy("mark", "digest")
-        .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
-        .where("source_id <> last").select("mark", "digest", "source_id")
-    )
-    found = runs.join(sources, ["mark", "digest"]).select("doc_id", "place", F.lit(WORDS).alias("n_words"), "source_id")
-    return written(_spans(found).unionByName(whole), "copied-runs")
+    with Scratch(docs.sparkSession) as scratch:
+        signed = scratch.write(_signatures(docs), "signatures")
+        classes = signed.groupBy("digest").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
+        several = classes.where("source_id <> last").select("digest", "source_id")
+        whole = signed.join(several, "digest").select("doc_id", F.lit(0).alias("place"), "n_words", "source_id")
+        first = signed.join(
+            classes.select("digest", F.col("source_id").alias("doc_id")), ["digest", "doc_id"], "left_semi"
+        )
+        marks = first.select("doc_id", F.explode("marks").alias("mark"))
+        shared = (
+            marks.groupBy("mark").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"))
+            .where("d1 <> d2").select("mark")
+        )
+        wanted = marks.join(shared, "mark").groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
+        runs = scratch.write(_runs(docs.join(scratch.write(wanted, "marks"), "doc_id")), "runs")
+        sources = (
+            runs.groupBy("mark", "digest")
+            .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
+            .where("source_id <> last").select("mark", "digest", "source_id")
+        )
+        found = runs.join(sources, ["mark", "digest"]).select("doc_id", "place", "source_id")
+        return written(_spans(found).unionByName(whole.distinct()), "copied-runs")
 
 
 def _spans(found: DataFrame) -> DataFrame:
@@ -221,18 +224,22 @@ def _lines(docs: DataFrame) -> DataFrame:
 def alike_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, place, n_words, source_id): lines of more than one document in a component."""
     lines = _lines(docs).withColumn("line_id", F.xxhash64("doc_id", "place"))
-    found = near_duplicates(lines.select(F.col("line_id").alias("doc_id"), "text"), LINES)
-    grouped = written(
-        lines.select("doc_id", "place", "n_words", "line_id")
-        .join(found.select(F.col("doc_id").alias("line_id"), "component_id"), "line_id"),
-        "lines",
-    )
-    several = (
-        grouped.groupBy("component_id")
-        .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
-        .where("source_id <> last").select("component_id", "source_id")
-    )
-    return grouped.join(several, "component_id").select("doc_id", "place", "n_words", "source_id")
+    with Scratch(docs.sparkSession) as scratch:
+        found = scratch.adopt(near_duplicates(lines.select(F.col("line_id").alias("doc_id"), "text"), LINES))
+        # Most lines are alone; only the others are looked up again.
+        shared = found.groupBy("component_id").agg(F.count("*").alias("lines")).where("lines > 1")
+        linked = scratch.write(
+            found.join(shared, "component_id").select(F.col("doc_id").alias("line_id"), "component_id"), "linked-lines"
+        )
+        placed = lines.select("doc_id", "place", "n_words", "line_id")
+        grouped = scratch.write(placed.join(linked, "line_id"), "lines")
+        several = (
+            grouped.groupBy("component_id")
+            .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
+            .where("source_id <> last").select("component_id", "source_id")
+        )
+        out = grouped.join(several, "component_id").select("doc_id", "place", "n_words", "source_id")
+        return written(out, "alike-lines")
 
 
 def passages(docs: DataFrame) -> DataFrame:
