@@ -247,6 +247,7 @@ def test_serving_update_and_reload(spark, zone, lake, folder, monkeypatch):
         df.write.mode("overwrite").parquet(table)
 
     monkeypatch.setattr(serving, "read_whole_serving", lambda *_, **__: spark.read.parquet(table))
+    monkeypatch.setattr(serving, "serving_exists", lambda *_, **__: True)
     monkeypatch.setattr(serving, "refresh_serving", refresh)
     monkeypatch.setattr(ranges, "refresh_serving", refresh)
     ranges.update_serving(spark, lake, [MONDAY], url="jdbc:x", table="t")
@@ -255,6 +256,15 @@ def test_serving_update_and_reload(spark, zone, lake, folder, monkeypatch):
     assert {r.GroupVolume for r in spark.read.parquet(table).collect()} == {6, 5, 2}
 
 
+def test_serving_table_is_made_on_first_use(spark, zone, lake, folder, monkeypatch):
+    run_tick_load(spark, f"{zone}/raw", lake, days(spark))
+    made = []
+    monkeypatch.setattr(serving, "serving_exists", lambda *_, **__: False)
+    monkeypatch.setattr(serving, "append_serving", lambda df, url, table, **_: made.append((table, df.count())))
+    ranges.update_serving(spark, lake, [FRIDAY, MONDAY], url="jdbc:x", table="t")
+    assert made == [("t", 3)]
+
+
 def test_command_line(spark, zone, lake, capsys):
     config = zone.put("t.ini", f"[storage]\nraw = {zone}/raw\nlake = {lake.root}\n")
 

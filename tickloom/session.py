@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -72,11 +75,12 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_root:
         _local_root[app] = tempfile.mkdtemp(prefix="tickloom-")
+        atexit.register(shutil.rmtree, _local_root[app], ignore_errors=True)
     return _local_root[app]
 
 

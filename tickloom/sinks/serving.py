@@ -7,7 +7,7 @@ of connections.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from tickloom.operators.replace import replace_dates
 from tickloom.schemas import DATE_KEY
@@ -47,9 +47,31 @@ def staged_replacement(target: DataFrame, batch: DataFrame, key: str = DATE_KEY)
     return spark.read.schema(target.schema).parquet(staged)
 
 
+def serving_exists(spark: SparkSession, url: str, table: str, **options: str) -> bool:
+    """Whether the database knows the table, by its information schema."""
+    schema, _, name = table.replace('"', "").replace("'", "''").rpartition(".")
+    where = f"lower(table_name) = lower('{name}')" + (f" AND lower(table_schema) = lower('{schema}')" if schema else "")
+    found = spark.read.format("jdbc").options(
+        url=url, query=f"SELECT count(*) AS n FROM information_schema.tables WHERE {where}", **options
+    ).load()
+    return found.first().n > 0
+
+
 def replace_serving(
     batch: DataFrame, url: str, table: str, key: str = DATE_KEY, **options: str
 ) -> None:
-    """Exchange the rows of the batch's dates. Running it twice changes nothing more."""
+    """Exchange the rows of the batch's dates. Running it twice changes nothing more.
+
+    The first time the batch makes the table. While the table is exchanged readers may see
+    a part of it; a failure then leaves the whole of it in the staged copy, which is
+    written before and named in the error.
+    """
+    if not serving_exists(batch.sparkSession, url, table, **options):
+        append_serving(batch, url, table, **options)
+        return
     target = read_whole_serving(batch.sparkSession, url, table, **options)
-    refresh_serving(staged_replacement(target, batch, key), url, table, **options)
+    staged = staged_replacement(target, batch, key)
+    try:
+        refresh_serving(staged, url, table, **options)
+    except Exception as error:
+        raise RuntimeError(f"{table} may be incomplete; all its rows are in {staged.inputFiles()[:1]}") from error

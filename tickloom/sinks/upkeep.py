@@ -45,8 +45,10 @@ def regrouped(rows: DataFrame, wanted: dict[dt.date, int], key: str = DATE_KEY)
     """
     plan = rows.sparkSession.createDataFrame(list(wanted.items()), f"{key} date, _files int")
     # One plan row per date, so the broadcast is bounded by the calendar.
+    # By place in a task, so that equal rows are spread as well. A retried task reads the
+    # same files in the same order.
     salted = rows.join(F.broadcast(plan), key).withColumn(
-        "_salt", F.pmod(F.xxhash64(*rows.columns), F.col("_files"))
+        "_salt", F.pmod(F.monotonically_increasing_id(), F.col("_files"))
     )
     tasks = 2 * sum(wanted.values())
     return salted.repartition(tasks, key, "_salt").select(*rows.columns)
