@@ -304,33 +304,39 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         .withColumnRenamed("doc_id", "cut_id")
     )
     frame = docs.select(rows_of(docs)).join(cuts, F.col("row.doc_id") == F.col("cut_id"), "left")
-    plain = frame.where("cut_id IS NULL").select("row.*")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = raw_texts(pc.struct_field(batch.column(0), "text"))
-            for low, high in slices(texts):
-                left = []
-                found = words(texts[low:high], SPACED)
-                offsets = np.cumsum([0, *(len(t) + 1 for t in texts[low:high])]).tolist()
-                for text in range(high - low):
-                    raw, first, offset = texts[low + text], int(found.first[text]), offsets[text]
-                    parts, done = [], 0
-                    for cut in batch.column(1)[low + text].as_py():
-                        start = int(found.starts[first + cut["place"]]) - offset
-                        parts.append(raw[done:start].strip())
-                        done = int(found.ends[first + cut["place"] + cut["n_words"] - 1]) - offset
-                    parts.append(raw[done:].strip())
-                    left.append(b"\n".join(p for p in parts if p))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(left, pa.binary()).cast(pa.string())],
-                    names=["row", "left"],
-                )
+            cut = batch.column(1).to_pylist()
+            left: list[bytes | None] = [None] * len(texts)
+            chosen = [n for n, c in enumerate(cut) if c]
+            for low, high in slices([texts[n] for n in chosen]):
+                numbers = chosen[low:high]
+                found = words([texts[n] for n in numbers], SPACED)
+                offset = 0
+                for text, n in enumerate(numbers):
+                    left[n] = _cut(texts[n], found, text, offset, cut[n])
+                    offset += len(texts[n]) + 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(left, pa.binary()).cast(pa.string())], names=["row", "left"]
+            )
 
     fields = StructType([frame.schema["row"], *StructType.fromDDL("left string").fields])
-    cut = frame.where("cut_id IS NOT NULL").select("row", "cuts").mapInArrow(work, fields).where("left <> ''")
-    changed = {"text": F.col("left"), "n_chars": F.char_length("left").cast(docs.schema["n_chars"].dataType)} if (
-        "n_chars" in docs.columns
-    ) else {"text": F.col("left")}
-    cut = cut.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
-    return plain.unionByName(cut)
+    done = frame.select("row", "cuts").mapInArrow(work, fields).where("left IS NULL OR left <> ''")
+    changed = {"text": F.coalesce("left", "row.text")}
+    if "n_chars" in docs.columns:
+        size = F.char_length("left").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("left").isNull(), F.col("row.n_chars")).otherwise(size)
+    return done.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def _cut(raw: bytes, found: Words, text: int, offset: int, cuts: list[dict]) -> bytes:
+    """What stands around the cuts of a text that begins at the offset in the words' bytes."""
+    first, parts, done = int(found.first[text]), [], 0
+    for cut in cuts:
+        start = int(found.starts[first + cut["place"]]) - offset
+        parts.append(raw[done:start].strip())
+        done = int(found.ends[first + cut["place"] + cut["n_words"] - 1]) - offset
+    parts.append(raw[done:].strip())
+    return b"\n".join(p for p in parts if p)
