@@ -335,6 +335,7 @@ FROM summary GROUP BY 1"""
     "batch_dates": 'SELECT DISTINCT cast(l_shipdate AS date) AS "TradeDateParsed" FROM lineitem',
     "retention_candidates": (
         "SELECT DISTINCT 'v1' AS version, cast(ts AS date) AS \"TradeDateParsed\" FROM events"
+        " WHERE ts < DATE '2024-01-16'"
     ),
     "business_calendar": f"WITH {_DAYS} SELECT job_date FROM days",
     "business_day_count": f"""

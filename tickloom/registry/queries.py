@@ -413,17 +413,17 @@ def compaction(spark, sf_dir):
 
 @registered
 def retention_candidates(spark, sf_dir):
-    """Files of a replaced version of the summary, by date."""
+    """Files of a replaced version of the summary, by date; those of the first days are past the retention."""
     root = fresh_dir(spark, "retention")
     summary = _summary(spark, sf_dir)
     tables.write_table(summary, f"{root}/v1")
     tables.write_table(summary, f"{root}/v2")
-    later = dt.datetime(2200, 1, 1)
-    old = upkeep.retention_candidates(
-        files.list_files(spark, root, "*.parquet"),
-        files.list_files(spark, f"{root}/v2", "*.parquet"), later,
-    )
     day = F.regexp_extract("path", f"/{DATE_KEY}=([^/]+)/", 1).cast("date")
+    written = F.col("modificationTime")
+    aged = F.when(day < F.lit("2024-01-16").cast("date"), written - F.expr("interval 169 hours")).otherwise(written)
+    listing = files.list_files(spark, root, "*.parquet").withColumn("modificationTime", aged)
+    live = files.list_files(spark, f"{root}/v2", "*.parquet")
+    old = upkeep.retention_candidates(listing, live, dt.datetime.now())
     version = F.regexp_extract("path", "/(v[12])/", 1)
     return old.select(version.alias("version"), day.alias(DATE_KEY)).distinct()
 
