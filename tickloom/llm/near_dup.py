@@ -322,7 +322,9 @@ def linked(docs: DataFrame, sketched: DataFrame, banding: Banding) -> DataFrame:
         members = scratch.write(keyed.join(shared.select("key"), "key"), "bucket-members")
         wanted = scratch.write(members.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
         with_text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        sets = scratch.write(full_sets(with_text.join(wanted, "doc_id", "left_semi"), banding.words), "sets")
+        # The same join at every size: texts are never joined with a broadcast of ids.
+        chosen = with_text.join(wanted.hint("merge"), "doc_id", "left_semi")
+        sets = scratch.write(full_sets(chosen, banding.words), "sets")
 
         pairs = scratch.write(_to_hubs(members.withColumn("component", F.col("id"))), "pairs")
         edges = scratch.write(verified(plausible(pairs, sketched, banding), sets, banding.percent), "edges")
