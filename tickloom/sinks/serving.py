@@ -7,7 +7,7 @@ of connections.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from tickloom.operators.replace import replace_dates
 from tickloom.schemas import DATE_KEY
@@ -67,7 +67,7 @@ def replace_serving(
     written before and named in the error.
     """
     if not serving_exists(batch.sparkSession, url, table, **options):
-        append_serving(batch, url, table, **options)
+        append_serving(batch.where(F.col(key).isNotNull()), url, table, **options)
         return
     target = read_whole_serving(batch.sparkSession, url, table, **options)
     staged = staged_replacement(target, batch, key)
