@@ -194,49 +194,46 @@ def _pieces(lists: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(lists)
 
 
-_SPACE = r"[\x20\x09-\x0D]+"
-
-
 def _word_count(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, f"^{_SPACE}|{_SPACE}$", "")
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, _SPACE)))
+    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, n_words, text, line_id) of the lines of at least WORDS words."""
+    """(doc_id, line, text, line_id) of the lines that are long enough for WORDS words."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    # A line of that many words has as many characters between them, which is told faster.
-    lines = lines.where(F.length("text") >= 2 * WORDS - 1)
-    return lines.withColumn("n_words", _word_count(F.col("text"))).where(F.col("n_words") >= WORDS).withColumn(
-        "line_id", F.xxhash64("doc_id", "line")
-    )
+    # So many words have as many characters between them.
+    return lines.where(F.length("text") >= 2 * WORDS - 1).withColumn("line_id", F.xxhash64("doc_id", "line"))
 
 
 def alike_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, place, n_words, source_id): lines of more than one document in a component."""
     lines = _lines(docs)
     with Scratch(docs.sparkSession) as scratch:
-        found = scratch.adopt(near_duplicates(lines.select(F.col("line_id").alias("doc_id"), "text"), LINES))
+        full = lines.where(_word_count(F.col("text")) >= WORDS)
+        found = scratch.adopt(near_duplicates(full.select(F.col("line_id").alias("doc_id"), "text"), LINES))
         # Most lines are alone; only the others are looked up again.
         shared = found.groupBy("component_id").agg(F.count("*").alias("lines")).where("lines > 1")
         linked = scratch.write(
             found.join(shared, "component_id").select(F.col("doc_id").alias("line_id"), "component_id"), "linked-lines"
         )
-        placed = lines.select("doc_id", "line", "n_words", "line_id").join(linked, "line_id")
-        grouped = scratch.write(placed.select("doc_id", "line", "n_words", "component_id"), "lines")
+        placed = lines.select("doc_id", "line", "line_id").join(linked, "line_id")
+        grouped = scratch.write(placed.select("doc_id", "line", "component_id"), "lines")
         several = (
             grouped.groupBy("component_id")
             .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
             .where("source_id <> last").select("component_id", "source_id")
         )
         alike = scratch.write(grouped.join(several, "component_id"), "placed-lines")
-        # The words before a line, of the documents that have such lines.
-        before = F.aggregate(
-            F.slice(F.split("text", "\n"), 1, F.col("line")), F.lit(0), lambda n, line: n + _word_count(line)
-        )
+        # Words of such a line, and before it.
+        split = F.split("text", "\n")
+        before = _word_count(F.array_join(F.slice(split, 1, F.col("line")), "\n"))
         texts = docs.join(alike.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-        out = texts.join(alike, "doc_id").select("doc_id", before.alias("place"), "n_words", "source_id")
-        return written(out.distinct(), "alike-lines")
+        out = texts.join(alike, "doc_id").select(
+            "doc_id", before.cast("int").alias("place"),
+            _word_count(F.get(split, F.col("line"))).cast("int").alias("n_words"), "source_id",
+        )
+        # Documents that share a doc_id may have a line of that number that is not the one meant.
+        return written(out.where("n_words IS NOT NULL").distinct(), "alike-lines")
 
 
 def passages(docs: DataFrame) -> DataFrame:
