@@ -1,6 +1,7 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+import textwrap
 
 import pytest
 
@@ -29,3 +30,28 @@ def test_license_in_a_long_line(spark, count):
         (number, template.license_id, 0) for number, template in enumerate(licenses.templates())
     ]
     assert all(r.saved_bytes > 0 for r in found)
+
+
+@pytest.mark.parametrize("width", [20, 40, 60, 72, 78])
+def test_license_in_wrapped_lines(spark, width):
+    """The first and last lines of a wrapped notice hold no stem; so may lines above and below it."""
+    rows, wrapped = [], {}
+    for number, template in enumerate(licenses.templates()):
+        wrapped[number] = ["# " + line for line in textwrap.wrap(template.text, width, break_on_hyphens=False, break_long_words=False)]
+        around = textwrap.wrap(" ".join(prose(120, number)), width)
+        rows.append((number, "\n".join(around + wrapped[number] + around)))
+        rows.append((100 + number, "\n".join(wrapped[number])))
+    found = licenses.scan(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id, r.license_id, r.n_different) for r in found) == sorted(
+        (number + more, template.license_id, 0)
+        for number, template in enumerate(licenses.templates()) for more in (0, 100)
+    )
+    assert all(r.n_lines == len(wrapped[r.doc_id % 100]) for r in found)
+
+
+def test_licenses_near_each_other_are_found_once(spark):
+    one = "Released under the MIT License."
+    apart = "\n".join(prose(8, 1))
+    rows = [(1, f"{one}\n{apart}\n{one}"), (2, f"{one}\n" + "\n".join(prose(300, 2)) + f"\n{one}")]
+    found = licenses.scan(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id, r.first_line, r.n_lines) for r in found) == [(1, 0, 1), (1, 9, 1), (2, 0, 1), (2, 301, 1)]
