@@ -1,11 +1,14 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+import string
 import textwrap
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tickloom.llm import licenses
+from tickloom.llm import language, licenses
 
 DOCS = "doc_id long, text string"
 PROSE = (
@@ -55,3 +58,35 @@ def test_licenses_near_each_other_are_found_once(spark):
     rows = [(1, f"{one}\n{apart}\n{one}"), (2, f"{one}\n" + "\n".join(prose(300, 2)) + f"\n{one}")]
     found = licenses.scan(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted((r.doc_id, r.first_line, r.n_lines) for r in found) == [(1, 0, 1), (1, 9, 1), (2, 0, 1), (2, 301, 1)]
+
+
+# The first article of the declaration of human rights.
+UNLEARNED = {
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+          "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel "
+          "bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i "
+          "sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "zh": "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+}
+
+
+def test_texts_of_no_learned_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language.learned(docs)
+    letters = random.Random(5)
+    texts = [t * times for t in UNLEARNED.values() for times in (1, 5, 50)]
+    texts.append(" ".join("".join(letters.choices(string.ascii_lowercase, k=letters.randint(2, 10))) for _ in range(200)))
+    texts.append("".join(letters.choices(string.ascii_letters + string.digits + "+/", k=5_000)))
+    names, scores, rejected = model.predict([t.encode() for t in texts])
+    assert rejected.all(), [(t[:20], n, s) for t, n, s, r in zip(texts, names, scores, rejected, strict=True) if not r]
+    held = language.identified(docs.where(language.held_out()), model).where(F.col("row.text").rlike(r"\p{L}"))
+    assert held.where("rejected").count() <= 0.005 * held.count()
+
+
+def test_one_short_text_does_not_set_the_floor_of_long_ones():
+    score = np.concatenate([[0.05], np.full(150, 0.4), np.full(150, 0.9)])
+    length = np.concatenate([[3], np.full(150, 5), np.full(150, 12)])
+    floors = language.floors_of(score, length)
+    assert floors[12] > 0.4 and 0.1 < floors[5] < 0.3

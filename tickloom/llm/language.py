@@ -5,8 +5,8 @@ logarithmic counts, inverse document frequencies and unit length; case, digits a
 do not count. Each language has several centroids, found by spherical k-means. As some
 labels are wrong, a centroid finally belongs to the language most common among all training
 texts nearest to it. The language of the centroid with the largest cosine is predicted. A
-text that is much farther from its centroid than any training text of about its length is
-rejected.
+text that is much farther from its centroid than nearly all training texts of about its length
+are from theirs is rejected.
 """
 
 from __future__ import annotations
@@ -30,8 +30,11 @@ DIMENSIONS = 4096
 FIT_ROWS = 1000
 CENTROIDS = 4
 ROUNDS = 12
-#: A text is rejected below this share of the least cosine of training texts of its length.
-REJECT_SHARE = 0.25
+#: A text is rejected below this share of a low quantile of the cosines of training texts of its length.
+REJECT_SHARE = 0.5
+QUANTILE = 0.005
+#: A class of lengths with fewer training texts borrows from the classes next to it.
+THIN = 30
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -85,6 +88,28 @@ def clustered(points: np.ndarray, count: int, rounds: int = ROUNDS) -> np.ndarra
     return centroids
 
 
+def left_out(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Cosines of unit vectors to the nearest centroid, each without its own part in it."""
+    cosines = points @ centroids.T
+    own = np.argmax(cosines, axis=1)
+    sums = np.array([points[own == c].sum(axis=0) for c in range(len(centroids))])
+    dots = (points * sums[own]).sum(axis=1)
+    rest = np.sqrt(np.maximum((sums * sums).sum(axis=1)[own] - 2 * dots + 1, 0))
+    alone = np.bincount(own, minlength=len(centroids))[own] == 1
+    cosines[np.arange(len(points)), own] = np.where(alone, 0, (dots - 1) / np.where(alone | (rest == 0), 1, rest))
+    return cosines.max(axis=1)
+
+
+def floors_of(score: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Per class of lengths the cosine below which a text is rejected, from those of training texts."""
+    floors = np.zeros(_LENGTHS)
+    for own in range(_LENGTHS):
+        # As many classes on both sides as make enough texts, or all.
+        near = next(n for s in range(_LENGTHS) if (n := abs(length - own) <= s).sum() >= THIN or s == _LENGTHS - 1)
+        floors[own] = REJECT_SHARE * np.quantile(score[near], QUANTILE)
+    return floors
+
+
 @dataclass
 class Model:
     languages: list[str]  # of each centroid
@@ -148,14 +173,7 @@ def fit(training: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         counts = counted([t.encode() for t in frame["text"]])
         points = vectors(counts, idf)
         centroids = clustered(points, CENTROIDS)
-        cosines = points @ centroids.T
-        score, length = cosines.max(axis=1), _length(counts)
-        least = np.full(_LENGTHS, np.inf)
-        np.minimum.at(least, length, score)
-        # Longer texts are no farther: a class takes the least of its own and the shorter ones,
-        # and one below all training texts the least of all.
-        least = np.minimum.accumulate(np.where(np.isfinite(least), least, score.max()))
-        floors = np.minimum(least, score.min() if len(score) < 50 else least) * REJECT_SHARE
+        floors = floors_of(left_out(points, centroids), _length(counts))
         return pd.DataFrame({
             "lang": key[0], "centroid": [c.astype(np.float32).tobytes() for c in centroids],
             "floors": [floors.astype(np.float64).tobytes()] * len(centroids),
