@@ -90,3 +90,12 @@ def test_one_short_text_does_not_set_the_floor_of_long_ones():
     length = np.concatenate([[3], np.full(150, 5), np.full(150, 12)])
     floors = language.floors_of(score, length)
     assert floors[12] > 0.4 and 0.1 < floors[5] < 0.3
+
+
+def test_all_training_texts_vote_for_the_language_of_a_centroid(spark):
+    """An equal share of each language fits: 40 of the rare one, and 10 of the 100 of the common one."""
+    near, far = "alpha beta gamma delta epsilon", "sunt quot homines tot sententiae suo quoique mos"
+    rows = [("rare", near)] * 40 + [("common", near)] * 100 + [("common", far)] * 300
+    frame = spark.createDataFrame([(n, t, g) for n, (g, t) in enumerate(rows)], DOCS + ", lang string")
+    model = language.fit(frame, fit_rows=40)
+    assert model.predict([near.encode()])[0] == ["common"]

@@ -26,7 +26,7 @@ from tickloom.llm.text import raw_texts, slices
 
 DIMENSIONS = 4096
 #: The model is fitted on at most about so many training texts of a language, taken by a
-#: hash of their ids; document frequencies come from all training texts.
+#: hash of their ids; document frequencies and the languages of centroids come from all training texts.
 FIT_ROWS = 1000
 CENTROIDS = 4
 ROUNDS = 12
@@ -188,17 +188,17 @@ def fit(training: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         np.array([np.frombuffer(f[2]) for f in fitted]).reshape(-1, _LENGTHS),
     )
     if model.languages:
-        model.languages = _owners(sample, model)
+        model.languages = _owners(rows, model)
     return model
 
 
-def _owners(sample: DataFrame, model: Model) -> list[str]:
+def _owners(rows: DataFrame, model: Model) -> list[str]:
     """Each centroid's language: the most common one of the texts nearest to it, ties to the smaller name."""
 
     def compute(texts: Sequence[bytes]) -> list[pa.Array]:
         return [pa.array(np.argmax(vectors(counted(texts), model.idf) @ model.centroids.T, axis=1), pa.int64())]
 
-    votes = annotated(sample.select("lang", "text"), "centroid long", compute)
+    votes = annotated(rows.select("lang", "text"), "centroid long", compute)
     votes = votes.groupBy("centroid", F.col("row.lang").alias("lang")).agg(F.count("*").alias("n")).collect()
     most: dict[int, tuple] = {}
     for vote in sorted(votes, key=lambda r: (-r.n, r.lang)):
