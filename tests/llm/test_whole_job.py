@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm import language, licenses
+from tickloom.llm import language, licenses, passages
 
 DOCS = "doc_id long, text string"
 PROSE = (
@@ -99,3 +99,24 @@ def test_all_training_texts_vote_for_the_language_of_a_centroid(spark):
     frame = spark.createDataFrame([(n, t, g) for n, (g, t) in enumerate(rows)], DOCS + ", lang string")
     model = language.fit(frame, fit_rows=40)
     assert model.predict([near.encode()])[0] == ["common"]
+
+
+def test_edited_copy_of_a_wrapped_paragraph(spark):
+    """240 words in lines of 12 with one word of 42 changed: no 50 equal words in a row, no line of 50."""
+    text = [f"word{n}" for n in range(240)]
+    edited = [f"other{n}" if n % 42 == 41 else w for n, w in enumerate(text)]
+
+    def lines(words):
+        return "\n".join(" ".join(words[n: n + 12]) for n in range(0, len(words), 12))
+
+    rows = [
+        (1, f"head of one\n\n{lines(text)}\n \nend of one"), (2, f"two begins\nhere\n\n{lines(edited)}\n\n\nend of two"),
+        (3, f"three\n\n{' '.join(edited)}"), (4, lines(text[:40])),
+    ]
+    frame = spark.createDataFrame(rows, DOCS)
+    found = set(map(tuple, passages.passages(frame).collect()))
+    # The second holds the first one's by likeness, and what the third copies word by word.
+    assert found == {(1, 3, 240, 1, True), (2, 3, 240, 1, False), (2, 3, 240, 2, True), (3, 1, 240, 1, False)}
+    left = {r.doc_id: r.text for r in passages.without_repeats(frame).collect()}
+    assert left[1] == rows[0][1] and left[4] == rows[3][1]
+    assert left[2].split() == "two begins here end of two".split() and left[3] == "three"

@@ -5,8 +5,9 @@ run of ``WORDS`` words is a paragraph, and its MinHash is the least hash of its
 shingles: as a passage is copied word by word, one hash finds every copy. Paragraphs that
 collide and belong to different documents are joined and verified by the digest of all
 their words, together with the MinHash 128 bits; overlapping ones merge into passages.
-Lines of at least ``WORDS`` words are paragraphs as well; these may be edited, so they go
-through bands of MinHash registers, tuned for recall, and exact Jaccard similarity.
+Lines, and lines between blank ones taken together, of at least ``WORDS`` words are paragraphs
+as well; these may be edited, so they go through bands of MinHash registers, tuned for recall,
+and exact Jaccard similarity.
 
 In each group of equal or linked paragraphs the first stays, by doc_id and place; the others
 are to be removed.
@@ -31,7 +32,9 @@ from tickloom.llm.text import SPACED, Words, long_lists, mix, ngram_hashes, raw_
 
 WORDS = 50
 SHINGLE = 5
-#: A pair of lines at the least similarity, 0.75, shares no band with a chance of 0.0005.
+#: What parts lines, and paragraphs: white space with two line breaks at least.
+KINDS = (r"\n", r"\n[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*")
+#: A pair of lines or paragraphs at the least similarity, 0.75, shares no band with a chance of 0.0005.
 LINES = Banding(rows=4, bands=20)
 
 _U64 = np.uint64
@@ -198,42 +201,47 @@ def _word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, text, line_id) of the lines that are long enough for WORDS words."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    # So many words have as many characters between them.
-    return lines.where(F.length("text") >= 2 * WORDS - 1).withColumn("line_id", F.xxhash64("doc_id", "line"))
+def _units(docs: DataFrame) -> DataFrame:
+    """(doc_id, kind, number, text, unit_id) of the lines, and paragraphs of several lines, that are long
+    enough for WORDS words."""
+    units = docs.select("doc_id", F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.split("text", pattern).alias("parts")) for kind, pattern in enumerate(KINDS)
+    ])).alias("unit")).select("doc_id", "unit.kind", F.posexplode("unit.parts").alias("number", "text"))
+    # So many words have as many characters between them. A paragraph of one line is that line.
+    return units.where((F.length("text") >= 2 * WORDS - 1) & ((F.col("kind") == 0) | F.contains("text", F.lit("\n")))).withColumn(
+        "unit_id", F.xxhash64("doc_id", "kind", "number")
+    )
 
 
-def alike_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, n_words, source_id): lines of more than one document in a component."""
-    lines = _lines(docs)
+def alike_units(docs: DataFrame) -> DataFrame:
+    """(doc_id, place, n_words, source_id): lines and paragraphs of more than one document in a component."""
+    units = _units(docs)
     with Scratch(docs.sparkSession) as scratch:
-        full = lines.where(_word_count(F.col("text")) >= WORDS)
-        found = scratch.adopt(near_duplicates(full.select(F.col("line_id").alias("doc_id"), "text"), LINES))
-        # Most lines are alone; only the others are looked up again.
-        shared = found.groupBy("component_id").agg(F.count("*").alias("lines")).where("lines > 1")
+        full = units.where(_word_count(F.col("text")) >= WORDS)
+        found = scratch.adopt(near_duplicates(full.select(F.col("unit_id").alias("doc_id"), "text"), LINES))
+        # Most units are alone; only the others are looked up again.
+        shared = found.groupBy("component_id").agg(F.count("*").alias("units")).where("units > 1")
         linked = scratch.write(
-            found.join(shared, "component_id").select(F.col("doc_id").alias("line_id"), "component_id"), "linked-lines"
+            found.join(shared, "component_id").select(F.col("doc_id").alias("unit_id"), "component_id"), "linked-units"
         )
-        placed = lines.select("doc_id", "line", "line_id").join(linked, "line_id")
-        grouped = scratch.write(placed.select("doc_id", "line", "component_id"), "lines")
+        placed = units.select("doc_id", "kind", "number", "unit_id").join(linked, "unit_id")
+        grouped = scratch.write(placed.select("doc_id", "kind", "number", "component_id"), "units")
         several = (
             grouped.groupBy("component_id")
             .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
             .where("source_id <> last").select("component_id", "source_id")
         )
-        alike = scratch.write(grouped.join(several, "component_id"), "placed-lines")
-        # Words of such a line, and before it.
-        split = F.split("text", "\n")
-        before = _word_count(F.array_join(F.slice(split, 1, F.col("line")), "\n"))
+        alike = scratch.write(grouped.join(several, "component_id"), "placed-units")
+        # Words of such a unit, and before it.
+        split = F.when(F.col("kind") == 0, F.split("text", KINDS[0])).otherwise(F.split("text", KINDS[1]))
+        before = _word_count(F.array_join(F.slice(split, 1, F.col("number")), "\n"))
         texts = docs.join(alike.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
         out = texts.join(alike, "doc_id").select(
             "doc_id", before.cast("int").alias("place"),
-            _word_count(F.get(split, F.col("line"))).cast("int").alias("n_words"), "source_id",
+            _word_count(F.get(split, F.col("number"))).cast("int").alias("n_words"), "source_id",
         )
-        # Documents that share a doc_id may have a line of that number that is not the one meant.
-        return written(out.where("n_words IS NOT NULL").distinct(), "alike-lines")
+        # Documents that share a doc_id may have a unit of that number that is not the one meant.
+        return written(out.where("n_words IS NOT NULL").distinct(), "alike-units")
 
 
 def passages(docs: DataFrame) -> DataFrame:
@@ -248,7 +256,7 @@ def passages(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
-    every = copied_runs(docs).unionByName(alike_lines(docs)).select(
+    every = copied_runs(docs).unionByName(alike_units(docs)).select(
         "doc_id", "place", "n_words", "source_id", (F.col("source_id") == F.col("doc_id")).alias("kept")
     )
     # What one document holds is bound by its length.
