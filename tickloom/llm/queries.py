@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    chat, contamination, language, licenses, near_dup, neighbours, passages, pieces, quality, warc,
+    alignment, bitplanes, chat, contamination, language, licenses, near_dup, neighbours, passages, pieces,
+    quality, simhash, warc,
 )
 from tickloom.llm.store import table
 
@@ -77,10 +78,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.clustering(table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_passages, op3_warc_merge, op4_decontamination, op5_quality,
         op6_near_duplicates, op7_neighbours, op8_sentencepiece, op9_chat_format, op10_language_id,
+        op11_simhash, op12_bit_planes, op13_alignment,
     )}
 
 
@@ -118,5 +132,46 @@ FROM turns GROUP BY conv_id
 """
 
 
+OP12_START = """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS number, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64
+), centroids_0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v FROM kept WHERE vec_id IS NOT NULL
+    ORDER BY c LIMIT 8
+)"""
+
+OP12_ASSIGN = """, assigned_{n} AS MATERIALIZED (
+    SELECT vec_id, k.v, c, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(k.v, m.v)]) AS d
+    FROM kept k, centroids_{n} m
+    QUALIFY row_number() OVER (PARTITION BY number ORDER BY d, c) = 1
+)"""
+
+OP12_ROUND = """, means_{n} AS (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS v FROM (
+        SELECT c, place, sum(x) AS s, count(*) AS n
+        FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM assigned_{last}) GROUP BY c, place
+    ) GROUP BY c
+), centroids_{n} AS MATERIALIZED (
+    SELECT c, coalesce(means_{n}.v, centroids_{last}.v) AS v FROM centroids_{last} LEFT JOIN means_{n} USING (c)
+)"""
+
+OP12_END = """
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM assigned_{last} JOIN centroids_{last} m USING (c)
+"""
+
+
+def _op12_sql(rounds: int = bitplanes.ROUNDS) -> str:
+    """Every round spelled out."""
+    parts = [OP12_START, OP12_ASSIGN.format(n=0)]
+    for n in range(1, rounds + 1):
+        parts += [OP12_ROUND.format(n=n, last=n - 1), OP12_ASSIGN.format(n=n)]
+    return "".join([*parts, OP12_END.format(last=rounds)])
+
+
 def all_sql() -> dict[str, str]:
-    return {"op3_warc_merge": OP3_SQL, "op9_chat_format": OP9_SQL}
+    return {"op3_warc_merge": OP3_SQL, "op9_chat_format": OP9_SQL, "op12_bit_planes": _op12_sql()}
