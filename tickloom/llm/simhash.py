@@ -190,7 +190,8 @@ def linked(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> D
         )
         pairs = sizes.where((F.col("n") == 2) & (_differing("a", "b") <= radius)).select("a", "b").distinct()
         more = sizes.where("n > 2").select("table", "key", "n")
-        members = scratch.write(keyed.join(more, ["table", "key"]), "bucket-members")
+        # The same join at every size: the keys of all fingerprints never meet a broadcast.
+        members = scratch.write(keyed.join(more.hint("merge"), ["table", "key"]), "bucket-members")
         lists = members.where(F.col("n") <= bucket).groupBy("table", "key").agg(F.collect_list("bits").alias("members"))
         hot = members.where(F.col("n") > bucket).select("bits").distinct()
         edges = pairs.unionByName(_walked(lists, radius)).unionByName(_met(hot, radius))
