@@ -7,6 +7,9 @@ array holds all first pointers, another all second ones, every step links the to
 pointers stand on, moves them, and drops the texts that are done. A long text is walked on
 from several of its cuts at the same time, so that it does not keep a slice waiting.
 
+Neither tokenizer has a token across a space between a visible ASCII character and a letter or
+digit. What lies between such spaces is encoded once for all places where it recurs.
+
 A pair of ids counts in how many documents it is linked. Links are kept per document as
 different pairs with how often each occurs. Pairs follow the frequencies of words: the most
 frequent, a bounded number, are looked up in a broadcast table, and the others, of which
@@ -18,9 +21,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +37,20 @@ from tickloom.llm.text import raw_texts, slices
 FOLDER = "/opt/tokenizers"
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARKER = "▁"
-#: Bytes of texts that are encoded and walked at once, and of a stretch of a longer one.
-SLICE = 1 << 19
-STRETCH = 1 << 16
+#: Bytes of texts that are encoded and walked at once.
+SLICE = 1 << 20
+#: Bytes of units whose tokens are remembered; beyond them a task starts anew.
+KEPT = 4 << 20
 #: First-tokenizer tokens that a pointer walks along, about.
 LANE = 128
 #: Pairs that are looked up in a broadcast table, at most: some 20 MB.
 FREQUENT = 1 << 19
 
-#: Neither tokenizer has a token across such a place: a space after a visible ASCII character
-#: and before a letter or digit.
-_SEAM = re.compile(r"(?<=[!-~]) (?=[0-9A-Za-z])")
-_DIGITS = 10
+#: The first one's words end before such a space; the second one's pieces hold spaces only at their start.
+_SEAM = re.compile(rb"(?<=[!-~]) (?=[0-9A-Za-z])")
+#: Units that may stand next to each other with a space between.
+_PLAIN = re.compile(rb"[0-9A-Za-z](?:[^\x00]*[!-~])?", re.DOTALL)
+_TOGETHER = 256
 
 
 @dataclass(frozen=True)
@@ -87,10 +93,13 @@ class _Opened:
             for n in range(self.second.get_piece_size()) if (piece := self.second.id_to_piece(n)) is not None
         ]
 
-    def encoded(self, texts: Sequence[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both tokenizers for texts that start with a space; the second adds that one itself."""
-        ones = self.first.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [e.ids for e in ones], self.second.encode([t[1:] for t in texts], num_threads=1)
+    def first_ids(self, units: Sequence[str]) -> list[list[int]]:
+        """Ids of a space and each unit."""
+        return [e.ids for e in self.first.encode_batch_fast([f" {u}" for u in units], add_special_tokens=False)]
+
+    def second_ids(self, units: Sequence[str]) -> list[list[int]]:
+        """The same; this tokenizer adds the space itself."""
+        return self.second.encode(list(units), num_threads=1)
 
 
 @lru_cache(maxsize=1)
@@ -108,15 +117,6 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
-def _stretches(text: str) -> list[str]:
-    """A text that starts with a space, cut before spaces that no token crosses."""
-    parts, start = [], 0
-    while len(text) - start > STRETCH and (seam := _SEAM.search(text, start + STRETCH)):
-        parts.append(text[start: seam.start()])
-        start = seam.start()
-    return [*parts, text[start:]]
-
-
 @dataclass
 class Tokens:
     """Ids of several texts by one tokenizer, one text after the other."""
@@ -126,31 +126,105 @@ class Tokens:
     first: np.ndarray  # per text its first token's number, and at the end their count
 
 
-def tokens(texts: Sequence[bytes], opened: _Opened) -> tuple[Tokens, Tokens]:
-    """Both tokenizers' tokens; a text that one of them does not spell exactly has none."""
-    whole: list[str] = []
-    owner: list[int] = []
-    for number, text in enumerate(texts):
-        if text:
-            parts = _stretches(" " + text.decode("utf-8", "replace"))
-            whole += parts
-            owner += [number] * len(parts)
-    found: list[list[list[int]]] = [[[] for _ in texts], [[] for _ in texts]]
-    for side, encoded in enumerate(opened.encoded(whole) if whole else ()):
-        for number, ids in zip(owner, encoded, strict=True):
-            found[side][number].extend(ids)
-    spelled = (opened.first_bytes, opened.second_bytes)
-    for number, text in enumerate(texts):
-        if any(b"".join([table[i] for i in ids[number]]) != b" " + text for table, ids in zip(spelled, found, strict=True)):
-            found[0][number], found[1][number] = [], []
-    return tuple(_flat(ids, table) for ids, table in zip(found, spelled, strict=True))
-
-
-def _flat(ids: list[list[int]], table: list[bytes]) -> Tokens:
-    first = np.concatenate([[0], np.cumsum([len(i) for i in ids], dtype=np.int64)])
-    flat = np.fromiter((i for part in ids for i in part), np.int64, first[-1])
-    lengths = np.fromiter(map(len, table), np.int64, len(table))
-    return Tokens(flat, np.cumsum(lengths[flat]), first)
+class _Lists:
+    """Lists of ids of the units, by number, and whether they spell the unit."""
+
+    def __init__(self, table: list[bytes], encode: Callable[[Sequence[str]], list[list[int]]]) -> None:
+        self._table, self._encode = table, encode
+        self._lengths = np.fromiter(map(len, table), np.int64, len(table))
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids, self.counts, self.good = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def add(self, units: Sequence[bytes]) -> None:
+        """Units that tokens cannot cross the ends of are encoded many at a time."""
+        plain = np.fromiter((_PLAIN.fullmatch(u) is not None for u in units), bool, len(units))
+        ids, counts = np.zeros(0, np.int32), np.zeros(len(units), np.int64)
+        together = [u for u, p in zip(units, plain.tolist(), strict=True) if p]
+        if (found := self._together(together)) is None:
+            plain[:], together, found = False, [], (ids, counts[:0])
+        alone = [u for u, p in zip(units, plain.tolist(), strict=True) if not p]
+        texts = [u.decode("utf-8", "replace") for u in alone]
+        lists = self._encode(texts) if texts else []
+        good = np.ones(len(units), bool)
+        good[~plain] = [self._spelled(part) == b" " + unit for part, unit in zip(lists, alone, strict=True)]
+        # In the order of the units, though encoded in two goes.
+        number = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]))
+        sizes = np.concatenate([found[1], np.fromiter(map(len, lists), np.int64, len(lists))])
+        starts = (np.cumsum(sizes) - sizes)[number]
+        counts = sizes[number]
+        pool = np.concatenate([found[0], np.fromiter(chain.from_iterable(lists), np.int32)])
+        self.ids = np.concatenate([self.ids, pool[_ranges(starts, counts)]])
+        self.counts = np.concatenate([self.counts, counts])
+        self.good = np.concatenate([self.good, good])
+
+    def _spelled(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self._table.__getitem__, ids))
+
+    def _together(self, units: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """All ids of the units and how many each has; nothing if they do not spell the units."""
+        joined = [b" ".join(units[k: k + _TOGETHER]) for k in range(0, len(units), _TOGETHER)]
+        texts = [j.decode("utf-8", "replace") for j in joined]
+        flat = list(chain.from_iterable(self._encode(texts))) if texts else []
+        if self._spelled(flat) != b"".join(b" " + j for j in joined):
+            return None
+        ids = np.array(flat, np.int32)
+        ends = np.cumsum(self._lengths[ids])
+        tails = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1)
+        upto = np.searchsorted(ends, tails, side="right")
+        if len(tails) and (ends[upto - 1] != tails).any():
+            return None
+        return ids, np.diff(upto, prepend=0)
+
+    def tokens(self, numbers: np.ndarray, first: np.ndarray) -> Tokens:
+        """Of texts that are made of the numbered units."""
+        counts = self.counts[numbers]
+        ends = np.cumsum(counts)
+        starts = (np.cumsum(self.counts) - self.counts)[numbers]
+        ids = self.ids[_ranges(starts, counts)].astype(np.int64)
+        return Tokens(ids, np.cumsum(self._lengths[ids]), np.concatenate([[0], ends])[first])
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, so many each."""
+    return np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
+
+
+class Encoder:
+    """Tokens of texts; remembers the units it has met, up to ``KEPT`` bytes of them and a slice."""
+
+    def __init__(self, opened: _Opened) -> None:
+        self._known: dict[bytes, int] = {}
+        self._bytes = 0
+        self._sides = (
+            _Lists(opened.first_bytes, opened.first_ids), _Lists(opened.second_bytes, opened.second_ids)
+        )
+
+    def tokens(self, texts: Sequence[bytes]) -> tuple[Tokens, Tokens]:
+        """Both tokenizers' tokens; a text that one of them does not spell exactly has none."""
+        if self._bytes > KEPT:
+            self._known.clear()
+            self._bytes = 0
+            for side in self._sides:
+                side.clear()
+        units = [_SEAM.split(text) if text else [] for text in texts]
+        known = self._known
+        before = len(known)
+        flat = [known.setdefault(unit, len(known)) for part in units for unit in part]
+        if len(known) > before:
+            new = list(islice(reversed(known), len(known) - before))[::-1]
+            self._bytes += sum(map(len, new))
+            for side in self._sides:
+                side.add(new)
+        numbers = np.array(flat, np.int64)
+        counts = np.fromiter(map(len, units), np.int64, len(units))
+        owner = np.repeat(np.arange(len(units)), counts)
+        bad = np.zeros(len(units), bool)
+        bad[owner[~(self._sides[0].good & self._sides[1].good)[numbers]]] = True
+        numbers, counts = numbers[~bad[owner]], np.where(bad, 0, counts)
+        first = np.concatenate([[0], np.cumsum(counts)])
+        return self._sides[0].tokens(numbers, first), self._sides[1].tokens(numbers, first)
 
 
 def _lanes(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,7 +268,18 @@ def _groups_before(cuts: np.ndarray, count: int) -> np.ndarray:
     return np.cumsum(marks[:count])
 
 
-def spelled_groups(a: Tokens, b: Tokens, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[bytes]:
+@lru_cache(maxsize=1)
+def _decimals(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers below count in decimal, with a place for a mark, and which characters count."""
+    width = len(str(count))
+    numbers = np.arange(count)[:, None] // 10 ** np.arange(width - 1, -1, -1)
+    used = numbers > 0
+    used[:, -1] = True
+    blank = np.zeros((count, 1), np.uint8)
+    return np.concatenate([(numbers % 10 + ord("0")).astype(np.uint8), blank], axis=1), np.concatenate([used, blank == 0], axis=1)
+
+
+def spelled_groups(a: Tokens, b: Tokens, cuts_a: np.ndarray, cuts_b: np.ndarray, ids_below: int) -> list[bytes]:
     """Per text its groups as ``a1,a2|b1;a3|b2,b3``, ids in decimal."""
     n_a, n_b = len(a.ids), len(b.ids)
     in_a, in_b = _groups_before(cuts_a, n_a), _groups_before(cuts_b, n_b)
@@ -205,14 +290,11 @@ def spelled_groups(a: Tokens, b: Tokens, cuts_a: np.ndarray, cuts_b: np.ndarray)
     ids[place_a], ids[place_b] = a.ids, b.ids
     marks[place_a[cuts_a]] = ord("|")
     marks[place_b[cuts_b]] = ord(";")
-    powers = 10 ** np.arange(_DIGITS - 1, -1, -1)
-    used = max(1, len(str(int(ids.max(initial=0)))))
-    powers = powers[-used:]
-    chars = np.concatenate([(ids[:, None] // powers % 10 + ord("0")).astype(np.uint8), marks[:, None]], axis=1)
-    keep = np.concatenate([ids[:, None] >= powers, np.ones((len(ids), 1), bool)], axis=1)
-    keep[:, used - 1] = True
+    decimals, used = _decimals(ids_below)
+    chars, keep = decimals[ids], used[ids]
+    chars[:, -1] = marks
     text = chars[keep].tobytes()
-    sizes = np.concatenate([[0], np.cumsum(keep.sum(axis=1))])
+    sizes = np.concatenate([[0], np.cumsum(used.sum(axis=1)[ids])])
     bounds = sizes[a.first + b.first]
     # The mark after the last token of a text goes.
     return [text[low: max(low, high - 1)] for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
@@ -230,19 +312,22 @@ def aligned(docs: DataFrame, files: Tokenizers, pair_base: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = _opened(files)
+        encoder = Encoder(opened)
         spread = pair_base * len(opened.first_bytes)
+        ids_below = max(pair_base, len(opened.first_bytes))
         for batch in batches:
             texts = raw_texts(batch.column(1))
             for low, high in slices(texts, SLICE):
                 count = high - low
-                a, b = tokens(texts[low:high], opened)
+                a, b = encoder.tokens(texts[low:high])
                 links_a, links_b, cuts_a, cuts_b = walked(a, b)
                 owner = np.repeat(np.arange(count), np.diff(a.first))
                 # Texts of a slice, and both ids, fit into one number.
                 linked = owner[links_a] * spread + a.ids[links_a] * pair_base + b.ids[links_b]
                 different, times = np.unique(linked, return_counts=True)
                 first = np.searchsorted(different, np.arange(count + 1) * spread)
-                digests = [hashlib.sha256(g).hexdigest() if g else "" for g in spelled_groups(a, b, cuts_a, cuts_b)]
+                groups = spelled_groups(a, b, cuts_a, cuts_b, ids_below)
+                digests = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
                 offsets = pa.array(first, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
