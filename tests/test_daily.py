@@ -16,13 +16,17 @@ from tickloom.plans import backfill as ranges
 from tickloom.plans.daily import (
     Lake,
     load_ticks,
+    publish_staged,
     refresh_summary,
     register_views,
     run_cancel_load,
     run_tick_load,
+    stage_archives,
 )
 from tickloom.schemas import CANCELS, RAW_CANCEL_COLUMNS, RAW_TICK_COLUMNS, SUMMARY, TICKS
 from tickloom.sinks import serving
+from tickloom.sources.archives import ArchiveRead, read_checked_ticks
+from tickloom.sources.files import list_files
 from tickloom.sources.tables import read_or_empty, read_summary_csv
 
 FRIDAY, MONDAY, TUESDAY = dt.date(2026, 5, 29), dt.date(2026, 6, 1), dt.date(2026, 6, 2)
@@ -128,6 +132,50 @@ def test_rows_of_another_date_touch_no_other_day(spark, zone, lake):
     assert rejected(spark, lake) == [("7", "other date than the file's", name, "ticks.csv")]
 
 
+def test_staged_archives_are_read_once(spark, folder, lake):
+    """Ticks, rejects and totals come from the staged lines: the archives are gone by then."""
+    put_ticks(folder, FRIDAY, ("NK", "90501", "10.5", "2"), ("Comm", "x", "x", "x"), ("", "90502", "1", "1"))
+    put_ticks(folder, MONDAY, ("NK", "90501", "bad", "1"), ("NK", "90501", "1", "1"))
+    listing = list_files(spark, f"{folder}/raw", "*.zip")
+    staged = stage_archives(spark, listing)
+    for file in pathlib.Path(folder, "raw").glob("*/*.zip"):
+        file.unlink()
+    done = publish_staged(spark, staged, lake)
+    assert (done.rows, done.rejected, done.dates) == (3, 1, [FRIDAY, MONDAY])
+    assert volumes(spark, lake) == {(FRIDAY, "NK", "09"): 2, (MONDAY, "NK", "09"): 2}
+    assert [r.Price for r in spark.read.parquet(lake.rejects("ticks")).collect()] == ["bad"]
+    totals = {r.file_day: r for r in spark.read.parquet(lake.totals).collect()}
+    assert [totals[FRIDAY][c] for c in ("lines", "clean", "header", "keyless")] == [3, 1, 1, 1]
+    assert [totals[MONDAY][c] for c in ("lines", "clean", "repaired")] == [2, 1, 1]
+
+
+def test_totals_that_do_not_add_up_hold_a_day_back(spark, zone, lake, monkeypatch):
+    from tickloom.plans import daily
+
+    whole = daily.read_checked_ticks
+
+    def losing(listing):
+        read = whole(listing)
+        return ArchiveRead(read.rows.where("NOT (is_line AND Price <=> '20')"), read.errors)
+
+    monkeypatch.setattr(daily, "read_checked_ticks", losing)
+    done = run_tick_load(spark, f"{zone}/raw", lake, days(spark))
+    assert volumes(spark, lake) == {k: v for k, v in EXPECTED.items() if k[0] == FRIDAY}
+    errors = {r.path.rpartition("/")[2]: r.error for r in done.file_errors.collect()}
+    assert errors[f"WEBPXTICK_DT_{key(MONDAY)}.zip"] == "lines read: 2, accounted for: 1"
+
+
+def test_large_members_are_spread_and_small_ones_are_not(spark, zone):
+    listing = list_files(spark, f"{zone}/raw", "*.zip")
+    plans = {}
+    for size in (1, 1 << 30):
+        rows = read_checked_ticks(listing, spread_bytes=size).rows.where("is_line")
+        assert rows.count() == 5
+        plans[size] = rows._jdf.queryExecution().executedPlan().toString()
+    # One branch for each kind, of which one has rows.
+    assert all(p.count("REBALANCE_PARTITIONS_BY_COL") == 1 and p.count("MapInArrow") == 2 for p in plans.values())
+
+
 def test_an_emptied_day_and_a_damaged_one(spark, zone, lake):
     run_tick_load(spark, f"{zone}/raw", lake, days(spark))
     put_ticks(zone, MONDAY)

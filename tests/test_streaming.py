@@ -12,7 +12,7 @@ from tickloom.operators.rollup import tick_summary
 from tickloom.plans.daily import Lake
 from tickloom.schemas import RAW_TICK_COLUMNS, SUMMARY
 from tickloom.sources.tables import read_or_empty
-from tickloom.streaming import loads
+from tickloom.streaming import loads, partials
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,6 +93,35 @@ def test_late_ticks_and_open_hours(spark, folder):
     assert put("c", "90001", "113000") == [("09", 3), ("10", 2)]
 
 
+def test_late_ticks_correct_their_hours(spark, folder):
+    """Any number of batches, folds, a repeated batch and a covered rest give the summary of all ticks."""
+    ticks = samples.ticks(spark, SF).where("TradeDateParsed BETWEEN '2024-01-03' AND '2024-01-04'").cache()
+    summary, sums = f"{folder}/summary", f"{folder}/partials"
+
+    def load():
+        reader = spark.readStream.schema(ticks.schema).option("recursiveFileLookup", True)
+        stream = reader.option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        partials.correct_hours(stream, sums, summary, f"{folder}/check", least=3).awaitTermination()
+        return sorted(map(str, spark.read.parquet(summary).select(*SUMMARY.fieldNames()).collect()))
+
+    parts = [ticks.where(f"TradeVolume % 5 = {n}") for n in range(5)]
+    for n, part in enumerate(parts[:4]):
+        part.coalesce(1).write.parquet(f"{folder}/in/{n}")
+    first = parts[0]
+    for part in parts[1:4]:
+        first = first.unionByName(part)
+    assert load() == sorted(map(str, tick_summary(first).collect()))
+    day = dt.date(2024, 1, 3)
+    spans = partials._live_spans(spark, sums, [day])
+    assert 1 <= spans.count() < 4 and spans.where("last_batch > first_batch").count() == 1
+    # What a fold covers counts no more, though its files may still be there.
+    covered = tick_summary(parts[0]).select(*SUMMARY.fieldNames(), F.lit(0).alias("first_batch"), F.lit(0).alias("last_batch"))
+    partials._store(covered, sums)
+    for n, part in enumerate(parts[4:]):
+        part.coalesce(1).write.parquet(f"{folder}/in/late{n}")
+    assert load() == load() == sorted(map(str, tick_summary(ticks).collect()))
+
+
 def test_archives_arrive_and_a_broken_one_does_not_stop_the_rest(spark, folder):
     def put(name, *lines):
         buffer = io.BytesIO()

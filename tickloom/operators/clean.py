@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import cells
-from tickloom.schemas import CANCELS, DATE_KEY, TICKS
+from tickloom.schemas import CANCELS, DATE_KEY, RAW_TICK_COLUMNS, TICKS
 from tickloom.sources.delimited import drop_repeated_headers
 
 # Published name of each raw text column.
@@ -34,8 +34,13 @@ CANCEL_TEXT = {
 
 def clean_ticks(raw: DataFrame, *extra: Column) -> DataFrame:
     """Typed ticks; ``extra`` columns over the raw names may be added."""
+    rows = drop_repeated_headers(raw, "Comm")
+    return _typed(rows, _tick_columns(), TICKS.fieldNames(), extra)
+
+
+def _tick_columns() -> dict[str, Column]:
     day = cells.trade_date("Trade_Date")
-    columns = {
+    return {
         **{name: cells.text(source) for name, source in TICK_TEXT.items()},
         DATE_KEY: day,
         "TradePrice": cells.price("Price"),
@@ -43,8 +48,6 @@ def clean_ticks(raw: DataFrame, *extra: Column) -> DataFrame:
         "year": F.year(day),
         "month": F.month(day),
     }
-    rows = drop_repeated_headers(raw, "Comm")
-    return _typed(rows, columns, TICKS.fieldNames(), extra)
 
 
 def clean_cancels(raw: DataFrame, *extra: Column) -> DataFrame:
@@ -75,6 +78,37 @@ def dated(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col(DATE_KEY).isNotNull())
 
 
+# What becomes of a line; each has one of these outcomes.
+CLEAN, REPAIRED, STRAY, UNDATED, KEYLESS, HEADER = "clean", "repaired", "stray", "undated", "keyless", "header"
+OUTCOMES = [CLEAN, REPAIRED, STRAY, UNDATED, KEYLESS, HEADER]
+#: Outcomes that go to the table, and those that are listed as rejects.
+KEPT, REJECTED = [CLEAN, REPAIRED], [REPAIRED, STRAY, UNDATED]
+
+
+def judged_ticks(raw: DataFrame) -> DataFrame:
+    """Every raw line with its ``outcome``, typed columns and, if it has a defect, its raw cells as ``reject``.
+
+    A repeated header and a line without a symbol are dropped by a load, a line without a usable
+    date or of another date than its file's (``file_day``) is rejected, one with bad cells is kept
+    with nulls and listed as a reject too. Columns of ``raw`` beyond the raw cells stay.
+    """
+    day = cells.trade_date("Trade_Date")
+    checks = tick_checks(of_file=True)
+    names = [F.when(bad, F.lit(name)) for name, bad in checks.items()]
+    other = F.coalesce(day != F.col("file_day"), F.lit(False))
+    outcome = (
+        F.when(F.col("Comm").isNull(), KEYLESS).when(F.col("Comm") == "Comm", HEADER).when(day.isNull(), UNDATED)
+        .when(other, STRAY).when(flawed(checks), REPAIRED).otherwise(CLEAN)
+    )
+    reject = F.struct(*RAW_TICK_COLUMNS, F.array_compact(F.array(*names)).alias("reasons"))
+    columns = _tick_columns()
+    more = [c for c in raw.columns if c not in RAW_TICK_COLUMNS]
+    return raw.select(
+        *[columns[name].alias(name) for name in TICKS.fieldNames()], outcome.alias("outcome"),
+        F.when(outcome.isin(REJECTED), reject).alias("reject"), *more,
+    )
+
+
 def tick_checks(of_file: bool = False) -> dict[str, Column]:
     """Per defect of a raw tick: whether the row has it.
 

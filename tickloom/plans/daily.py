@@ -5,17 +5,22 @@ folder. A row of another date than its file's is listed as a reject and touches
 other day; a day without rows any more is emptied; a day with an unreadable file is left
 as it is. Rejects are kept by the file's day too, with the file and member they came from.
 
-Raw text is parsed once, by the write of the typed table. That write also reports
-which dates it touched and how many rows did not parse. Later steps read the typed
-table back, restricted to those dates; rejects cost a second pass over the text
-only when there are some.
+Archives are unpacked and parsed once, into a staged table in which each line has its
+outcome: kept, repaired, stray, without a date, without a symbol, or a repeated header.
+Its control totals must add up to the lines that the reading tasks counted. Ticks, rejects
+and totals are then published from the staged table, and only days in order are touched.
+
+Unpacked text is parsed by the write of the typed table. That write also reports
+which dates it touched and how many rows did not parse; rejects cost a second pass
+over the text only when there are some. Later steps read the typed table back,
+restricted to those dates.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -24,10 +29,11 @@ from tickloom.functions.days import calendar_rows, day_key
 from tickloom.functions.register import register_functions
 from tickloom.operators import clean
 from tickloom.operators.rollup import tick_summary
-from tickloom.schemas import CANCELS, DATE_KEY, RUN_LOG, SUMMARY, TICKS
+from tickloom.schemas import CANCELS, DATE_KEY, RAW_TICK_COLUMNS, RUN_LOG, SUMMARY, TICKS
+from tickloom.session import fresh_dir
 from tickloom.sinks.tables import WriteWatch, batch_dates, write_csv, write_table
 from tickloom.sinks.upkeep import drop_partitions
-from tickloom.sources.archives import read_zipped_ticks
+from tickloom.sources.archives import read_checked_ticks
 from tickloom.sources.delimited import read_cancels, read_ticks
 from tickloom.sources.files import list_files
 from tickloom.sources.rawzone import (
@@ -66,6 +72,11 @@ class Lake:
     def file_errors(self) -> str:
         return f"{self.root}/file_errors"
 
+    @property
+    def totals(self) -> str:
+        """Lines of each loaded archive member by outcome, by the file's day."""
+        return f"{self.root}/load_totals"
+
     @property
     def ticks_csv(self) -> str:
         return f"{self.root}/ticks_csv"
@@ -215,23 +226,88 @@ def _per_day(files: DataFrame) -> tuple[list[str], list[dt.date] | None]:
     return [row.origin for row in rows], None if None in days else days
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Archives parsed once: all their lines, judged, and per member what became of them.
+
+    ``totals`` has the lines that the reading task counted, next to the lines of each outcome, and
+    an ``error`` for what cannot be read and for members whose counts do not add up.
+    """
+
+    lines: DataFrame
+    totals: DataFrame
+
+    @property
+    def errors(self) -> DataFrame:
+        return self.totals.where("error IS NOT NULL").groupBy("path").agg(F.min("error").alias("error"))
+
+
+def stage_archives(spark: SparkSession, listing: DataFrame) -> Staged:
+    """Unpack and parse the listed archives, each once, into a table of judged lines.
+
+    Nothing of the lake is touched. A damaged member shows when it has been read to its end;
+    what was parsed of it until then is left out when the lines are published.
+    """
+    path, totals_path = fresh_dir(spark, "staged-ticks"), fresh_dir(spark, "staged-totals")
+    read = read_checked_ticks(listing)
+    judged = clean.judged_ticks(_dealt(read.rows))
+    judged = judged.withColumn("outcome", F.when(F.col("is_line"), F.col("outcome"))).drop("is_line")
+    judged.write.parquet(path)
+    staged = spark.read.parquet(path)
+    per_member = staged.groupBy("path", "member", "file_day", "origin").agg(
+        F.sum("lines").alias("lines"), F.max("error").alias("error"),
+        *[F.count_if(F.col("outcome") == name).alias(name) for name in clean.OUTCOMES],
+    )
+    accounted = sum((F.col(name) for name in clean.OUTCOMES[1:]), F.col(clean.OUTCOMES[0]))
+    unequal = F.concat(F.lit("lines read: "), "lines", F.lit(", accounted for: "), accounted)
+    per_member = per_member.withColumn(
+        "error", F.coalesce("error", F.when(~F.col("lines").eqNullSafe(accounted), unequal))
+    )
+    totals = per_member.unionByName(_dealt(read.errors), allowMissingColumns=True)
+    totals.write.parquet(totals_path)
+    return Staged(staged.where("outcome IS NOT NULL"), spark.read.parquet(totals_path))
+
+
+def publish_staged(spark: SparkSession, staged: Staged, lake: Lake, as_csv: bool = False) -> Loaded:
+    """Replace the days of staged archives, but for those with an archive in ``errors``."""
+    lines_of = lambda group: F.sum(sum((F.col(name) for name in group[1:]), F.col(group[0])))
+    units = calendar_rows(staged.totals.groupBy("origin", "file_day").agg(
+        F.max(F.col("error").isNotNull()).alias("bad"),
+        lines_of(clean.KEPT).alias("kept"), lines_of(clean.REJECTED).alias("rejected"),
+    ))
+    good, bad = [u for u in units if not u.bad], [u.origin for u in units if u.bad]
+    if not good:
+        return Loaded(file_errors=staged.errors)
+    in_order = ~F.col("origin").isin(bad) if bad else F.lit(True)
+    lines = staged.lines.where(in_order)
+    origins, days = [u.origin for u in good], [u.file_day for u in good]
+    kept = lines.where(F.col("outcome").isin(clean.KEPT)).select(*TICKS.fieldNames())
+    watch = WriteWatch(kept)
+    # An archive holds one day, and the staged files hold few archives each, so the
+    # write needs no shuffle to gather dates.
+    write_table(watch.watched, lake.ticks, cluster=False)
+    found = batch_dates(kept, watch)
+    rejected = sum(u.rejected for u in good)
+    drop_partitions(spark, lake.rejects("ticks"), "origin", [u.origin for u in good if not u.rejected])
+    if rejected:
+        rejects = lines.where(F.col("outcome").isin(clean.REJECTED)).select(
+            *[F.col(f"reject.{name}") for name in RAW_TICK_COLUMNS], *ORIGIN, "reject.reasons"
+        )
+        write_table(rejects, lake.rejects("ticks"), cluster=False, key="origin")
+    write_table(staged.totals.where(in_order).drop("error"), lake.totals, cluster=False, key="origin")
+    if None in days:
+        days = found
+    drop_partitions(spark, lake.ticks, DATE_KEY, sorted({str(d) for d in days} - {str(d) for d in found}))
+    refresh_summary(spark, lake, sorted(days), as_csv)
+    return Loaded(sorted(days), sum(u.kept for u in good), rejected, staged.errors)
+
+
 def load_archives(spark: SparkSession, listing: DataFrame, lake: Lake, as_csv: bool = False) -> Loaded:
     """Tick load of the listed archives, which must be all those of their days.
 
     A day with an unreadable archive is left as it is, and its files are reported.
     """
-    files = _dealt(listing)
-    read = read_zipped_ticks(files, together="origin")
-    good = files.join(read.errors.select("path").withColumn("origin", _origin()), "origin", "left_anti")
-    origins, days = _per_day(good)
-    if not origins:
-        return Loaded(file_errors=read.errors)
-    # An archive holds one day and a task few archives, so the write needs no
-    # shuffle to gather dates.
-    raw = _dealt(read.rows)
-    done = _load(TICK_FEED, raw, lake.ticks, lake.rejects("ticks"), False, origins, days)
-    refresh_summary(spark, lake, done.dates, as_csv)
-    return replace(done, file_errors=read.errors)
+    return publish_staged(spark, stage_archives(spark, listing), lake, as_csv)
 
 
 def record_file_errors(spark: SparkSession, lake: Lake, listing: DataFrame, done: Loaded) -> None:

@@ -222,6 +222,24 @@ hourly AS ({_summary_of('ticks')})
 SELECT hourly.* FROM hourly, closing
 WHERE cast("TradeDateParsed" AS timestamp) + to_hours(cast("Hour" AS int) + 1) <= mark"""
 
+_LOAD_BALANCE = f"""
+WITH {_FLAWED}, judged AS (
+  SELECT "Msg_Code", "Trade_Date" AS day,
+         CASE WHEN "Trade_Date" = 'abc' THEN 'undated'
+              WHEN "Trade_Date" = '20240105' AND "Msg_Code" = 'purchase' THEN 'stray'
+              WHEN try_cast("Price" AS decimal(18,4)) IS NULL OR NOT regexp_full_match("Volume", '[0-9]+')
+              THEN 'repaired' ELSE 'clean' END AS outcome
+  FROM flawed),
+lines AS (
+  SELECT CASE outcome WHEN 'undated' THEN '20240103' WHEN 'stray' THEN '20240108' ELSE day END AS day, outcome FROM judged
+  UNION ALL SELECT '20240104', 'header' FROM events WHERE event_type = 'signup'
+  UNION ALL SELECT strftime(ts, '%Y%m%d'), 'keyless' FROM events WHERE event_type = 'view')
+SELECT cast(strptime(day, '%Y%m%d') AS date) AS file_day, count(*) AS lines,
+       count(*) FILTER (outcome = 'clean') AS clean, count(*) FILTER (outcome = 'repaired') AS repaired,
+       count(*) FILTER (outcome = 'stray') AS stray, count(*) FILTER (outcome = 'undated') AS undated,
+       count(*) FILTER (outcome = 'keyless') AS keyless, count(*) FILTER (outcome = 'header') AS header
+FROM lines GROUP BY 1"""
+
 _ROUND_TRIP = _over_summary("SELECT * FROM summary")
 _REPLACED = f"WITH {_TICKS}, {_CORRECTED} {_summary_of('corrected')}"
 
@@ -238,6 +256,7 @@ _SQL: dict[str, str] = {
               THEN cast(json_extract_string(props, '$.k') AS int) END AS "TradeVolume",
          cast(year(ts) AS int) AS "year", cast(month(ts) AS int) AS "month"
   FROM events WHERE hour(ts) > 0""",
+    "load_balance": _LOAD_BALANCE,
     "tick_rejects": _TICK_REJECTS,
     "quarantine": _TICK_REJECTS,
     "hour_bucket": f"""
@@ -263,6 +282,7 @@ FROM cancels WHERE "Amend_Code" = 'P'""",
     "stray_date_load": _ROUND_TRIP,
     "damaged_part_load": _ROUND_TRIP,
     "split_day_stream": _ROUND_TRIP,
+    "stream_hourly_corrected": _ROUND_TRIP,
     "emptied_day_load": _over_summary(
         """SELECT * FROM summary WHERE "TradeDateParsed" < DATE '2024-01-25'"""
     ),

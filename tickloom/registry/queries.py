@@ -22,7 +22,7 @@ from tickloom.session import fresh_dir
 from tickloom.sinks import serving, tables, upkeep
 from tickloom.sources import archives, delimited, files, rawzone
 from tickloom.sources.tables import read_summary_csv
-from tickloom.streaming import loads
+from tickloom.streaming import loads, partials
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -329,6 +329,28 @@ def quarantine_reload(spark, sf_dir):
     return _rejects(spark, lake.rejects("ticks"))
 
 
+@registered
+def load_balance(spark, sf_dir):
+    """Lines of each day's file by what became of them; they add up to the lines read.
+
+    Among the lines are bad cells, repeated headers, lines without a symbol, and some of another date.
+    """
+    root, lake = _zone(spark, "balance")
+    raw = samples.raw_ticks(spark, sf_dir)
+    headers = raw.where("Msg_Code = 'signup'").select(*[F.lit(c).alias(c) for c in raw.columns])
+    keyless = raw.where("Msg_Code = 'view'").withColumn("Comm", F.lit(None).cast("string"))
+    day = F.col("Trade_Date")
+    strayed = (day == "20240105") & (F.col("Msg_Code") == "purchase")
+    file_day = (
+        F.when(day == "abc", "20240103").when(day == "Trade_Date", "20240104").when(strayed, "20240108").otherwise(day)
+    )
+    mixed = samples.flawed_ticks(spark, sf_dir).unionByName(headers).unionByName(keyless)
+    samples.write_raw_zone(mixed, root, file_day)
+    daily.load_archives(spark, _archives(spark, root), lake)
+    counts = ["lines", *clean.OUTCOMES]
+    return spark.read.parquet(lake.totals).groupBy("file_day").agg(*[F.sum(c).alias(c) for c in counts])
+
+
 @registered
 def daily_load_csv(spark, sf_dir):
     """The summary that a load writes as text."""
@@ -600,6 +622,20 @@ def stream_archives(spark, sf_dir):
     return spark.read.parquet(lake.summary).select(*_summary(spark, sf_dir).columns)
 
 
+@registered
+def stream_hourly_corrected(spark, sf_dir):
+    """Two waves, the second with ticks that are late for every hour: the summary is that of all ticks."""
+    root = fresh_dir(spark, "stream-corrected")
+    ticks = samples.ticks(spark, sf_dir)
+    for n, wave in enumerate(["TradeVolume % 3 <> 1", "TradeVolume % 3 = 1"]):
+        ticks.where(wave).write.parquet(f"{root}/in/wave{n}")
+        reader = spark.readStream.schema(ticks.schema).option("recursiveFileLookup", True)
+        partials.correct_hours(
+            reader.parquet(f"{root}/in"), f"{root}/partials", f"{root}/summary", f"{root}/checkpoint"
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/summary").select(*SUMMARY.fieldNames())
+
+
 @registered
 def stream_hourly(spark, sf_dir):
     """Hours closed by the watermark, from a stream of tick files."""

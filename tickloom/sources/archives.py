@@ -23,8 +23,13 @@ from tickloom.sources.textlines import CHUNK, after_first_line, first_line, text
 # Blocks of a member that stay together when it is spread, about 32 MB.
 BLOCKS_PER_PART = 32
 
+# Unpacked size from which on a member's blocks are spread over tasks. Smaller ones are
+# parsed by the task that unpacks them.
+SPREAD_BYTES = 256 << 20
+
 _CATALOG = "path string, slot int, member string, size long, header string, error string"
 _BLOCKS = "path string, member string, part int, block string"
+_CHECKED = "path string, member string, part int, block string, lines long, error string"
 
 
 @dataclass(frozen=True)
@@ -108,6 +113,50 @@ def member_blocks(members: DataFrame) -> DataFrame:
     return members.select("path", "slot", "member").mapInArrow(per_row(unpack), _BLOCKS)
 
 
+def checked_blocks(members: DataFrame) -> DataFrame:
+    """``path, member, part, block, lines, error``: blocks, and a row about each whole member.
+
+    The row after a member's blocks has the number of its lines, blank ones left out, as
+    counted by the task that read them. If the member cannot be read to its end, checksum
+    included, the row has the error instead.
+    """
+
+    def unpack(row: dict):
+        def batch(part, block, lines, error):
+            values = [row["path"], row["member"], part, block, lines, error]
+            kinds = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], kind) for v, kind in zip(values, kinds, strict=True)],
+                names=["path", "member", "part", "block", "lines", "error"],
+            )
+
+        lines = 0
+        try:
+            system, path = locate(row["path"])
+            with system.open_input_file(path) as file, zipfile.ZipFile(file) as archive:
+                with archive.open(archive.infolist()[row["slot"]]) as stream:
+                    for at, block in enumerate(after_first_line(text_blocks(stream))):
+                        lines += sum(bool(line.strip(" \t")) for line in block.split("\n"))
+                        yield batch(at // BLOCKS_PER_PART, block, None, None)
+        except Exception as problem:  # any damage is reported as a row
+            yield batch(None, None, None, f"{type(problem).__name__}: {problem}")
+        else:
+            yield batch(None, None, lines, None)
+
+    return members.select("path", "slot", "member").mapInArrow(per_row(unpack), _CHECKED)
+
+
+def checked_lines(blocks: DataFrame, layout: Layout) -> DataFrame:
+    """The lines of checked blocks as raw ticks (``is_line``), next to the rows about members."""
+    whole = F.when(F.col("block").isNotNull(), F.split("block", "\n")).otherwise(F.array(F.lit(None).cast("string")))
+    lines = blocks.select("path", "member", "lines", "error", F.explode(whole).alias("line"))
+    lines = lines.where(F.col("line").isNull() | (F.btrim("line", F.lit(" \t")) != ""))
+    record = F.from_csv("line", layout.schema().toDDL(), {"sep": layout.sep})
+    return lines.select(
+        "path", "member", "lines", "error", F.col("line").isNotNull().alias("is_line"), F.inline(F.array(record))
+    )
+
+
 def parsed_blocks(blocks: DataFrame, layout: Layout) -> DataFrame:
     """Columns of the lines of each block, named as in the layout.
 
@@ -120,6 +169,43 @@ def parsed_blocks(blocks: DataFrame, layout: Layout) -> DataFrame:
     return lines.select("path", "member", F.inline(F.array(record)))
 
 
+def _catalog(listing: DataFrame, verify: bool) -> DataFrame:
+    """The members of the listed archives, written, so that all that follows rests on one state of them."""
+    path = fresh_dir(listing.sparkSession, "archive-catalog")
+    archive_members(listing, verify=verify).write.parquet(path)
+    return listing.sparkSession.read.parquet(path)
+
+
+def read_checked_ticks(listing: DataFrame, spread_bytes: int = SPREAD_BYTES) -> ArchiveRead:
+    """Every line of all listed archives as raw ticks, read once, with rows about each member.
+
+    ``rows`` has the raw columns, ``path``, ``member``, ``is_line``, and in the rows about a
+    member ``lines`` or ``error``; lines of a member that turned out to be damaged are among them.
+    ``errors`` has the archives whose directory, first line or columns could not be used.
+    """
+    spark = listing.sparkSession
+    catalog = _catalog(listing, verify=False)
+    errors = catalog.where("error is not null").select("path", "error").distinct()
+    good = catalog.where("error is null and header is not null")
+    # A set number of tasks: merged by size, the short rows of the catalog would all be one task's.
+    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), good.count()))
+
+    def rows(header: str) -> DataFrame:
+        members = good.where(F.col("header") == header)
+        small = checked_blocks(members.where(F.col("size") < spread_bytes).repartition(tasks))
+        large = checked_blocks(members.where(F.col("size") >= spread_bytes).repartition(tasks))
+        blocks = small.unionByName(large.hint("rebalance", "path", "member", "part"))
+        return checked_lines(blocks, Layout(header, ",")).select(
+            *RAW_TICK_COLUMNS, "path", "member", "is_line", "lines", "error"
+        )
+
+    headers = header_rows(good)
+    if not headers:
+        empty = f"{ZIPPED_TICKS.toDDL()}, is_line boolean, lines long, error string"
+        return ArchiveRead(spark.createDataFrame([], empty), errors)
+    return ArchiveRead(reduce(DataFrame.unionByName, map(rows, headers)), errors)
+
+
 def read_zipped_ticks(
     listing: DataFrame, verify: bool = True, together: str | None = None
 ) -> ArchiveRead:
