@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.frames import tidy
 from tickloom.llm.store import Scratch, written
 from tickloom.llm.text import raw_texts, slices
 
@@ -340,7 +341,7 @@ def aligned(docs: DataFrame, files: Tokenizers, pair_base: int) -> DataFrame:
                     names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, _ALIGNED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(work), _ALIGNED)
 
 
 def pair_counts(rows: DataFrame, pair_base: int) -> DataFrame:

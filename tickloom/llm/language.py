@@ -11,17 +11,17 @@ are from theirs is rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.frames import annotated
+from tickloom.llm.frames import annotated, tidy
 from tickloom.llm.text import raw_texts, slices
 
 DIMENSIONS = 4096
@@ -29,6 +29,8 @@ DIMENSIONS = 4096
 #: hash of their ids; document frequencies and the languages of centroids come from all training texts.
 FIT_ROWS = 1000
 CENTROIDS = 4
+#: Texts whose dense vectors a task holds at once, 16 KB each.
+AT_ONCE = 256
 ROUNDS = 12
 #: A text is rejected below this share of a low quantile of the cosines of training texts of its length.
 REJECT_SHARE = 0.5
@@ -37,36 +39,46 @@ QUANTILE = 0.005
 THIN = 30
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: What counts as a letter, in the fit and in predictions: the Unicode categories L.
+_LETTER = regex.compile(r"\p{L}")
 _LENGTHS = 24
+_CHUNK = 1 << 20
 #: ASCII but a-z becomes white space.
 _SPACES = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
 
 def _ngrams(text: str) -> np.ndarray:
     """Counts of the hashed byte pairs and triples of a text's lower-cased words."""
-    spaced = b" ".join(text.lower().encode().translate(_SPACES).split())
-    data = np.frombuffer(b" " + spaced + b" ", np.uint8).astype(np.uint32)
-    pairs = data[:-1] * np.uint32(256) + data[1:]
-    triples = pairs[:-1] * np.uint32(256) + data[2:] + np.uint32(1 << 24)
-    grams = np.concatenate([pairs, triples]) * np.uint32(2654435761)
-    return np.bincount(grams >> np.uint32(32 - 12), minlength=DIMENSIONS)
+    spaced = b" " + b" ".join(text.lower().encode().translate(_SPACES).split()) + b" "
+    out = np.zeros(DIMENSIONS, np.int64)
+    for low in range(0, max(len(spaced) - 1, 1), _CHUNK):
+        # Pairs and triples that begin in the chunk.
+        data = np.frombuffer(spaced[low: low + _CHUNK + 2], np.uint8).astype(np.uint32)
+        pairs = data[:-1] * np.uint32(256) + data[1:]
+        triples = pairs[:-1] * np.uint32(256) + data[2:] + np.uint32(1 << 24)
+        grams = np.concatenate([pairs[:_CHUNK], triples]) * np.uint32(2654435761)
+        out += np.bincount(grams >> np.uint32(32 - 12), minlength=DIMENSIONS)
+    return out
 
 
 def counted(texts: Sequence[bytes]) -> np.ndarray:
-    return np.array([_ngrams(t.decode("utf-8", "replace")) for t in texts]).reshape(len(texts), DIMENSIONS)
+    out = np.zeros((len(texts), DIMENSIONS), np.float32)
+    for row, text in zip(out, texts, strict=True):
+        row[:] = _ngrams(text.decode("utf-8", "replace"))
+    return out
 
 
 def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Unit TF-IDF vectors; that of no n-grams is zero."""
-    out = np.log1p(counts).astype(np.float32) * idf
+    out = np.log1p(counts, dtype=np.float32)
+    out *= idf
     norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
+    return np.divide(out, norm, out=out, where=norm > 0)
 
 
 def _length(counts: np.ndarray) -> np.ndarray:
     """Which class of lengths a text is in: powers of two of its n-grams."""
-    return np.minimum(np.log2(np.maximum(counts.sum(axis=1), 1)).astype(int), _LENGTHS - 1)
+    return np.minimum(np.log2(np.maximum(counts.sum(axis=1, dtype=float), 1)).astype(int), _LENGTHS - 1)
 
 
 def clustered(points: np.ndarray, count: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -138,12 +150,12 @@ def _frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
         total = np.zeros(DIMENSIONS + 1, np.int64)
         for batch in batches:
             texts = raw_texts(batch.column(0))
-            for low, high in slices(texts):
+            for low, high in slices(texts, most=AT_ONCE):
                 total[:-1] += (counted(texts[low:high]) > 0).sum(axis=0)
             total[-1] += len(texts)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMENSIONS + 1)), pa.array(total)], names=["gram", "n"])
 
-    sums = rows.select(F.col("text").cast("string")).mapInArrow(work, "gram long, n long")
+    sums = rows.select(F.col("text").cast("string")).mapInArrow(tidy(work), "gram long, n long")
     out = np.zeros(DIMENSIONS + 1, np.int64)
     for row in sums.groupBy("gram").agg(F.sum("n").alias("n")).collect():
         out[row.gram] = row.n
@@ -198,7 +210,7 @@ def _owners(rows: DataFrame, model: Model) -> list[str]:
     def compute(texts: Sequence[bytes]) -> list[pa.Array]:
         return [pa.array(np.argmax(vectors(counted(texts), model.idf) @ model.centroids.T, axis=1), pa.int64())]
 
-    votes = annotated(rows.select("lang", "text"), "centroid long", compute)
+    votes = annotated(rows.select("lang", "text"), "centroid long", compute, AT_ONCE)
     votes = votes.groupBy("centroid", F.col("row.lang").alias("lang")).agg(F.count("*").alias("n")).collect()
     most: dict[int, tuple] = {}
     for vote in sorted(votes, key=lambda r: (-r.n, r.lang)):
@@ -223,7 +235,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
         names, scores, rejected = model.predict(texts)
         return [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected)]
 
-    return annotated(docs, "lang_pred string, score double, rejected boolean", compute)
+    return annotated(docs, "lang_pred string, score double, rejected boolean", compute, AT_ONCE)
 
 
 def learned(docs: DataFrame) -> Model:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import connected
+from tickloom.llm.frames import tidy
 from tickloom.llm.store import Scratch, written
 from tickloom.llm.text import long_lists, mix, raw_texts, shingle_sets, slices
 
@@ -149,7 +150,7 @@ def sketches(docs: DataFrame, banding: Banding, id_column: str = "doc_id") -> Da
                 )
 
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(
-        work, "id long, n_shingles long, set_id binary, registers binary"
+        tidy(work), "id long, n_shingles long, set_id binary, registers binary"
     )
 
 
@@ -171,7 +172,7 @@ def banded(sketched: DataFrame, banding: Banding) -> DataFrame:
                 names=["key", "id"],
             )
 
-    return sketched.select("id", "registers").mapInArrow(work, "key long, id long")
+    return sketched.select("id", "registers").mapInArrow(tidy(work), "key long, id long")
 
 
 def full_sets(docs: DataFrame, n: int, id_column: str = "doc_id") -> DataFrame:
@@ -188,7 +189,7 @@ def full_sets(docs: DataFrame, n: int, id_column: str = "doc_id") -> DataFrame:
                 )
 
     return docs.select(F.col(id_column).cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(
-        work, "id long, shingles array<long>"
+        tidy(work), "id long, shingles array<long>"
     )
 
 
@@ -212,7 +213,7 @@ def plausible(pairs: DataFrame, sketched: DataFrame, banding: Banding) -> DataFr
     )
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     met = met.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return met.select("a", "b", "r_a", "r_b", "n_a", "n_b").mapInArrow(work, "a long, b long")
+    return met.select("a", "b", "r_a", "r_b", "n_a", "n_b").mapInArrow(tidy(work), "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

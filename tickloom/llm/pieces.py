@@ -31,7 +31,7 @@ MARKER = "▁"
 UNKNOWN_COST = 10.0
 #: Longer units are segmented one by one.
 LONG_UNIT = 200
-#: A worker remembers so many units at most, and starts anew beyond them.
+#: A task remembers so many units at most, and starts anew beyond them.
 KEPT_UNITS = 400_000
 
 
@@ -249,7 +249,7 @@ def _spans(first: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class _Seen:
-    """Units segmented so far by a worker, to be used again by later slices and tasks."""
+    """Units segmented so far by a task, to be used again by later slices."""
 
     def __init__(self) -> None:
         self.index: dict[bytes, int] = {}
@@ -312,6 +312,9 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     is_byte = np.zeros(len(vocab.spellings), bool)
     is_byte[vocab.byte_pieces] = True
 
+    def done() -> None:
+        _seen.clear()
+
     def compute(texts: Sequence[bytes]) -> list[pa.Array]:
         pieces, first = encode(texts, vocab)
         again = decode_bytes(pieces, first, vocab)
@@ -323,7 +326,7 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
             pa.array([a == t for a, t in zip(again, texts, strict=True)]),
         ]
 
-    return annotated(docs, "tokens array<int>, n_tokens long, n_bytes long, exact boolean", compute)
+    return annotated(docs, "tokens array<int>, n_tokens long, n_bytes long, exact boolean", compute, done=done)
 
 
 def decoded(frame: DataFrame, vocab: Vocabulary, column: str = "tokens") -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tickloom.llm.components import connected
+from tickloom.llm.frames import tidy
 from tickloom.llm.store import Scratch, written
 from tickloom.llm.text import SPACED, Words, raw_texts, slices, words
 
@@ -95,7 +96,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
                 )
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(
-        work, "doc_id long, bits long"
+        tidy(work), "doc_id long, bits long"
     )
 
 
@@ -138,7 +139,7 @@ def _walked(buckets: DataFrame, radius: int) -> DataFrame:
                 pairs = np.array(links, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return buckets.select("members").mapInArrow(work, "a long, b long")
+    return buckets.select("members").mapInArrow(tidy(work), "a long, b long")
 
 
 def _met(hot: DataFrame, radius: int) -> DataFrame:
@@ -167,7 +168,7 @@ def _met(hot: DataFrame, radius: int) -> DataFrame:
                     names=["point", "bits"],
                 )
 
-    points = hot.mapInArrow(work, "point long, bits long")
+    points = hot.mapInArrow(tidy(work), "point long, bits long")
     least = points.groupBy("point").agg(F.min("bits").alias("a"), F.max("bits").alias("last")).where("a <> last")
     return points.join(least.select("point", "a"), "point").where("a <> bits").select("a", F.col("bits").alias("b")).distinct()
 

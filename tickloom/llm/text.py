@@ -18,7 +18,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = _U64(0xD6E8FEB86659FD93)
 
 #: Bytes of texts that are worked on at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"): ord("Z") + 1] += 32
@@ -151,11 +151,11 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(texts: Sequence[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about so many bytes, at least one text each."""
+def slices(texts: Sequence[bytes], limit: int = SLICE_BYTES, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many bytes, and of at most so many texts; at least one text each."""
     start, size = 0, 0
     for place, text in enumerate(texts):
-        if size and size + len(text) > limit:
+        if (size and size + len(text) > limit) or place - start == most:
             yield start, place
             start, size = place, 0
         size += len(text) + 1
