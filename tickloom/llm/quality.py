@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.frames import annotated
-from tickloom.llm.text import Words, mix, raw_texts, slices
+from tickloom.llm.frames import annotated, tidy
+from tickloom.llm.text import SLICE_BYTES, Words, mix, raw_texts, slices
 
 WORDS = 1 << 14
 SIZE = 32
@@ -33,6 +33,7 @@ EPOCHS = 40
 THRESHOLD = 0.3
 _U64 = np.uint64
 _PARTS = 16  # of the matrix of word vectors, for adding them up
+_CHUNK = 1 << 13  # words of a text whose vectors are gathered at once
 
 _codes = np.arange(256)
 _KIND = np.full(256, 3, np.uint8)
@@ -54,45 +55,51 @@ def tokens(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (hashes >> _U64(64 - 14)).astype(np.int64), first
 
 
+def _draws() -> list[tuple[np.ndarray, int]]:
+    """The places of each row's ones and minus ones, with their signs."""
+    rows = np.arange(WORDS, dtype=_U64)
+    return [
+        ((mix(rows * _U64(4) + _U64(draw + 1)) % _U64(SIZE)).astype(np.int64), 1 if draw % 2 == 0 else -1)
+        for draw in range(4)
+    ]
+
+
 def index_vectors() -> np.ndarray:
     """For each row a vector of zeros but for two ones and two minus ones, at random places."""
     out = np.zeros((WORDS, SIZE), np.int64)
-    rows = np.arange(WORDS, dtype=_U64)
-    for draw in range(4):
-        place = (mix(rows * _U64(4) + _U64(draw + 1)) % _U64(SIZE)).astype(np.int64)
-        out[np.arange(WORDS), place] += 1 if draw % 2 == 0 else -1
+    for place, sign in _draws():
+        out[np.arange(WORDS), place] += sign
     return out
 
 
-def _contexts(rows: np.ndarray, first: np.ndarray, index: np.ndarray) -> np.ndarray:
-    """Per row the sum of the index vectors of the words around its occurrences."""
-    count = np.arange(len(rows))
+def _contexts(rows: np.ndarray, first: np.ndarray, draws: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """Per row the sum of the index vectors of the words around its occurrences.
+
+    An index vector has four entries, so all that is needed is to count, for each of them, how often
+    a row meets its place.
+    """
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    pairs: list[np.ndarray] = []
+    out = np.zeros(WORDS * SIZE, np.int64)
     for step in range(1, REACH + 1):
-        near = count[: len(rows) - step][owner[: len(rows) - step] == owner[step:]]
-        pairs += [rows[near] * WORDS + rows[near + step], rows[near + step] * WORDS + rows[near]]
-    # Each different pair once, with its count: then a sum per word.
-    pair, times = np.unique(np.concatenate(pairs), return_counts=True) if pairs else (count[:0], count[:0])
-    out = np.zeros((WORDS, SIZE), np.int64)
-    if len(pair):
-        word = pair // WORDS
-        heads = np.flatnonzero(np.diff(word, prepend=-1))
-        out[word[heads]] = np.add.reduceat(index[pair % WORDS] * times[:, None], heads, axis=0)
-    return out
+        near = np.flatnonzero(owner[: len(rows) - step] == owner[step:])
+        one, other = rows[near], rows[near + step]
+        for place, sign in draws:
+            for word, around in ((one, other), (other, one)):
+                out += sign * np.bincount(word * SIZE + place[around], minlength=WORDS * SIZE)
+    return out.reshape(WORDS, SIZE)
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The word vectors of the whole corpus, of unit length around their mean."""
-    index = index_vectors()
+    draws = _draws()
     height = WORDS // _PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((WORDS, SIZE), np.int64)
         for batch in batches:
             texts = raw_texts(batch.column(0))
-            for low, high in slices(texts):
-                total += _contexts(*tokens(texts[low:high]), index)
+            for low, high in slices(texts, 4 * SLICE_BYTES):
+                total += _contexts(*tokens(texts[low:high]), draws)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(_PARTS), pa.int32()),
@@ -113,7 +120,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
             )
 
     schema = "part int, sums binary"
-    sums = docs.select(F.col("text").cast("string")).mapInArrow(count, schema)
+    sums = docs.select(F.col("text").cast("string")).mapInArrow(tidy(count), schema)
     # Added in two steps, each over a stream: no task holds more than one matrix.
     spread = sums.withColumn("salt", F.spark_partition_id() % 32).repartition("part", "salt").select("part", "sums")
     rows = spread.mapInArrow(add, schema).repartition("part").mapInArrow(add, schema).collect()
@@ -126,33 +133,28 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     if used.any():
         out[used] -= out[used].mean(axis=0)
     # A word's own index vector tells it from others that stand among the same words.
-    return (out + index / 4).astype(np.float32)
+    return (out + index_vectors() / 4).astype(np.float32)
 
 
 def pooled(texts: Sequence[bytes], vectors: np.ndarray) -> np.ndarray:
     """Features of texts: the mean of their words' vectors, of different words' vectors, of squares,
     of products of neighbours, and sizes. A text without words has zeros."""
     rows, first = tokens(texts)
-    counts = np.diff(first)
-    full = np.flatnonzero(counts)
     out = np.zeros((len(texts), 4 * SIZE + 2), np.float32)
-    if not len(full):
-        return out
-    owner = np.repeat(np.arange(len(texts)), counts)
-    found = vectors[rows]
-    number = counts[full, None]
-    out[full, :SIZE] = np.add.reduceat(found, first[full], axis=0) / number
-    out[full, SIZE: 2 * SIZE] = np.add.reduceat(found * found, first[full], axis=0) / number
-    beside = np.zeros_like(found)
-    beside[:-1] = found[:-1] * found[1:]
-    beside[first[full + 1] - 1] = 0
-    out[full, 2 * SIZE: 3 * SIZE] = np.add.reduceat(beside, first[full], axis=0) / number
-    different = np.unique(owner * WORDS + rows)
-    heads = np.searchsorted(different, full * WORDS)
-    kinds = np.diff(np.append(heads, len(different)))
-    out[full, 3 * SIZE: 4 * SIZE] = np.add.reduceat(vectors[different % WORDS], heads, axis=0) / kinds[:, None]
-    out[full, -2] = np.log1p(counts[full])
-    out[full, -1] = np.log1p(kinds)
+    for text in np.flatnonzero(np.diff(first)).tolist():
+        own = rows[first[text]: first[text + 1]]
+        sums = np.zeros((3, SIZE))
+        for low in range(0, len(own), _CHUNK):
+            # One word more than the chunk, for the product with the next neighbour.
+            found = vectors[own[low: low + _CHUNK + 1]]
+            part = found[:_CHUNK]
+            sums[0] += part.sum(axis=0)
+            sums[1] += np.einsum("ij,ij->j", part, part)
+            sums[2] += np.einsum("ij,ij->j", found[:-1], found[1:])
+        kinds = np.unique(own)
+        out[text, : 3 * SIZE] = (sums / len(own)).ravel()
+        out[text, 3 * SIZE: 4 * SIZE] = vectors[kinds].sum(axis=0) / len(kinds)
+        out[text, -2:] = np.log1p([len(own), len(kinds)])
     return out
 
 
