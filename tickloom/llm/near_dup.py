@@ -9,12 +9,12 @@ that may pass are verified on their full sets. Linked texts form components.
 Equal sets are one class from the start. Within a band's bucket each class is compared
 with one hub, so a bucket of any size costs a row per class. Where buckets span several
 components afterwards, the classes outside the largest one are compared with all others, in
-blocks, so that no link that the bands find is lost.
+blocks, by their registers and then on full sets, so that no link that the bands find is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -255,33 +255,44 @@ def _to_hubs(members: DataFrame) -> DataFrame:
     )
 
 
-def _alike(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links between the outliers and the others of a group, where components differ."""
-    outliers, others = frame[frame["outlier"]], frame[~frame["outlier"]]
-    pairs: list[tuple] = []
-    if len(outliers) and len(others):
-        sets = [np.asarray(s, np.int64) for s in others["shingles"]]
-        sizes = np.array([len(s) for s in sets])
+def _alike(frame: pd.DataFrame, banding: Banding) -> pd.DataFrame:
+    """Links between the outliers and the others of a group, where components differ.
+
+    Full sets are compared only where some registers are alike enough; to correct them for
+    collisions would only rule out more.
+    """
+    stray = frame["outlier"].to_numpy()
+    ids, components = frame["id"].to_numpy(), frame["component"].to_numpy()
+    rows = np.frombuffer(b"".join(frame["registers"]), np.uint16).reshape(-1, banding.buckets)
+    others = np.flatnonzero(~stray)
+    likely = {}
+    for one in np.flatnonzero(stray).tolist():
+        near = np.count_nonzero(rows[others] == rows[one], axis=1) >= banding.least_estimate * banding.buckets
+        near &= components[others] != components[one]
+        if near.any():
+            likely[one] = others[near]
+    sets = frame["shingles"]
+    held = {n: np.asarray(sets.iat[n], np.int64) for n in {m for found in likely.values() for m in found.tolist()}}
+    pairs: list[tuple[int, int]] = []
+    for one, found in likely.items():
+        values = np.asarray(sets.iat[one], np.int64)
+        sizes = np.array([len(held[m]) for m in found.tolist()])
+        # How many of its own shingles each of the likely ones has, all of them looked up at once.
+        joined = np.concatenate([held[m] for m in found.tolist()])
+        place = np.minimum(np.searchsorted(values, joined), len(values) - 1)
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        known, number = np.unique(np.concatenate(sets), return_inverse=True)
-        ids, components = others["id"].to_numpy(), others["component"].to_numpy()
-        for a, component, shingles in zip(outliers["id"], outliers["component"], outliers["shingles"], strict=True):
-            values = np.asarray(shingles, np.int64)
-            near = np.minimum(np.searchsorted(known, values), len(known) - 1)
-            held = np.zeros(len(known), np.int64)
-            held[near[known[near] == values]] = 1
-            common = np.add.reduceat(held[number], first)
-            good = (100 * common >= percent * (len(values) + sizes - common)) & (components != component)
-            pairs += [(min(a, b), max(a, b)) for b in ids[good].tolist()]
+        common = np.add.reduceat((values[place] == joined).astype(np.int64), first)
+        good = 100 * common >= banding.percent * (len(values) + sizes - common)
+        pairs += [(min(ids[one], ids[m]), max(ids[one], ids[m])) for m in found[good].tolist()]
     return pd.DataFrame(pairs, columns=["a", "b"], dtype=np.int64)
 
 
-def _across(torn: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(torn: DataFrame, sketched: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
     """Links (a, b) between components that still share buckets.
 
     Ids that torn buckets connect make up a group. The largest component of a group is
     settled within itself; ids outside of it, its outliers, are compared with all of the
-    group on their full sets. Both sides are dealt into blocks and each pair of blocks is a
+    group by registers and, where these are alike, on full sets. Both sides are dealt into blocks and each pair of blocks is a
     task's group, from which only links come out; few outliers cost few copies of a row,
     however large the group.
     """
@@ -292,14 +303,14 @@ def _across(torn: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     parts = placed.groupBy("group", "component").agg(F.count("*").alias("n"))
     shape = parts.groupBy("group").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("largest"))
-    rows = placed.join(sets, "id").join(shape, "group").select(
-        "group", "id", "component", "shingles", (F.col("component") != F.col("largest.component")).alias("stray"),
+    rows = placed.join(sets, "id").join(sketched.select("id", "registers"), "id").join(shape, "group").select(
+        "group", "id", "component", "shingles", "registers", (F.col("component") != F.col("largest.component")).alias("stray"),
         F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).cast("int").alias("stray_blocks"),
     )
     every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
     block = lambda count: F.expr(f"cast(pmod(xxhash64(id, '{count}'), {count}) as int)")
-    columns = ["group", "block", "stray_block", "outlier", "id", "component", "shingles"]
+    columns = ["group", "block", "stray_block", "outlier", "id", "component", "shingles", "registers"]
     others = rows.withColumn("block", block("blocks")).withColumn("stray_block", F.explode(every("stray_blocks")))
     strays = rows.where("stray").withColumn("stray_block", block("stray_blocks")).withColumn(
         "block", F.explode(every("blocks"))
@@ -308,31 +319,28 @@ def _across(torn: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         strays.withColumn("outlier", F.lit(True)).select(columns)
     )
     return both.groupBy("group", "block", "stray_block").applyInPandas(
-        lambda frame: _alike(frame, percent), "a long, b long"
+        lambda frame: _alike(frame, banding), "a long, b long"
     )
 
 
-def linked(docs: DataFrame, sketched: DataFrame, banding: Banding) -> DataFrame:
+def linked(sketched: DataFrame, sets_of: Callable[[DataFrame], DataFrame], banding: Banding) -> DataFrame:
     """Components (id, component) of the classes of equal sets, written; ids without a link are left out.
 
-    ``sketched`` holds one row per class, ``docs`` at least the text of each class's id.
+    ``sketched`` holds one row per class; ``sets_of`` gives the shingles (id, shingles) of the
+    full sets of those among the ids (``id``) of a written table.
     """
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(sketched.sparkSession) as scratch:
         keyed = banded(sketched, banding)
         shared = keyed.groupBy("key").agg(F.min("id").alias("id1"), F.max("id").alias("id2")).where("id1 <> id2")
         members = scratch.write(keyed.join(shared.select("key"), "key"), "bucket-members")
-        wanted = scratch.write(members.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
-        with_text = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        # The same join at every size: texts are never joined with a broadcast of ids.
-        chosen = with_text.join(wanted.hint("merge"), "doc_id", "left_semi")
-        sets = scratch.write(full_sets(chosen, banding.words), "sets")
+        sets = scratch.write(sets_of(scratch.write(members.select("id").distinct(), "bucket-ids")), "sets")
 
         pairs = scratch.write(_to_hubs(members.withColumn("component", F.col("id"))), "pairs")
         edges = scratch.write(verified(plausible(pairs, sketched, banding), sets, banding.percent), "edges")
         found = connected(edges)
         torn = scratch.write(_torn(members, found), "torn-buckets")
         if not torn.isEmpty():
-            more = scratch.write(_across(torn, sets, banding.percent), "edges")
+            more = scratch.write(_across(torn, sketched, sets, banding), "edges")
             found = connected(edges.unionByName(more))
         return written(found, "components")
 
@@ -355,7 +363,13 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
             ),
             "classes",
         )
-        found = scratch.adopt(linked(docs, classes.select("id", "n_shingles", "registers"), banding))
+        with_text = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
+
+        def sets_of(wanted: DataFrame) -> DataFrame:
+            # The same join at every size: texts are never joined with a broadcast of ids.
+            return full_sets(with_text.join(wanted.hint("merge"), "id", "left_semi"), banding.words, "id")
+
+        found = scratch.adopt(linked(classes.select("id", "n_shingles", "registers"), sets_of, banding))
         copies = classes.where("id <> last_id").select("set_id", F.col("id").alias("first_id"))
         result = (
             every.select("id", "n_shingles", "set_id").join(copies, "set_id", "left")

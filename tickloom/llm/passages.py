@@ -9,31 +9,39 @@ Lines, and lines between blank ones taken together, of at least ``WORDS`` words
 as well; these may be edited, so they go through bands of MinHash registers, tuned for recall,
 and exact Jaccard similarity.
 
-In each group of equal or linked paragraphs the first stays, by doc_id and place; the others
-are to be removed.
+A text is cut into words once: the same pass signs its runs and sketches its units.
+
+In each group of equal or linked paragraphs the first stays, by doc_id; the others are to be
+removed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from xxhash import xxh3_128_digest
 
-from tickloom.llm.frames import rows_of
-from tickloom.llm.near_dup import Banding, near_duplicates
-from tickloom.llm.store import Scratch, written
-from tickloom.llm.text import SPACED, Words, long_lists, mix, ngram_hashes, raw_texts, slices, words
+from tickloom.llm.frames import rows_of, tidy
+from tickloom.llm.near_dup import Banding, linked, registers
+from tickloom.llm.store import Scratch, dropped, written
+from tickloom.llm.text import SPACED, long_lists, mix, ngram_hashes, raw_texts, slices, words
 
 WORDS = 50
 SHINGLE = 5
-#: What parts lines, and paragraphs: white space with two line breaks at least.
-KINDS = (r"\n", r"\n[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*")
+#: What tells documents apart: two texts of one doc_id are two documents.
+KEY = ["doc_id", "text_id"]
+#: Lines and paragraphs of fewer words are not compared as units: short lines, headings and signatures,
+#: recur in documents that have nothing else in common.
+LEAST_WORDS = 50
+#: Runs that are broadcast, fewer than; they hold more than this part of all rows, or so many rows.
+HOT = 10_000
 #: A pair of lines or paragraphs at the least similarity, 0.75, shares no band with a chance of 0.0005.
 LINES = Banding(rows=4, bands=20)
 
@@ -54,44 +62,106 @@ def minima(shingles: np.ndarray, width: int) -> np.ndarray:
     return _windowed(shingles, width, np.minimum, int(np.iinfo(np.uint64).max))
 
 
-def _per_text(found: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(text, word hashes, MinHash of each run of WORDS words) of texts that have any."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_id, text): rows of one doc_id and one text are a document."""
+    return docs.select(
+        F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("text_id"), F.col("text").cast("string")
+    ).where("doc_id IS NOT NULL AND text IS NOT NULL")
+
+
+@dataclass(frozen=True)
+class _Text:
+    """The words of one text of a slice."""
+
+    number: int
+    hashes: np.ndarray
+    least: np.ndarray  # MinHash of each run of WORDS words
+    shingles: np.ndarray
+    lines: np.ndarray  # line breaks of the slice before each word
+
+
+def _texts(texts: list[bytes]) -> Iterator[_Text]:
+    """The texts of at least WORDS words."""
+    found = words(texts, SPACED)
     hashes = found.hashes()
     shingles = ngram_hashes(hashes, SHINGLE)
+    lines = np.searchsorted(np.flatnonzero(found.data == ord("\n")), found.starts)
     for text in np.flatnonzero(found.counts >= WORDS).tolist():
         start, stop = int(found.first[text]), int(found.first[text + 1])
-        yield text, hashes[start:stop], minima(shingles[start: stop - SHINGLE + 1], WORDS - SHINGLE + 1)
+        own = shingles[start: stop - SHINGLE + 1]
+        yield _Text(text, hashes[start:stop], minima(own, WORDS - SHINGLE + 1), own, lines[start:stop])
 
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, digest, marks): a 128-bit digest of a text's words, and the different
-    MinHashes of its runs; texts of fewer than WORDS words are left out."""
+def units_of(lines: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(place, words) of the lines, and of the paragraphs of several lines, that have so many words.
+
+    ``lines`` counts the line breaks before each word; paragraphs are parted by two and more.
+    """
+    steps = np.diff(lines)
+    cut = lambda breaks: np.concatenate([[0], np.flatnonzero(breaks) + 1, [len(lines)]])
+    found = []
+    for edges, several in ((cut(steps > 0), False), (cut(steps > 1), True)):
+        sizes = np.diff(edges)
+        for unit in np.flatnonzero(sizes >= least):
+            place, count = int(edges[unit]), int(sizes[unit])
+            # A paragraph of one line is that line.
+            if not several or lines[place] != lines[place + count - 1]:
+                found.append((place, count))
+    return found
+
+
+_SURVEY = (
+    "doc_id long, text_id long, n_words int, digest binary, marks array<long>,"
+    " units array<struct<place:int, n_words:int, n_shingles:long, set_id:binary, registers:binary>>"
+)
+
+
+def _survey(docs: DataFrame, least: int) -> DataFrame:
+    """Per text of at least WORDS words a 128-bit digest of them, the different MinHashes of its runs,
+    and of its lines and paragraphs place, size, a digest and HyperMinHash registers of their shingles."""
+    unit_type = pa.struct([
+        ("place", pa.int32()), ("n_words", pa.int32()), ("n_shingles", pa.int64()), ("set_id", pa.binary()),
+        ("registers", pa.binary()),
+    ])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = raw_texts(batch.column(1))
+            texts = raw_texts(batch.column(2))
             for low, high in slices(texts):
-                source, counts, digests, marks = [], [], [], []
-                for text, hashes, least in _per_text(words(texts[low:high], SPACED)):
-                    source.append(low + text)
-                    counts.append(len(hashes))
-                    digests.append(xxh3_128_digest(hashes.tobytes()))
-                    marks.append(np.unique(least))
-                if source:
-                    first = np.concatenate([[0], np.cumsum([len(m) for m in marks])])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).take(pa.array(source)), pa.array(counts, pa.int32()),
-                            pa.array(digests, pa.binary()), long_lists(np.concatenate(marks), first),
-                        ],
-                        names=["doc_id", "n_words", "digest", "marks"],
-                    )
+                source, counts, digests, marks, units, sets = [], [], [], [], [], []
+                for text in _texts(texts[low:high]):
+                    source.append(low + text.number)
+                    counts.append(len(text.hashes))
+                    digests.append(xxh3_128_digest(text.hashes.tobytes()))
+                    marks.append(np.unique(text.least))
+                    units.append(units_of(text.lines, least))
+                    sets += [np.unique(text.shingles[p: p + max(n - SHINGLE + 1, 1)]) for p, n in units[-1]]
+                if not source:
+                    continue
+                starts = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)])
+                rows = registers(np.concatenate([*sets, np.zeros(0, _U64)]), starts, LINES.buckets)
+                flat = [u for part in units for u in part]
+                unit_rows = pa.array([
+                    (place, count, len(values), xxh3_128_digest(values.tobytes()), row.tobytes())
+                    for (place, count), values, row in zip(flat, sets, rows, strict=True)
+                ], unit_type)
+                unit_first = np.concatenate([[0], np.cumsum([len(u) for u in units])])
+                keys = pa.array(source)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(keys), batch.column(1).take(keys), pa.array(counts, pa.int32()),
+                        pa.array(digests, pa.binary()),
+                        long_lists(np.concatenate(marks), np.concatenate([[0], np.cumsum([len(m) for m in marks])])),
+                        pa.ListArray.from_arrays(pa.array(unit_first, pa.int32()), unit_rows),
+                    ],
+                    names=["doc_id", "text_id", "n_words", "digest", "marks", "units"],
+                )
 
-    return docs.mapInArrow(work, "doc_id long, n_words int, digest binary, marks array<long>")
+    return docs.mapInArrow(tidy(work), _SURVEY)
 
 
 def _runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, mark, digest) of the runs of (doc_id, text, marks) whose MinHash is among the marks."""
+    """(text_no, place, mark, digest) of the runs of (text_no, text, marks) whose MinHash is among the marks."""
     factor = _U64(0x9FB21C651E98DF25)
     inverse = _U64(pow(int(factor), -1, 1 << 64))
 
@@ -100,16 +170,16 @@ def _runs(docs: DataFrame) -> DataFrame:
             texts = raw_texts(batch.column(1))
             for low, high in slices(texts):
                 parts: list[list] = [[], [], [], []]
-                for text, hashes, least in _per_text(words(texts[low:high], SPACED)):
-                    wanted = np.array(batch.column(2)[low + text].as_py(), np.int64).view(_U64)
-                    places = np.flatnonzero(np.isin(least, wanted))
+                for text in _texts(texts[low:high]):
+                    wanted = np.array(batch.column(2)[low + text.number].as_py(), np.int64).view(_U64)
+                    places = np.flatnonzero(np.isin(text.least, wanted))
                     # A polynomial of the words from a place on, by differences of running sums.
-                    powers = np.cumprod(np.concatenate([[_U64(1)], np.full(len(hashes) - 1, factor)]))
-                    sums = np.concatenate([[_U64(0)], np.cumsum(hashes * powers)])
-                    scale = np.cumprod(np.concatenate([[_U64(1)], np.full(len(hashes) - 1, inverse)]))
+                    powers = np.cumprod(np.concatenate([[_U64(1)], np.full(len(text.hashes) - 1, factor)]))
+                    sums = np.concatenate([[_U64(0)], np.cumsum(text.hashes * powers)])
+                    scale = np.cumprod(np.concatenate([[_U64(1)], np.full(len(text.hashes) - 1, inverse)]))
                     digest = mix((sums[places + WORDS] - sums[places]) * scale[places])
                     for part, values in zip(
-                        parts, (np.full(len(places), low + text), places, least[places], digest), strict=True
+                        parts, (np.full(len(places), low + text.number), places, text.least[places], digest), strict=True
                     ):
                         part.append(values)
                 if parts[0]:
@@ -119,45 +189,48 @@ def _runs(docs: DataFrame) -> DataFrame:
                             batch.column(0).take(pa.array(source)), pa.array(place, pa.int32()),
                             pa.array(mark.view(np.int64)), pa.array(digest.view(np.int64)),
                         ],
-                        names=["doc_id", "place", "mark", "digest"],
+                        names=["text_no", "place", "mark", "digest"],
                     )
 
-    return docs.select("doc_id", "text", "marks").mapInArrow(work, "doc_id long, place int, mark long, digest long")
+    return docs.select("text_no", "text", "marks").mapInArrow(
+        tidy(work), "text_no long, place int, mark long, digest long"
+    )
 
 
-def copied_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, n_words, source_id): runs of WORDS words, and whole texts, that more than one
-    document holds, from word number ``place`` on; the source is the first of them.
+def _firsts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Per key that several texts have, the first of them as ``source``, and the number of rows."""
+    return rows.groupBy(*keys).agg(
+        F.min("text_no").alias("source"), F.max("text_no").alias("last"), F.count("*").alias("n")
+    ).where("source <> last").drop("last")
 
-    Documents of equal words are one from the start: only the first of them is searched for
-    runs, and the others are copies of it as a whole.
+
+def _run_spans(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(text_no, place, n_words, source) of runs that several texts hold, by their ``marks`` (doc_id,
+    text_id, text_no, marks).
+
+    Runs that hold a large part of all rows, a bounded number of them, are looked up in a broadcast
+    table instead of meeting in one task.
     """
     with Scratch(docs.sparkSession) as scratch:
-        signed = scratch.write(_signatures(docs), "signatures")
-        classes = signed.groupBy("digest").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
-        several = classes.where("source_id <> last").select("digest", "source_id")
-        whole = signed.join(several, "digest").select("doc_id", F.lit(0).alias("place"), "n_words", "source_id")
-        first = signed.join(
-            classes.select("digest", F.col("source_id").alias("doc_id")), ["digest", "doc_id"], "left_semi"
-        )
-        marks = first.select("doc_id", F.explode("marks").alias("mark"))
-        shared = (
-            marks.groupBy("mark").agg(F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"))
-            .where("d1 <> d2").select("mark")
+        each = marks.select(*KEY, "text_no", F.explode("marks").alias("mark"))
+        wanted = each.join(_firsts(each, "mark").select("mark"), "mark").groupBy(*KEY, "text_no").agg(
+            F.collect_set("mark").alias("marks")
         )
-        wanted = marks.join(shared, "mark").groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
-        runs = scratch.write(_runs(docs.join(scratch.write(wanted, "marks"), "doc_id")), "runs")
-        sources = (
-            runs.groupBy("mark", "digest")
-            .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
-            .where("source_id <> last").select("mark", "digest", "source_id")
+        runs = scratch.write(_runs(docs.join(scratch.write(wanted, "marks"), KEY)), "runs")
+        sources = scratch.write(_firsts(runs, "mark", "digest"), "run-sources")
+        # Fewer than HOT runs can hold that many of the rows.
+        large = max(HOT, runs.count() // HOT)
+        hot = F.broadcast(sources.where(F.col("n") > large).drop("n"))
+        other = sources.where(F.col("n") <= large).drop("n")
+        found = runs.join(hot, ["mark", "digest"]).select("text_no", "place", "source").unionByName(
+            runs.join(hot.select("mark", "digest"), ["mark", "digest"], "left_anti")
+            .join(other, ["mark", "digest"]).select("text_no", "place", "source")
         )
-        found = runs.join(sources, ["mark", "digest"]).select("doc_id", "place", "source_id")
-        return written(_spans(found).unionByName(whole.distinct()), "copied-runs")
+        return written(_spans(found), "copied-runs")
 
 
 def _spans(found: DataFrame) -> DataFrame:
-    """Runs of a document with the same source, one word apart each, as longer ones."""
+    """Runs of a text with the same source, one word apart each, as longer ones."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +239,7 @@ def _spans(found: DataFrame) -> DataFrame:
                 places = part.column(1)
                 owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(places).to_numpy())
                 place = pc.struct_field(places.flatten(), "place").to_numpy().astype(np.int64)
-                source = pc.struct_field(places.flatten(), "source_id").to_numpy()
+                source = pc.struct_field(places.flatten(), "source").to_numpy()
                 order = np.lexsort((place, source, owner))
                 owner, place, source = owner[order], place[order], source[order]
                 new = (np.diff(owner) != 0) | (np.diff(source) != 0) | (np.diff(place) > 1)
@@ -177,12 +250,12 @@ def _spans(found: DataFrame) -> DataFrame:
                         part.column(0).take(pa.array(owner[heads])), pa.array(place[heads], pa.int32()),
                         pa.array(place[tails] - place[heads] + WORDS, pa.int32()), pa.array(source[heads]),
                     ],
-                    names=["doc_id", "place", "n_words", "source_id"],
+                    names=["text_no", "place", "n_words", "source"],
                 )
 
     # What one document holds is bound by its length.
-    held = found.groupBy("doc_id").agg(F.collect_list(F.struct("place", "source_id")).alias("places"))
-    return held.mapInArrow(work, "doc_id long, place int, n_words int, source_id long")
+    held = found.groupBy("text_no").agg(F.collect_list(F.struct("place", "source")).alias("places"))
+    return held.mapInArrow(tidy(work), "text_no long, place int, n_words int, source long")
 
 
 def _pieces(lists: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -197,79 +270,121 @@ def _pieces(lists: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(lists)
 
 
-def _word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
+def _unit_sets(docs: DataFrame) -> DataFrame:
+    """(id, shingles): the sorted distinct shingles of the ``units`` (id, place, n_words) of texts."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = raw_texts(batch.column(0))
+            for low, high in slices(texts):
+                ids, sets = [], []
+                for text in _texts(texts[low:high]):
+                    for unit in batch.column(1)[low + text.number].as_py():
+                        ids.append(unit["id"])
+                        stop = unit["place"] + max(unit["n_words"] - SHINGLE + 1, 1)
+                        sets.append(np.unique(text.shingles[unit["place"]: stop]))
+                if ids:
+                    first = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids, pa.int64()), long_lists(np.concatenate(sets), first)], names=["id", "shingles"]
+                    )
 
+    return docs.select("text", "units").mapInArrow(tidy(work), "id long, shingles array<long>")
 
-def _units(docs: DataFrame) -> DataFrame:
-    """(doc_id, kind, number, text, unit_id) of the lines, and paragraphs of several lines, that are long
-    enough for WORDS words."""
-    units = docs.select("doc_id", F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.split("text", pattern).alias("parts")) for kind, pattern in enumerate(KINDS)
-    ])).alias("unit")).select("doc_id", "unit.kind", F.posexplode("unit.parts").alias("number", "text"))
-    # So many words have as many characters between them. A paragraph of one line is that line.
-    return units.where((F.length("text") >= 2 * WORDS - 1) & ((F.col("kind") == 0) | F.contains("text", F.lit("\n")))).withColumn(
-        "unit_id", F.xxhash64("doc_id", "kind", "number")
-    )
 
+def _unit_spans(docs: DataFrame, units: DataFrame, classes: DataFrame) -> DataFrame:
+    """(text_no, place, n_words, source) of lines and paragraphs that are alike in several texts.
 
-def alike_units(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, n_words, source_id): lines and paragraphs of more than one document in a component."""
-    units = _units(docs)
+    ``units`` says where they are (doc_id, text_id, text_no, place, n_words, set_id), ``classes``
+    holds each different set once (set_id, id, n_shingles, registers).
+    """
     with Scratch(docs.sparkSession) as scratch:
-        full = units.where(_word_count(F.col("text")) >= WORDS)
-        found = scratch.adopt(near_duplicates(full.select(F.col("unit_id").alias("doc_id"), "text"), LINES))
-        # Most units are alone; only the others are looked up again.
-        shared = found.groupBy("component_id").agg(F.count("*").alias("units")).where("units > 1")
-        linked = scratch.write(
-            found.join(shared, "component_id").select(F.col("doc_id").alias("unit_id"), "component_id"), "linked-units"
-        )
-        placed = units.select("doc_id", "kind", "number", "unit_id").join(linked, "unit_id")
-        grouped = scratch.write(placed.select("doc_id", "kind", "number", "component_id"), "units")
-        several = (
-            grouped.groupBy("component_id")
-            .agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("last"))
-            .where("source_id <> last").select("component_id", "source_id")
-        )
-        alike = scratch.write(grouped.join(several, "component_id"), "placed-units")
-        # Words of such a unit, and before it.
-        split = F.when(F.col("kind") == 0, F.split("text", KINDS[0])).otherwise(F.split("text", KINDS[1]))
-        before = _word_count(F.array_join(F.slice(split, 1, F.col("number")), "\n"))
-        texts = docs.join(alike.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-        out = texts.join(alike, "doc_id").select(
-            "doc_id", before.cast("int").alias("place"),
-            _word_count(F.get(split, F.col("number"))).cast("int").alias("n_words"), "source_id",
+        named = classes.select("set_id", "id")
+
+        def sets_of(wanted: DataFrame) -> DataFrame:
+            # One place of each set.
+            place = F.min(F.struct(*KEY, "place", "n_words")).alias("at")
+            placed = units.join(named.join(wanted, "id"), "set_id").groupBy("id").agg(place)
+            chosen = placed.groupBy(F.col("at.doc_id"), F.col("at.text_id")).agg(
+                F.collect_list(F.struct("id", "at.place", "at.n_words")).alias("units")
+            )
+            # The same join at every size: texts are never joined with a broadcast of ids. A document that
+            # stands in several rows gives its sets several times.
+            return _unit_sets(docs.join(chosen.hint("merge"), KEY)).dropDuplicates(["id"])
+
+        found = scratch.adopt(linked(classes.select("id", "n_shingles", "registers"), sets_of, LINES))
+        labels = named.join(found, "id", "left").select("set_id", F.coalesce("component", "id").alias("component"))
+        grouped = scratch.write(
+            units.select("text_no", "place", "n_words", "set_id").join(labels, "set_id").drop("set_id"), "grouped-units"
         )
-        # Documents that share a doc_id may have a unit of that number that is not the one meant.
-        return written(out.where("n_words IS NOT NULL").distinct(), "alike-units")
+        out = grouped.join(_firsts(grouped, "component").drop("n"), "component")
+        return written(out.select("text_no", "place", "n_words", "source"), "alike-units")
 
 
-def passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, n_words, component_id, kept): passages of docs (doc_id, text) that other documents hold.
+def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(doc_id, text_id, place, n_words, component_id, kept): passages of docs (doc_id, text) that other documents hold.
 
     ``place`` is the number of words before the passage, words being runs without white
     space. ``component_id`` is the doc_id of the first document with the passage, or the
     smallest of them where it is made of passages of several; ``kept`` is true in the
-    document in which the passage stays. A document without repeats has no row. Documents
-    of equal doc_id are one; those without doc_id or text take no part.
+    document in which the passage stays. A document without repeats has no row. Rows of one
+    doc_id and one text are one document, rows of one doc_id and different texts are several,
+    told apart by ``text_id``, xxhash64 of the text. Rows without doc_id or text take no part.
+    Texts of fewer than ``WORDS`` words hold no passage; lines and paragraphs of fewer than
+    ``least_words`` words are compared only as parts of runs.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(
-        "doc_id IS NOT NULL AND text IS NOT NULL"
-    )
-    every = copied_runs(docs).unionByName(alike_units(docs)).select(
-        "doc_id", "place", "n_words", "source_id", (F.col("source_id") == F.col("doc_id")).alias("kept")
-    )
-    # What one document holds is bound by its length.
-    held = every.groupBy("doc_id", "kept").agg(F.collect_list(F.struct("place", "n_words", "source_id")).alias("spans"))
-    return held.mapInArrow(_merged, "doc_id long, kept boolean, place int, n_words int, component_id long").select(
-        "doc_id", "place", "n_words", "component_id", "kept"
-    )
+    keyed = _keyed(docs)
+    spark = docs.sparkSession
+    with Scratch(spark) as scratch:
+        survey = written(_survey(keyed, least_words), "survey")
+        # Documents of equal words are one from the start: only the first of them is searched, and
+        # the others are copies of it as a whole.
+        own = F.struct(*KEY)
+        classes = scratch.write(
+            survey.groupBy("digest").agg(F.min(own).alias("first"), F.max(own).alias("last")), "text-classes"
+        )
+        # Numbers in the order of documents: sorted ranges, counted up from range to range.
+        numbers = scratch.write(
+            classes.select("first.*").orderBy(*KEY).withColumn("text_no", F.monotonically_increasing_id()), "text-numbers"
+        )
+        copied = classes.where("first <> last").select("digest", F.col("first.doc_id").alias("source_id"), "first")
+        whole = survey.join(copied, "digest").select(
+            *KEY, F.lit(0).alias("place"), "n_words", "source_id", (F.col("first") == own).alias("kept")
+        )
+        whole = scratch.write(whole.distinct(), "whole-copies")
+        first = survey.join(numbers.hint("merge"), KEY).dropDuplicates(["text_no"])
+        marks = scratch.write(first.select(*KEY, "text_no", "marks"), "text-marks")
+        units = scratch.write(
+            first.select(*KEY, "text_no", F.inline("units")).select(*KEY, "text_no", "place", "n_words", "set_id"), "units"
+        )
+        # Numbered where they are written: no two sets share an id.
+        sets = survey.select(F.inline("units")).groupBy("set_id").agg(
+            F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
+        )
+        unit_classes = scratch.write(sets.withColumn("id", F.monotonically_increasing_id()), "unit-classes")
+        dropped(spark, survey._written_at)
+
+        spans = scratch.adopt(_run_spans(keyed, marks)).unionByName(
+            scratch.adopt(_unit_spans(keyed, units, unit_classes))
+        )
+        sources = numbers.select(F.col("text_no").alias("source"), F.col("doc_id").alias("source_id"))
+        parts = spans.join(numbers, "text_no").join(sources, "source").select(
+            *KEY, "place", "n_words", "source_id", (F.col("source") == F.col("text_no")).alias("kept")
+        )
+        # What one document holds is bound by its length.
+        held = whole.unionByName(parts).groupBy(*KEY, "kept").agg(
+            F.collect_list(F.struct("place", "n_words", "source_id")).alias("spans")
+        )
+        found = held.mapInArrow(
+            _merged, "doc_id long, text_id long, kept boolean, place int, n_words int, component_id long"
+        )
+        return written(found.select(*KEY, "place", "n_words", "component_id", "kept"), "passages")
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of a document that overlap or touch become one, with their smallest source."""
     for batch in batches:
-        spans = batch.column(2)
+        spans = batch.column(3)
         if not len(spans.flatten()):
             continue
         owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(spans).to_numpy())
@@ -285,12 +400,12 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tails = np.append(heads[1:], len(owner)) - 1
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0).take(pa.array(owner[heads])), batch.column(1).take(pa.array(owner[heads])),
+                *[batch.column(c).take(pa.array(owner[heads])) for c in range(3)],
                 pa.array(place[heads], pa.int32()),
                 pa.array((reach[tails] - apart[heads] - place[heads]), pa.int32()),
                 pa.array(np.minimum.reduceat(source, heads), pa.int64()),
             ],
-            names=["doc_id", "kept", "place", "n_words", "component_id"],
+            names=["doc_id", "text_id", "kept", "place", "n_words", "component_id"],
         )
 
 
@@ -301,11 +416,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     where something is, what stands around it is joined by a line break.
     """
     cuts = (
-        passages(docs).where("NOT kept").groupBy("doc_id")
+        passages(docs).where("NOT kept").groupBy(F.col("doc_id").alias("cut_id"), F.col("text_id").alias("cut_text_id"))
         .agg(F.array_sort(F.collect_list(F.struct("place", "n_words"))).alias("cuts"))
-        .withColumnRenamed("doc_id", "cut_id")
     )
-    frame = docs.select(rows_of(docs)).join(cuts, F.col("row.doc_id") == F.col("cut_id"), "left")
+    # By document and text: what was found in one text is never cut out of another.
+    same = (F.col("row.doc_id") == F.col("cut_id")) & (F.xxhash64("row.text") == F.col("cut_text_id"))
+    frame = docs.select(rows_of(docs)).join(cuts, same & F.col("row.text").isNotNull(), "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,7 +441,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             )
 
     fields = StructType([frame.schema["row"], *StructType.fromDDL("left string").fields])
-    done = frame.select("row", "cuts").mapInArrow(work, fields).where("left IS NULL OR left <> ''")
+    done = frame.select("row", "cuts").mapInArrow(tidy(work), fields).where("left IS NULL OR left <> ''")
     changed = {"text": F.coalesce("left", "row.text")}
     if "n_chars" in docs.columns:
         size = F.char_length("left").cast(docs.schema["n_chars"].dataType)

@@ -21,7 +21,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.passages(table(spark, sf_dir, "documents"))
+    return passages.passages(table(spark, sf_dir, "documents")).drop("text_id")
 
 
 def op3_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
