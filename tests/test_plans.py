@@ -22,7 +22,8 @@ FILE_QUERIES = {
     "csv_round_trip", "partition_replace", "serving_replace", "batch_dates", "compaction",
     "retention_candidates", "run_log_latest", "incremental_load", "stream_replace",
     "stream_hourly", "stream_archives", "stray_date_load", "damaged_part_load", "emptied_day_load",
-    "quarantine_reload", "daily_load_csv", "load_balance", "stream_hourly_corrected", "vwap_sql", "incremental_rejects", "split_day_stream",
+    "quarantine_reload", "daily_load_csv", "load_balance", "stream_hourly_corrected",
+    "clustered_compaction", "total_volume_range", "distinct_symbols_range", "vwap_sql", "incremental_rejects", "split_day_stream",
 }
 
 

@@ -240,6 +240,26 @@ SELECT cast(strptime(day, '%Y%m%d') AS date) AS file_day, count(*) AS lines,
        count(*) FILTER (outcome = 'keyless') AS keyless, count(*) FILTER (outcome = 'header') AS header
 FROM lines GROUP BY 1"""
 
+_RANGE_TOTALS = f"""
+WITH {_TICKS}, moved AS (
+  SELECT "TradeVolume" AS v, "TradeDateParsed" + cast("TradeVolume" % 4 * 30 AS int) AS d FROM ticks),
+corrected AS (
+  SELECT d, v + CASE WHEN d BETWEEN DATE '2024-02-10' AND DATE '2024-02-12' THEN 1 ELSE 0 END AS v FROM moved),
+ranges AS (
+  SELECT unnest([DATE '2024-01-10', DATE '2024-02-05', DATE '2024-02-01', DATE '2023-01-01']) AS first_day,
+         unnest([DATE '2024-03-17', DATE '2024-02-20', DATE '2024-03-31', DATE '2025-12-31']) AS last_day)
+SELECT first_day, last_day, cast(sum(v) AS bigint) AS "Total Volume"
+FROM ranges LEFT JOIN corrected ON d BETWEEN first_day AND last_day GROUP BY ALL"""
+
+_RANGE_SYMBOLS = f"""
+WITH {_TICKS}, ranges AS (
+  SELECT unnest([1, 3, 14, 1]) AS a, unnest([1, 9, 18, 31]) AS b)
+SELECT DATE '2024-01-01' + cast(a - 1 AS int) AS first_day, DATE '2024-01-01' + cast(b - 1 AS int) AS last_day,
+       count(DISTINCT "Symbol") AS symbols
+FROM ranges LEFT JOIN ticks
+  ON "TradeDateParsed" BETWEEN DATE '2024-01-01' + cast(a - 1 AS int) AND DATE '2024-01-01' + cast(b - 1 AS int)
+GROUP BY ALL"""
+
 _ROUND_TRIP = _over_summary("SELECT * FROM summary")
 _REPLACED = f"WITH {_TICKS}, {_CORRECTED} {_summary_of('corrected')}"
 
@@ -278,6 +298,9 @@ FROM cancels WHERE "Amend_Code" = 'P'""",
     "tick_summary": _ROUND_TRIP,
     "csv_round_trip": _ROUND_TRIP,
     "compaction": _ROUND_TRIP,
+    "clustered_compaction": _ROUND_TRIP,
+    "total_volume_range": _RANGE_TOTALS,
+    "distinct_symbols_range": _RANGE_SYMBOLS,
     "stream_archives": _ROUND_TRIP,
     "stray_date_load": _ROUND_TRIP,
     "damaged_part_load": _ROUND_TRIP,

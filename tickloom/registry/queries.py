@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom import samples
 from tickloom.functions import cells
 from tickloom.functions.days import business_days
-from tickloom.operators import clean, panels, rollup, runs
+from tickloom.operators import clean, levels, panels, rollup, runs, symbolsets
 from tickloom.operators.replace import touched_dates
 from tickloom.plans import daily
 from tickloom.schemas import DATE_KEY, RAW_TICK_COLUMNS, SUMMARY, TICKS
@@ -433,6 +434,60 @@ def compaction(spark, sf_dir):
     return spark.read.parquet(path).select(*summary.columns)
 
 
+@registered
+def clustered_compaction(spark, sf_dir):
+    """Many small files per date, clustered by symbol; the rows stay the same."""
+    path = fresh_dir(spark, "clustered")
+    summary = _summary(spark, sf_dir)
+    summary.repartition(4).write.partitionBy(DATE_KEY).parquet(path)
+    upkeep.cluster(spark, path, levels.all_dates(summary), ["Symbol", "MessageCode", "Hour"])
+    return spark.read.parquet(path).select(*summary.columns)
+
+
+# Date ranges that cut months at one or both ends, lie in a month, or are made of whole ones.
+RANGES = [
+    (dt.date(2024, 1, 10), dt.date(2024, 3, 17)), (dt.date(2024, 2, 5), dt.date(2024, 2, 20)),
+    (dt.date(2024, 2, 1), dt.date(2024, 3, 31)), (dt.date(2023, 1, 1), dt.date(2025, 12, 31)),
+]
+
+
+@registered
+def total_volume_range(spark, sf_dir):
+    """Total volume of date ranges from whole months and edge days, after a correction of some days."""
+    root = fresh_dir(spark, "levels")
+    ticks = samples.ticks_of_months(spark, sf_dir)
+    made = levels.Levels(root)
+    tables.write_table(rollup.tick_summary(ticks), f"{root}/summary")
+    levels.refresh_levels(spark, f"{root}/summary", made, levels.all_dates(ticks))
+    corrected = ticks.where(f"{DATE_KEY} BETWEEN '2024-02-10' AND '2024-02-12'").withColumn(
+        "TradeVolume", F.col("TradeVolume") + 1
+    )
+    tables.write_table(rollup.tick_summary(corrected), f"{root}/summary")
+    levels.refresh_levels(spark, f"{root}/summary", made, levels.all_dates(corrected))
+    totals = [
+        levels.total_volume_range(spark, made, *ends).select(
+            F.lit(ends[0]).alias("first_day"), F.lit(ends[1]).alias("last_day"), "Total Volume"
+        )
+        for ends in RANGES
+    ]
+    return reduce(DataFrame.unionByName, totals)
+
+
+@registered
+def distinct_symbols_range(spark, sf_dir):
+    """Different symbols of date ranges from bitmaps kept per date, in two loads."""
+    root = fresh_dir(spark, "symbol-sets")
+    summary = _summary(spark, sf_dir)
+    for part in (f"{DATE_KEY} < '2024-01-16'", f"{DATE_KEY} >= '2024-01-16'"):
+        symbolsets.refresh_sets(summary.where(part), root)
+    counts = []
+    for first, last in ((1, 1), (3, 9), (14, 18), (1, 31)):
+        days = [dt.date(2024, 1, day) for day in range(first, last + 1)]
+        found = symbolsets.distinct_symbols(spark, root, days)
+        counts.append(found.select(F.lit(days[0]).alias("first_day"), F.lit(days[-1]).alias("last_day"), "symbols"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @registered
 def retention_candidates(spark, sf_dir):
     """Files of a replaced version of the summary, by date; those of the first days are past the retention."""

@@ -16,6 +16,9 @@ from tickloom.sources.tables import read_dates
 
 TARGET_BYTES = 1 << 30
 RETENTION_HOURS = 168
+# Row groups of clustered files: the smallest part of a file that a filter can skip.
+ROW_GROUP_BYTES = 16 << 20
+FILTER_VALUES = 10_000
 
 _SPLIT = "spark.sql.files.maxPartitionBytes"
 _OPEN_COST = "spark.sql.files.openCostInBytes"
@@ -80,6 +83,45 @@ def compact(
     return dates
 
 
+def cluster(
+    spark: SparkSession, path: str, dates: list[dt.date], by: list[str], target_bytes: int = TARGET_BYTES,
+    row_group_bytes: int = ROW_GROUP_BYTES, filter_values: int = FILTER_VALUES,
+) -> None:
+    """Rewrite some dates so that a filter on the first of the ``by`` columns skips most of them.
+
+    Rows of a date are dealt into ranges of the columns and sorted by them, so each row group
+    spans few values, and a Bloom filter tells which of the others it does not hold. The later
+    columns split a value that holds much of a date. Ranges run on from date to date: a date
+    may get one file more than its size calls for. ``filter_values`` is how many different
+    values a filter is laid out for. Staged and published like ``compact``.
+    """
+    chosen = ",".join(sorted({day.isoformat() for day in dates}))
+    sizes = partition_sizes(list_files(spark, f"{path}/{DATE_KEY}={{{chosen}}}", "*.parquet"))
+    wanted = {row[DATE_KEY]: -(-row.bytes // target_bytes) for row in calendar_rows(sizes)}
+    if not wanted:
+        return
+    options = {
+        f"parquet.bloom.filter.enabled#{by[0]}": "true",
+        f"parquet.bloom.filter.expected.ndv#{by[0]}": str(filter_values),
+        "parquet.block.size": str(row_group_bytes),
+    }
+
+    def write(rows: DataFrame, target: str) -> None:
+        # The order by date is what the writer asks for, so it adds no sort of its own.
+        ordered = rows.sortWithinPartitions(DATE_KEY, *by)
+        (
+            ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .options(**options).partitionBy(DATE_KEY).parquet(target)
+        )
+
+    staged = fresh_dir(spark, "cluster")
+    rows = read_dates(spark, path, sorted(wanted))
+    write(rows.repartitionByRange(sum(wanted.values()), DATE_KEY, *by), staged)
+    split = 2 * target_bytes
+    with settings(spark, **{_SPLIT: split, _OPEN_COST: split}):
+        write(spark.read.parquet(staged), path)
+
+
 def retention_candidates(
     listing: DataFrame, live: DataFrame, now: dt.datetime, hours: int = RETENTION_HOURS
 ) -> DataFrame:
