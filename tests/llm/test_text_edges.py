@@ -88,6 +88,14 @@ def test_language(edge, empty):
     assert {r.lang_pred for r in language.identified(edge, nothing).collect()} == {"und"}
 
 
+def test_numerals_are_no_letters(spark, edge):
+    model = language.learned(edge)
+    texts = ["½", "²³", "①", "12_", "ⅷ", "日", "ª"]
+    rows = docs_of(spark, [(n, t, None) for n, t in enumerate(texts)])
+    found = {r.doc_id: r.lang_pred for r in language.identified(rows, model).select("row.doc_id", "lang_pred").collect()}
+    assert [found[n] == "und" for n in range(7)] == [True, True, True, True, True, False, False]
+
+
 def test_pieces(edge, empty):
     vocab = pieces.vocabulary()
     rows = pieces.encoded(edge, vocab)
@@ -178,6 +186,29 @@ def test_chat(spark):
     assert chat.read_back(chat.formatted(chat.text_parts(turns.where("false")))).count() == 0
 
 
+def test_chat_parts(spark):
+    """Placeholders, attachments and expanded tokens of all types; null parts, types and odd sizes."""
+    names = ("type", "text", "ref", "width", "height", "seconds", "pages")
+    part = lambda **given: tuple(given.get(n) for n in names)
+    parts = [
+        part(type="text", text="see <|image|>"), None, part(type="image", ref="i", width=57, height=28), part(),
+        part(type="audio", ref="a", seconds=1.5), part(type="audio", ref="n", seconds=float("nan")),
+        part(type="document", ref="d", pages=3), part(type="image", ref="z", width=-5, height=9), part(type="text"),
+    ]
+    rows = [(1, 0, "user", parts), (1, 1, "assistant", [part(type="text", text="ok")]), (1, 2, "user", None)]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    found = chat.formatted(turns).orderBy("turn").collect()
+    shown = "see <\\|image|><|image|><|audio|><|audio|><|document|><|image|>"
+    assert found[0].segment == f"<|im_start|>user\n{shown}<|im_end|>\n"
+    assert [tuple(a) for a in found[0].attachments] == [
+        (0, "image", "i", 3), (1, "audio", "a", 38), (2, "audio", "n", 0), (3, "document", "d", 768), (4, "image", "z", 0),
+    ]
+    assert [(r.n_tokens, r.loss_length) for r in found] == [(809, 0), (0, 2), (0, 0)]
+    unknown = spark.createDataFrame([(1, 0, "user", [part(type="video")])], turns.schema)
+    with pytest.raises(Exception, match="no such type"):
+        chat.formatted(unknown).collect()
+
+
 def test_pipeline_stages(spark, edge, empty, items, tmp_path):
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
     for name, stage in corpus_pipeline.STAGES:

@@ -63,12 +63,22 @@ class Flattened:
     attachments: list[dict] = field(default_factory=list)
 
 
+def _size(value: float | None) -> float:
+    """A width, length or number of pages; null, negative and non-finite ones are nothing."""
+    return value if value is not None and 0 < value < math.inf else 0
+
+
 class PartVisitor:
-    """Flattens parts of known types; subclass it for others. Parts of unknown type fail."""
+    """Flattens parts of known types; subclass it for others.
+
+    Null parts and parts of null type are left out; parts of unknown type fail.
+    """
 
-    def visit(self, parts: list[dict]) -> Flattened:
+    def visit(self, parts: list[dict | None]) -> Flattened:
         out = Flattened()
         for part in parts:
+            if part is None or part["type"] is None:
+                continue
             handler: Callable | None = getattr(self, f"visit_{part['type']}", None)
             if handler is None:
                 raise ValueError(f"no such type of content: {part['type']}")
@@ -79,14 +89,14 @@ class PartVisitor:
         out.content.append(escape(part["text"] or ""))
 
     def visit_image(self, part: dict, out: Flattened) -> None:
-        squares = math.ceil((part["width"] or 0) / IMAGE_SQUARE) * math.ceil((part["height"] or 0) / IMAGE_SQUARE)
+        squares = math.ceil(_size(part["width"]) / IMAGE_SQUARE) * math.ceil(_size(part["height"]) / IMAGE_SQUARE)
         self._place(part, squares, out)
 
     def visit_audio(self, part: dict, out: Flattened) -> None:
-        self._place(part, math.ceil((part["seconds"] or 0) * AUDIO_TOKENS_PER_SECOND), out)
+        self._place(part, math.ceil(_size(part["seconds"]) * AUDIO_TOKENS_PER_SECOND), out)
 
     def visit_document(self, part: dict, out: Flattened) -> None:
-        self._place(part, (part["pages"] or 0) * TOKENS_PER_PAGE, out)
+        self._place(part, _size(part["pages"]) * TOKENS_PER_PAGE, out)
 
     def _place(self, part: dict, tokens: int, out: Flattened) -> None:
         out.attachments.append(
