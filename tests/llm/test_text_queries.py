@@ -295,6 +295,24 @@ def test_neighbours_recall(spark):
     assert hits >= 0.9 * total
 
 
+def test_neighbours_off_the_origin(spark):
+    """Vectors of mixed lengths around a point far from the origin."""
+    from tickloom.llm import neighbours
+
+    random = np.random.default_rng(6)
+    vectors = (random.normal(size=(4000, 32)) + 2 * random.normal(size=32)) * random.uniform(0.3, 3, (4000, 1))
+    frame = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in neighbours.search(frame, "vec_id % 50 = 0").collect():
+        found[r.query_id].add(r.vec_id)
+    hits = 0
+    for query, got in found.items():
+        scores = vectors @ vectors[query]
+        scores[query] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & got)
+    assert len(found) == 80 and hits >= 0.9 * 20 * 80
+
+
 def slow_segments(text, vocab):
     known = {s: n for n, s in enumerate(vocab.spellings) if s and n not in set(vocab.byte_pieces.tolist())}
     text = " " + text

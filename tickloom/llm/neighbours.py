@@ -145,6 +145,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
+def lifted(vectors: np.ndarray, largest: float) -> np.ndarray:
+    """Vectors with a component more, which brings all to the same length.
+
+    Their distances to a query that has none of it then fall as inner products grow, so that trees,
+    which look for what is close by, find large inner products off the origin and at mixed lengths too.
+    """
+    rest = np.sqrt(np.maximum(largest - np.einsum("ij,ij->i", vectors, vectors), 0))
+    return np.concatenate([vectors, rest[:, None]], axis=1)
+
+
+def aimed(query: np.ndarray, largest: float) -> np.ndarray:
+    """A query among lifted vectors, of their length."""
+    return np.append(query * (np.sqrt(largest) / np.linalg.norm(query)), 0.0)
+
+
 def search(table: DataFrame, is_query: str, count: int = 20, amount: float = OPENED, trees: int = TREES) -> DataFrame:
     """(query_id, rank, vec_id, score): for the rows of (vec_id, embedding) chosen by the SQL condition
     ``is_query``, their nearest other rows found, by inner product, ties to the smaller vec_id.
@@ -160,14 +175,16 @@ def search(table: DataFrame, is_query: str, count: int = 20, amount: float = OPE
     steps = 1 << 30
     chosen = rows.where(F.pmod(F.xxhash64("vec_id", F.lit("forest")), F.lit(steps)) < min(steps, SAMPLE * steps // total))
     sample = [r.vector for r in chosen.orderBy("vec_id").collect()] or [rows.first().vector]
-    forest = [grow(np.array(sample), seed) for seed in range(trees)]
+    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    largest = rows.agg(F.max(square).alias("largest")).first().largest
+    forest = [grow(lifted(np.array(sample), largest), seed) for seed in range(trees)]
     blocks = -(-total // BLOCK)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 vectors = _matrix(batch.column(1))
-                leaves = np.stack([tree.leaves(vectors) for tree in forest], axis=1)
+                leaves = np.stack([tree.leaves(lifted(vectors, largest)) for tree in forest], axis=1)
                 listed = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(vectors) + 1) * len(forest), pa.int32()),
                     pa.array(leaves.reshape(-1), pa.int32()),
@@ -179,7 +196,8 @@ def search(table: DataFrame, is_query: str, count: int = 20, amount: float = OPE
             if batch.num_rows:
                 plans = []
                 for vector in _matrix(batch.column(1)):
-                    plans.append([n * 65536 + leaf for n, x in enumerate(opened(vector, forest, amount)) for leaf in x])
+                    leaves = opened(aimed(vector, largest), forest, amount)
+                    plans.append([n * 65536 + leaf for n, x in enumerate(leaves) for leaf in x])
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(plans, pa.list_(pa.int32()))], names=["vec_id", "vector", "plan"]
                 )
