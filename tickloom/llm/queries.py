@@ -36,7 +36,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
     )
     return found.select(
-        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"
+        "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match",
+        "longest_word", "longest_item", "longest_item_word",
     )
 
 
