@@ -1,19 +1,20 @@
 """License scans by conditional compression.
 
-Every template is held against a block of lines that may state a license, word by word and
-wherever enough of its words stand close together: the smallest number of words to add, drop
-or change that turns the template into some stretch of the block must be small. Such a stretch
-is compressed with the template as a raw Zstandard dictionary. The fewer bytes it takes than
-without one, the more of its wording it shares with the template; this ranks templates that
-differ equally. Only the stretch is compressed, as in a long block a dictionary saves nothing.
-What is confirmed is cut out, and the rest is scanned again, so that a block may state several
-licenses.
+Candidate blocks are the stretches of a text in which enough words of a template crowd
+together; outside of them no template can be stated within the differences that are allowed,
+so nothing else has to be looked at. A block is hardly longer than a template. It is
+compressed with every template in turn as a raw Zstandard dictionary, and the templates are
+ranked by the bytes that saves. In that order they are confirmed by their exact wording
+differences, the smallest number of words to add, drop or change that turns the template into
+some stretch of the block; the first that is near enough is the block's license. What is
+confirmed is cut out, and the rest is scanned again, so that a block may state several.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -23,6 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.frames import tidy
+
 # The usual wordings of license notices.
 TEMPLATES = {
     "Apache-2.0": (
@@ -74,18 +77,20 @@ TEMPLATES = {
     ),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
-# Stems of words, as patterns, of which every template holds one.
+# Stems of words, as patterns that mark lines on licenses.
 STEMS = ("licen", "copyright", "permission", "permitted", "redistribut", r"public[\W_]+domain")
 
-#: Lines without such a stem between two with one still belong to the block.
+#: Lines without such a stem between two with one still belong to the run.
 GAP = 2
 #: Of a template's words so many hundredths may differ.
 DIFFERENT_PERCENT = 20
-#: Words of a stretch that are held against a template at once, besides its own length.
-PIECE = 100
-#: Words between licenses that are cut out together, and words around lines with a stem that
-#: belong to the block: more than any template may match.
+#: Blocks of more words than this and the longest template are cut into overlapping ones.
+PIECE = 40
+#: Words between licenses that are cut out together, and words around a block that belong to
+#: its region: more than any template may match.
 APART = 60
+#: Savings that differ by no more bytes than these are equal: headers and entropy tables vary as much.
+SAME_BYTES = 4
 LEVEL = 19
 
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -109,12 +114,6 @@ def spelled(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
-def spans_of(text: str) -> list[str]:
-    """Each word with what stands up to the next one."""
-    starts = [w.start() for w in _WORD.finditer(text)]
-    return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)], strict=True)]
-
-
 @lru_cache(maxsize=1)
 def templates() -> list[Template]:
     return [
@@ -185,61 +184,97 @@ def _vocabulary() -> tuple[dict[str, int], np.ndarray]:
     return numbers, has
 
 
-def crowded(words: list[str]) -> Iterator[tuple[Template, int, int]]:
-    """(template, start, stop): stretches outside of which no run of words is near enough to the template.
+def crowded(words: Sequence[str]) -> dict[tuple[int, int], list[Template]]:
+    """Blocks (start, stop) of words outside of which no template is stated, in order, each with the
+    templates that may be.
 
     A run that differs in so many words as may be has all but as many of the template's words,
-    within as many more words than the template's. Long stretches are cut into overlapping ones.
+    within as many more words than the template's.
     """
     numbers, has = _vocabulary()
-    codes = np.fromiter((numbers.get(w, len(numbers)) for w in words), np.int64, len(words))
+    get, none = numbers.get, len(numbers)
+    codes = np.fromiter((get(w, none) for w in words), np.int64, len(words))
+    ranges = []
     for row, template in enumerate(templates()):
-        width = len(template.words) + template.spare
         sums = np.concatenate([[0], np.cumsum(has[row, codes])])
-        reach = min(width, len(words))
+        reach = min(len(template.words) + template.spare, len(words))
         starts = np.flatnonzero(sums[reach:] - sums[:-reach] >= len(template.words) - template.spare)
-        if not len(starts):
-            continue
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(starts) > width]))
-        tails = np.append(heads[1:], len(starts)) - 1
-        for low, high in zip(starts[heads].tolist(), (starts[tails] + reach).tolist(), strict=True):
-            for start in range(low, max(high - width, low + 1), PIECE):
-                yield template, start, min(start + PIECE + width, high)
+        if len(starts):
+            heads = np.concatenate([[True], np.diff(starts) > reach])
+            tails = np.append(heads[1:], True)
+            ranges += [(a, b + reach, template) for a, b in zip(starts[heads].tolist(), starts[tails].tolist(), strict=True)]
+    blocks: dict[tuple[int, int], list[Template]] = {}
+    ranges.sort(key=lambda r: r[:2])
+    while ranges:
+        low, high, _ = ranges[0]
+        count = 0
+        while count < len(ranges) and ranges[count][0] < high:
+            high = max(high, ranges[count][1])
+            count += 1
+        for start in range(low, max(high - APART, low + 1), PIECE):
+            stop = min(start + PIECE + APART, high)
+            blocks[start, stop] = [t for a, b, t in ranges[:count] if a < stop and b > start]
+        del ranges[:count]
+    return blocks
+
+
+def ranked(text: str) -> list[tuple[int, Template]]:
+    """(bytes saved, template) of all templates as dictionary of the text, those that save most first."""
+    return sorted(((saved_bytes(text, t), t) for t in templates()), key=lambda r: (-r[0], r[1].license_id, r[1].number))
+
+
+def stated_in(words: list[str], spans: list[str], able: list[Template]) -> tuple | None:
+    """(bytes saved, template, differences, start, stop, what differs) of the license that a block states.
+
+    Of templates that save about as many bytes as the first that is confirmed, the one of fewest
+    differences is taken, ties to the one that saves more. Templates that the block has too few
+    words of are not able to be confirmed.
+    """
+    best, level = None, None
+    for saved, template in ranked(_plain(spans)):
+        if best and saved < level - SAME_BYTES:
+            break
+        if template in able:
+            different, start, stop, notes = closest(template.words, words)
+            if different <= template.spare and (best is None or different < best[2]):
+                best = saved, template, different, start, stop, notes
+                level = saved if level is None else level
+    return best
+
+
+def _plain(spans: Sequence[str]) -> str:
+    return " ".join("".join(spans).split())
 
 
 def licenses_of(spans: list[str]) -> list[tuple[int, int, tuple]]:
     """(first word, last word, (license_id, saved_bytes, n_words, n_different, differences)) of each license
     that words state; a span is a word and what stands up to the next one.
 
-    All templates are held against every stretch that may state them. The one with the fewest
-    differences for its length wins, ties to the one that saves more bytes of the words it matches.
-    It is cut out, together with its repeats far from it, and the rest is searched again.
+    Each block states one license at a time. Those that save most are cut out first, with what
+    is far from them, and the rest is searched again. ``saved_bytes`` is for the words that match.
     """
     words = [_WORD.match(s).group().lower() for s in spans]
     place = list(range(len(words)))
     found = []
     while words:
         near = []
-        for template, low, high in crowded(words):
-            different, start, stop, notes = closest(template.words, words[low:high])
-            if different <= template.spare:
-                start, stop = start + low, stop + low
-                text = " ".join("".join(spans[p] for p in place[start:stop]).split())
-                saved = saved_bytes(text, template)
-                row = (template.license_id, saved, len(template.words), different, tuple(notes))
-                near.append((different / len(template.words), -saved, template.license_id, template.number, start, stop, row))
+        for (low, high), able in crowded(words).items():
+            inside = [spans[p] for p in place[low:high]]
+            if block := stated_in(words[low:high], inside, able):
+                saved, template, different, start, stop, notes = block
+                row = (
+                    template.license_id, saved_bytes(_plain(inside[start:stop]), template), len(template.words),
+                    different, tuple(notes),
+                )
+                near.append((-saved, different, low + start, low + stop, row))
         taken = []
-        # What stands around a cut, and whatever is less near, is decided after it.
+        # What stands around a cut is decided after it.
         later = np.zeros(len(words), bool)
-        near.sort()
-        for ratio, _, name, number, start, stop, row in near:
-            if (ratio, name, number) != (near[0][0], *near[0][2:4]):
-                continue
-            if later[start:stop].any():
-                continue
-            taken.append((start, stop))
-            found.append((place[start], place[stop - 1], row))
-            later[max(start - APART, 0): stop + APART] = True
+        for _, _, start, stop, row in sorted(near):
+            if not later[start:stop].any():
+                taken.append((start, stop))
+                found.append((place[start], place[stop - 1], row))
+                later[max(start - APART, 0): stop + APART] = True
         if not taken:
             break
         for start, stop in sorted(taken, reverse=True):
@@ -247,6 +282,21 @@ def licenses_of(spans: list[str]) -> list[tuple[int, int, tuple]]:
     return found
 
 
+def regions(words: Sequence[str]) -> Iterator[tuple[int, int]]:
+    """(start, stop) of words that blocks and what stands around them are in; no two overlap."""
+    open_: tuple[int, int] | None = None
+    for start, stop in crowded(words):
+        start, stop = max(start - APART, 0), min(stop + APART, len(words))
+        if open_ and start <= open_[1]:
+            open_ = open_[0], max(open_[1], stop)
+            continue
+        if open_:
+            yield open_
+        open_ = start, stop
+    if open_:
+        yield open_
+
+
 def marked_lines(text: str) -> list[tuple[int, int]]:
     """(first, last) of the stretches of lines with a stem."""
     found: list[tuple[int, int]] = []
@@ -261,52 +311,19 @@ def marked_lines(text: str) -> list[tuple[int, int]]:
     return found
 
 
-def blocks(text: str) -> Iterator[tuple[list[tuple[int, int]], list[int], list[str]]]:
-    """(marked lines, line of each word, spans) of the stretches of a text that may state a license.
-
-    A template may begin before the marked lines and end after them, by at most as many words as
-    it may match; blocks that then share words are one.
-    """
-    lines = text.split("\n")
-    spans: dict[int, list[str]] = {}
-
-    def held(line: int) -> list[str]:
-        if line not in spans:
-            spans[line] = spans_of(lines[line] + "\n")
-        return spans[line]
-
-    def reached(line: int, step: int) -> tuple[int, int]:
-        """The line in which so many words end, and how many of its words are among them."""
-        left = APART
-        while 0 <= line + step < len(lines):
-            line += step
-            if len(held(line)) >= left:
-                return line, left
-            left -= len(held(line))
-        return line, len(held(line))
-
-    joined: list[tuple[list[tuple[int, int]], tuple[int, int], tuple[int, int]]] = []
-    for first, last in marked_lines(text):
-        line, count = reached(first, -1)
-        start = (line, len(held(line)) - count)
-        stop = reached(last, 1)
-        if joined and start < joined[-1][2]:
-            joined[-1] = (joined[-1][0] + [(first, last)], joined[-1][1], stop)
-        else:
-            joined.append(([(first, last)], start, stop))
-    for marked, start, stop in joined:
-        words = [
-            (line, span) for line in range(start[0], stop[0] + 1)
-            for span in held(line)[start[1] if line == start[0] else 0: stop[1] if line == stop[0] else None]
-        ]
-        yield marked, [w[0] for w in words], [w[1] for w in words]
-
-
 def stated(text: str) -> Iterator[tuple]:
-    """(first line, lines, license_id, ...) of each license: the marked lines it is in, and all its own."""
-    for marked, lines, spans in blocks(text):
+    """(first line, lines, license_id, ...) of each license: the lines of its words, and of the run of marked
+    lines that these stand in."""
+    around = list(regions([w.lower() for w in _WORD.findall(text)]))
+    if not around:
+        return
+    places = [w.start() for w in _WORD.finditer(text)]
+    breaks = [b.start() for b in re.finditer("\n", text)]
+    ends, marked = [*places[1:], len(text)], marked_lines(text)
+    for low, high in around:
+        spans = [text[a:b] for a, b in zip(places[low:high], ends[low:high], strict=True)]
         for start, stop, found in licenses_of(spans):
-            first, last = lines[start], lines[stop]
+            first, last = (bisect_left(breaks, places[low + p]) for p in (start, stop))
             near = [m for m in marked if m[0] <= last and m[1] >= first]
             first, last = min([first, *(m[0] for m in near)]), max([last, *(m[1] for m in near)])
             yield first, last - first + 1, *found
@@ -316,7 +333,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, first_line, n_lines, license_id, saved_bytes, n_words, n_different, differences).
 
     One row per license that a text of docs (doc_id, text) states; lines count from 0 and are those
-    of the license and of the run of lines with a stem that it stands in.
+    of its words and of the run of lines with a stem (``STEMS``) that it stands in. Stems decide nothing
+    else: every word of every text is looked at.
     ``n_words`` is the length of the template, ``differences`` says ``a > b`` for a changed
     word, ``- a`` for a missing and ``+ b`` for an added one. Texts that are null, empty or
     state no license have no row; repeated rows are scanned each, null ids too.
@@ -324,9 +342,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (place, *found) for place, text in enumerate(batch.column(1).to_pylist()) for found in stated(text)
-            ]
+            texts = batch.column(1)
+            rows = [(place, *found) for place in range(len(texts)) for found in stated(texts[place].as_py())]
             if rows:
                 place, *values = zip(*rows, strict=True)
                 kinds = (pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()))
@@ -337,9 +354,9 @@ def scan(docs: DataFrame) -> DataFrame:
                 )
 
     kept = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(
-        F.lower("text").rlike(_STEM.pattern)
+        "text IS NOT NULL"
     )
     return kept.mapInArrow(
-        work, "doc_id long, first_line int, n_lines int, license_id string, saved_bytes int, n_words int, "
+        tidy(work), "doc_id long, first_line int, n_lines int, license_id string, saved_bytes int, n_words int, "
         "n_different int, differences array<string>",
     )
