@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from tickloom import samples
 from tickloom.operators import panels
-from tickloom.operators.replace import replace_dates
+from tickloom.operators.replace import on_days, replace_dates
 from tickloom.operators.rollup import tick_summary
 from tickloom.registry.queries import all_queries
 from tickloom.sinks.tables import write_table
@@ -23,7 +23,7 @@ FILE_QUERIES = {
     "retention_candidates", "run_log_latest", "incremental_load", "stream_replace",
     "stream_hourly", "stream_archives", "stray_date_load", "damaged_part_load", "emptied_day_load",
     "quarantine_reload", "daily_load_csv", "load_balance", "stream_hourly_corrected",
-    "clustered_compaction", "total_volume_range", "distinct_symbols_range", "vwap_sql", "incremental_rejects", "split_day_stream",
+    "clustered_compaction", "total_volume_range", "summary_of_picked_days", "distinct_symbols_range", "vwap_sql", "incremental_rejects", "split_day_stream",
 }
 
 
@@ -108,3 +108,18 @@ def test_library_collects_no_data():
         ("delimited.py", "for row in headers.where(\"header is not null\").toLocalIterator():"),
         ("delimited.py", "return sorted(row.header for row in lines.collect())"),
     ]
+
+
+def test_days_picked_at_run_time_prune_folders(spark, stored):
+    """Only the folders of the picked days are read."""
+    wanted = [dt.date(2024, 1, 3), dt.date(2024, 1, 9), dt.date(2024, 1, 20)]
+    offered = spark.createDataFrame(
+        [(day, n) for n, day in enumerate([*wanted, dt.date(2024, 1, 4), None])], "TradeDateParsed date, n int"
+    )
+    found = on_days(stored, offered.where("n < 3"))
+    assert "dynamicpruning" in plan(found)
+    assert sorted({r.TradeDateParsed for r in found.collect()}) == wanted
+    final = found._jdf.queryExecution().executedPlan().executedPlan()
+    leaves = (final.plan() if final.nodeName() == "ResultQueryStage" else final).collectLeaves()
+    metrics = [leaves.apply(n).metrics() for n in range(leaves.size())]
+    assert [m.apply("numPartitions").value() for m in metrics if m.contains("numPartitions") and m.contains("filesSize")] == [3]

@@ -25,3 +25,16 @@ def replace_dates(target: DataFrame, batch: DataFrame, key: str = DATE_KEY) -> D
         touched = F.broadcast(touched)
     kept = target.join(touched, key, "left_anti").select(*target.columns)
     return kept.unionByName(batch.where(F.col(key).isNotNull()))
+
+
+def on_days(target: DataFrame, days: DataFrame, key: str = DATE_KEY) -> DataFrame:
+    """Rows of a table on the days that another frame has, picked when the query runs.
+
+    The days never come to the driver's program: where the table is stored by date and the days
+    carry a condition, Spark prunes the table's folders by the broadcast of the days itself.
+    Distinct dates are bounded as in ``replace_dates``; days without a date pick nothing.
+    """
+    picked = touched_dates(days, key)
+    if isinstance(picked.schema[key].dataType, DateType):
+        picked = F.broadcast(picked)
+    return target.join(picked, key, "left_semi").select(*target.columns)

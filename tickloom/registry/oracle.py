@@ -300,6 +300,9 @@ FROM cancels WHERE "Amend_Code" = 'P'""",
     "compaction": _ROUND_TRIP,
     "clustered_compaction": _ROUND_TRIP,
     "total_volume_range": _RANGE_TOTALS,
+    "summary_of_picked_days": _over_summary("""SELECT * FROM summary WHERE "TradeDateParsed" IN (
+    SELECT "TradeDateParsed" FROM summary GROUP BY 1
+    HAVING sum("GroupVolume") FILTER ("MessageCode" = 'purchase') > sum("GroupVolume") FILTER ("MessageCode" = 'click'))"""),
     "distinct_symbols_range": _RANGE_SYMBOLS,
     "stream_archives": _ROUND_TRIP,
     "stray_date_load": _ROUND_TRIP,

@@ -16,13 +16,13 @@ from tickloom import samples
 from tickloom.functions import cells
 from tickloom.functions.days import business_days
 from tickloom.operators import clean, levels, panels, rollup, runs, symbolsets
-from tickloom.operators.replace import touched_dates
+from tickloom.operators.replace import on_days, touched_dates
 from tickloom.plans import daily
 from tickloom.schemas import DATE_KEY, RAW_TICK_COLUMNS, SUMMARY, TICKS
 from tickloom.session import fresh_dir
 from tickloom.sinks import serving, tables, upkeep
 from tickloom.sources import archives, delimited, files, rawzone
-from tickloom.sources.tables import read_summary_csv
+from tickloom.sources.tables import read_summary_csv, read_table
 from tickloom.streaming import loads, partials
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -473,6 +473,18 @@ def total_volume_range(spark, sf_dir):
     return reduce(DataFrame.unionByName, totals)
 
 
+@registered
+def summary_of_picked_days(spark, sf_dir):
+    """Summary of the days on which purchases outweigh clicks; the day level picks them at run time."""
+    root = fresh_dir(spark, "picked-days")
+    summary, made = _summary(spark, sf_dir), levels.Levels(root)
+    tables.write_table(summary, f"{root}/summary")
+    levels.refresh_levels(spark, f"{root}/summary", made, levels.all_dates(summary))
+    volume = {code: F.sum(F.when(F.col("MessageCode") == code, F.col("GroupVolume"))) for code in ("purchase", "click")}
+    days = read_table(spark, made.days).groupBy(DATE_KEY).agg(*[v.alias(code) for code, v in volume.items()])
+    return on_days(read_table(spark, f"{root}/summary"), days.where("purchase > click"))
+
+
 @registered
 def distinct_symbols_range(spark, sf_dir):
     """Different symbols of date ranges from bitmaps kept per date, in two loads."""
