@@ -18,7 +18,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -255,72 +254,90 @@ def _to_hubs(members: DataFrame) -> DataFrame:
     )
 
 
-def _alike(frame: pd.DataFrame, banding: Banding) -> pd.DataFrame:
-    """Links between the outliers and the others of a group, where components differ.
-
-    Full sets are compared only where some registers are alike enough; to correct them for
-    collisions would only rule out more.
-    """
-    stray = frame["outlier"].to_numpy()
-    ids, components = frame["id"].to_numpy(), frame["component"].to_numpy()
-    rows = np.frombuffer(b"".join(frame["registers"]), np.uint16).reshape(-1, banding.buckets)
-    others = np.flatnonzero(~stray)
-    likely = {}
-    for one in np.flatnonzero(stray).tolist():
-        near = np.count_nonzero(rows[others] == rows[one], axis=1) >= banding.least_estimate * banding.buckets
-        near &= components[others] != components[one]
-        if near.any():
-            likely[one] = others[near]
-    sets = frame["shingles"]
-    held = {n: np.asarray(sets.iat[n], np.int64) for n in {m for found in likely.values() for m in found.tolist()}}
-    pairs: list[tuple[int, int]] = []
-    for one, found in likely.items():
-        values = np.asarray(sets.iat[one], np.int64)
-        sizes = np.array([len(held[m]) for m in found.tolist()])
+def _near(table: pa.Table, banding: Banding) -> tuple[np.ndarray, np.ndarray]:
+    """Places of outliers, and of others of a group, that differ in component and whose sizes and registers
+    leave the threshold in reach; to correct registers for collisions would only rule out more."""
+    stray, sizes, components = (table[c].to_numpy() for c in ("outlier", "n_shingles", "component"))
+    rows = _registers(table["registers"], banding.buckets).T
+    ones, others = np.flatnonzero(stray), np.flatnonzero(~stray)
+    own, their = np.ascontiguousarray(rows[:, ones]), np.ascontiguousarray(rows[:, others])
+    # One register of all pairs at a time.
+    equal = np.zeros((len(ones), len(others)), np.uint8 if banding.buckets < 256 else np.uint32)
+    same = np.empty(equal.shape, bool)
+    for one, other in zip(own, their, strict=True):
+        np.equal(one[:, None], other, out=same)
+        equal += same.view(np.uint8)
+    one, other = np.nonzero(equal >= banding.least_estimate * banding.buckets)
+    one, other = ones[one], others[other]
+    keep = components[one] != components[other]
+    keep &= 100 * np.minimum(sizes[one], sizes[other]) >= banding.percent * np.maximum(sizes[one], sizes[other])
+    return one[keep], other[keep]
+
+
+def _alike(table: pa.Table, banding: Banding) -> pa.Table:
+    """Links between the outliers and the others of a group, where components differ, by their full sets."""
+    ids, sets = table["id"].to_numpy(), table["shingles"]
+    # Hashes are unsigned; as such they are in order.
+    held = [np.asarray(values, np.int64).view(_U64) for values in sets.to_numpy()]
+    one, other = _near(table, banding)
+    found: list[np.ndarray] = []
+    for part in np.split(np.arange(len(one)), np.flatnonzero(np.diff(one)) + 1) if len(one) else []:
+        values, members = held[one[part[0]]], other[part]
+        sizes = np.array([len(held[m]) for m in members.tolist()])
         # How many of its own shingles each of the likely ones has, all of them looked up at once.
-        joined = np.concatenate([held[m] for m in found.tolist()])
+        joined = np.concatenate([held[m] for m in members.tolist()])
         place = np.minimum(np.searchsorted(values, joined), len(values) - 1)
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         common = np.add.reduceat((values[place] == joined).astype(np.int64), first)
-        good = 100 * common >= banding.percent * (len(values) + sizes - common)
-        pairs += [(min(ids[one], ids[m]), max(ids[one], ids[m])) for m in found[good].tolist()]
-    return pd.DataFrame(pairs, columns=["a", "b"], dtype=np.int64)
+        found.append(part[100 * common >= banding.percent * (len(values) + sizes - common)])
+    good = np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)
+    a, b = ids[one[good]], ids[other[good]]
+    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
 def _across(torn: DataFrame, sketched: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
-    """Links (a, b) between components that still share buckets.
+    """Links (a, b) between components that still share buckets, written.
 
     Ids that torn buckets connect make up a group. The largest component of a group is
     settled within itself; ids outside of it, its outliers, are compared with all of the
-    group by registers and, where these are alike, on full sets. Both sides are dealt into blocks and each pair of blocks is a
-    task's group, from which only links come out; few outliers cost few copies of a row,
-    however large the group.
+    group, first by registers alone and, where these are alike, on full sets. Both sides are dealt
+    into blocks and each pair of blocks is a task's group, from which only ids that have a likely
+    partner, then links, come out; few outliers cost few copies of a row, however large the group.
     """
     lowest = torn.groupBy("key").agg(F.min("id").alias("low"))
-    groups = connected(torn.join(lowest, "key").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
-    placed = written(
-        torn.select("id", "component").distinct().join(groups.withColumnRenamed("component", "group"), "id"), "groups"
-    )
-    parts = placed.groupBy("group", "component").agg(F.count("*").alias("n"))
-    shape = parts.groupBy("group").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("largest"))
-    rows = placed.join(sets, "id").join(sketched.select("id", "registers"), "id").join(shape, "group").select(
-        "group", "id", "component", "shingles", "registers", (F.col("component") != F.col("largest.component")).alias("stray"),
-        F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
-        F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).cast("int").alias("stray_blocks"),
-    )
-    every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
-    block = lambda count: F.expr(f"cast(pmod(xxhash64(id, '{count}'), {count}) as int)")
-    columns = ["group", "block", "stray_block", "outlier", "id", "component", "shingles", "registers"]
-    others = rows.withColumn("block", block("blocks")).withColumn("stray_block", F.explode(every("stray_blocks")))
-    strays = rows.where("stray").withColumn("stray_block", block("stray_blocks")).withColumn(
-        "block", F.explode(every("blocks"))
-    )
-    both = others.withColumn("outlier", F.lit(False)).select(columns).unionByName(
-        strays.withColumn("outlier", F.lit(True)).select(columns)
-    )
-    return both.groupBy("group", "block", "stray_block").applyInPandas(
-        lambda frame: _alike(frame, banding), "a long, b long"
-    )
+    with Scratch(torn.sparkSession) as scratch:
+        groups = connected(torn.join(lowest, "key").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
+        placed = scratch.write(
+            torn.select("id", "component").distinct().join(groups.withColumnRenamed("component", "group"), "id"), "groups"
+        )
+        parts = placed.groupBy("group", "component").agg(F.count("*").alias("n"))
+        shape = parts.groupBy("group").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("largest"))
+        rows = placed.join(sketched.select("id", "n_shingles", "registers"), "id").join(shape, "group").select(
+            "group", "id", "component", "n_shingles", "registers",
+            (F.col("component") != F.col("largest.component")).alias("stray"),
+            F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
+            F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).cast("int").alias("stray_blocks"),
+        )
+        every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+        block = lambda count: F.expr(f"cast(pmod(xxhash64(id, '{count}'), {count}) as int)")
+        pair = ["group", "block", "stray_block"]
+        columns = [*pair, "outlier", "id", "component", "n_shingles", "registers"]
+        others = rows.withColumn("block", block("blocks")).withColumn("stray_block", F.explode(every("stray_blocks")))
+        strays = rows.where("stray").withColumn("stray_block", block("stray_blocks")).withColumn(
+            "block", F.explode(every("blocks"))
+        )
+        both = others.withColumn("outlier", F.lit(False)).select(columns).unionByName(
+            strays.withColumn("outlier", F.lit(True)).select(columns)
+        )
+
+        def with_partner(table: pa.Table) -> pa.Table:
+            return table.take(pa.array(np.union1d(*_near(table, banding)).astype(np.int64)))
+
+        near = scratch.write(both.groupBy(pair).applyInArrow(with_partner, both.schema), "near")
+        found = near.join(sets, "id").groupBy(pair).applyInArrow(
+            lambda table: _alike(table, banding), "a long, b long"
+        )
+        return written(found, "edges")
 
 
 def linked(sketched: DataFrame, sets_of: Callable[[DataFrame], DataFrame], banding: Banding) -> DataFrame:
@@ -340,8 +357,10 @@ def linked(sketched: DataFrame, sets_of: Callable[[DataFrame], DataFrame], bandi
         found = connected(edges)
         torn = scratch.write(_torn(members, found), "torn-buckets")
         if not torn.isEmpty():
-            more = scratch.write(_across(torn, sketched, sets, banding), "edges")
-            found = connected(edges.unionByName(more))
+            more = scratch.adopt(_across(torn, sketched, sets, banding))
+            if not more.isEmpty():
+                stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+                found = connected(stars.unionByName(more))
         return written(found, "components")
 
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -220,12 +221,15 @@ def _run_spans(docs: DataFrame, marks: DataFrame) -> DataFrame:
         sources = scratch.write(_firsts(runs, "mark", "digest"), "run-sources")
         # Fewer than HOT runs can hold that many of the rows.
         large = max(HOT, runs.count() // HOT)
-        hot = F.broadcast(sources.where(F.col("n") > large).drop("n"))
+        hot = sources.where(F.col("n") > large).drop("n")
         other = sources.where(F.col("n") <= large).drop("n")
-        found = runs.join(hot, ["mark", "digest"]).select("text_no", "place", "source").unionByName(
-            runs.join(hot.select("mark", "digest"), ["mark", "digest"], "left_anti")
-            .join(other, ["mark", "digest"]).select("text_no", "place", "source")
-        )
+        found, rest = [], runs
+        if not hot.isEmpty():
+            hot = F.broadcast(hot)
+            found.append(runs.join(hot, ["mark", "digest"]))
+            rest = runs.join(hot.select("mark", "digest"), ["mark", "digest"], "left_anti")
+        found.append(rest.join(other, ["mark", "digest"]))
+        found = reduce(DataFrame.unionByName, [part.select("text_no", "place", "source") for part in found])
         return written(_spans(found), "copied-runs")
 
 
@@ -309,8 +313,8 @@ def _unit_spans(docs: DataFrame, units: DataFrame, classes: DataFrame) -> DataFr
                 F.collect_list(F.struct("id", "at.place", "at.n_words")).alias("units")
             )
             # The same join at every size: texts are never joined with a broadcast of ids. A document that
-            # stands in several rows gives its sets several times.
-            return _unit_sets(docs.join(chosen.hint("merge"), KEY)).dropDuplicates(["id"])
+            # stands in several rows gives its sets once; the join has brought these rows together.
+            return _unit_sets(docs.join(chosen.hint("merge"), KEY).dropDuplicates(KEY))
 
         found = scratch.adopt(linked(classes.select("id", "n_shingles", "registers"), sets_of, LINES))
         labels = named.join(found, "id", "left").select("set_id", F.coalesce("component", "id").alias("component"))
@@ -352,7 +356,8 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             *KEY, F.lit(0).alias("place"), "n_words", "source_id", (F.col("first") == own).alias("kept")
         )
         whole = scratch.write(whole.distinct(), "whole-copies")
-        first = survey.join(numbers.hint("merge"), KEY).dropDuplicates(["text_no"])
+        # One row of each number, and so of each key: the join has brought these together.
+        first = survey.join(numbers.hint("merge"), KEY).dropDuplicates(KEY)
         marks = scratch.write(first.select(*KEY, "text_no", "marks"), "text-marks")
         units = scratch.write(
             first.select(*KEY, "text_no", F.inline("units")).select(*KEY, "text_no", "place", "n_words", "set_id"), "units"
