@@ -46,7 +46,7 @@ def test_pairs_by_registers_are_those_of_each_pair():
         rows = rng.integers(0, 2, (90, buckets)).astype(np.uint16)
         sizes, components = rng.integers(60, 100, 90), rng.integers(0, 9, 90)
         stray = rng.random(90) < 0.4
-        table = pa.table({
+        table = pa.RecordBatch.from_pydict({
             "outlier": stray, "n_shingles": sizes, "component": components,
             "registers": pa.array([r.tobytes() for r in rows], pa.binary()),
         })
@@ -57,3 +57,25 @@ def test_pairs_by_registers_are_those_of_each_pair():
         }
         one, other = near_dup._near(table, banding)
         assert wanted and set(zip(one.tolist(), other.tolist(), strict=True)) == wanted
+
+
+def test_groups_that_span_batches_are_whole(spark):
+    frame = spark.range(400).selectExpr("id % 7 AS g", "id % 3 AS h", "id").coalesce(3)
+
+    def summed(batch):
+        return pa.RecordBatch.from_pydict({
+            "g": batch.column("g").slice(0, 1), "h": batch.column("h").slice(0, 1),
+            "rows": pa.array([batch.num_rows], pa.int64()), "ids": pa.array([sum(batch.column("id").to_pylist())], pa.int64()),
+        })
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        found = near_dup._by_group(frame, ["g", "h"], summed, "g long, h long, rows long, ids long").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    wanted = {}
+    for n in range(400):
+        rows, ids = wanted.get((n % 7, n % 3), (0, 0))
+        wanted[n % 7, n % 3] = (rows + 1, ids + n)
+    assert len(found) == 21 and {(r.g, r.h): (r.rows, r.ids) for r in found} == wanted

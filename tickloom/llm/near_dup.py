@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.llm.components import connected
 from tickloom.llm.frames import tidy
@@ -254,19 +255,22 @@ def _to_hubs(members: DataFrame) -> DataFrame:
     )
 
 
-def _near(table: pa.Table, banding: Banding) -> tuple[np.ndarray, np.ndarray]:
+def _near(table: pa.RecordBatch, banding: Banding) -> tuple[np.ndarray, np.ndarray]:
     """Places of outliers, and of others of a group, that differ in component and whose sizes and registers
     leave the threshold in reach; to correct registers for collisions would only rule out more."""
-    stray, sizes, components = (table[c].to_numpy() for c in ("outlier", "n_shingles", "component"))
-    rows = _registers(table["registers"], banding.buckets).T
+    stray, sizes, components = (table[c].to_numpy(zero_copy_only=False) for c in ("outlier", "n_shingles", "component"))
+    rows = _registers(table["registers"], banding.buckets)
     ones, others = np.flatnonzero(stray), np.flatnonzero(~stray)
-    own, their = np.ascontiguousarray(rows[:, ones]), np.ascontiguousarray(rows[:, others])
-    # One register of all pairs at a time.
-    equal = np.zeros((len(ones), len(others)), np.uint8 if banding.buckets < 256 else np.uint32)
-    same = np.empty(equal.shape, bool)
-    for one, other in zip(own, their, strict=True):
-        np.equal(one[:, None], other, out=same)
-        equal += same.view(np.uint8)
+    if len(ones) * len(others) <= 256:
+        equal = np.count_nonzero(rows[ones][:, None] == rows[others], axis=2)
+    else:
+        # One register of all pairs at a time.
+        own, their = np.ascontiguousarray(rows[ones].T), np.ascontiguousarray(rows[others].T)
+        equal = np.zeros((len(ones), len(others)), np.uint8 if banding.buckets < 256 else np.uint32)
+        same = np.empty(equal.shape, bool)
+        for one, other in zip(own, their, strict=True):
+            np.equal(one[:, None], other, out=same)
+            equal += same.view(np.uint8)
     one, other = np.nonzero(equal >= banding.least_estimate * banding.buckets)
     one, other = ones[one], others[other]
     keep = components[one] != components[other]
@@ -274,11 +278,11 @@ def _near(table: pa.Table, banding: Banding) -> tuple[np.ndarray, np.ndarray]:
     return one[keep], other[keep]
 
 
-def _alike(table: pa.Table, banding: Banding) -> pa.Table:
+def _alike(table: pa.RecordBatch, banding: Banding) -> pa.RecordBatch:
     """Links between the outliers and the others of a group, where components differ, by their full sets."""
     ids, sets = table["id"].to_numpy(), table["shingles"]
     # Hashes are unsigned; as such they are in order.
-    held = [np.asarray(values, np.int64).view(_U64) for values in sets.to_numpy()]
+    held = [np.asarray(values, np.int64).view(_U64) for values in sets.to_numpy(zero_copy_only=False)]
     one, other = _near(table, banding)
     found: list[np.ndarray] = []
     for part in np.split(np.arange(len(one)), np.flatnonzero(np.diff(one)) + 1) if len(one) else []:
@@ -292,7 +296,51 @@ def _alike(table: pa.Table, banding: Banding) -> pa.Table:
         found.append(part[100 * common >= banding.percent * (len(values) + sizes - common)])
     good = np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)
     a, b = ids[one[good]], ids[other[good]]
-    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"]
+    )
+
+
+def _by_group(
+    frame: DataFrame, keys: list[str], work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
+) -> DataFrame:
+    """What ``work`` makes of each group; for many small groups, as a call of Python for each costs more than its work."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []  # of the group that the last batch ended with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = [batch.column(k).to_numpy() for k in keys]
+            edges = np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in values])) + 1
+            if kept and any(kept[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+                yield _made(kept)
+                kept = []
+            start = 0
+            for stop in edges.tolist():
+                yield _made([*kept, batch.slice(start, stop - start)])
+                kept, start = [], stop
+            kept.append(batch.slice(start))
+        if kept:
+            yield _made(kept)
+
+    def _made(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return work(parts[0] if len(parts) == 1 else pa.concat_batches(parts))
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches of some thousand rows, not one for each group."""
+        held, rows = [], 0
+        for made in run(batches):
+            if made.num_rows:
+                held.append(made)
+                rows += made.num_rows
+            if rows >= 4096:
+                yield pa.concat_batches(held)
+                held, rows = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
+    return frame.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(full), schema)
 
 
 def _across(torn: DataFrame, sketched: DataFrame, sets: DataFrame, banding: Banding) -> DataFrame:
@@ -330,13 +378,11 @@ def _across(torn: DataFrame, sketched: DataFrame, sets: DataFrame, banding: Band
             strays.withColumn("outlier", F.lit(True)).select(columns)
         )
 
-        def with_partner(table: pa.Table) -> pa.Table:
+        def with_partner(table: pa.RecordBatch) -> pa.RecordBatch:
             return table.take(pa.array(np.union1d(*_near(table, banding)).astype(np.int64)))
 
-        near = scratch.write(both.groupBy(pair).applyInArrow(with_partner, both.schema), "near")
-        found = near.join(sets, "id").groupBy(pair).applyInArrow(
-            lambda table: _alike(table, banding), "a long, b long"
-        )
+        near = scratch.write(_by_group(both, pair, with_partner, both.schema), "near")
+        found = _by_group(near.join(sets, "id"), pair, lambda table: _alike(table, banding), "a long, b long")
         return written(found, "edges")
 
 
