@@ -230,12 +230,17 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _torn(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, id, component) of the buckets that span several components."""
-    labelled = members.select("key", "id").join(found, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
-    )
-    torn = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    return labelled.join(torn.select("key"), "key")
+    """(key, id, component) of the buckets that span several components, written."""
+    with Scratch(members.sparkSession) as scratch:
+        # Read twice.
+        labelled = scratch.write(
+            members.select("key", "id").join(found, "id", "left").select(
+                "key", "id", F.coalesce("component", "id").alias("component")
+            ),
+            "labelled-members",
+        )
+        spans = labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+        return written(labelled.join(spans.where("c1 <> c2").select("key"), "key"), "torn-buckets")
 
 
 def _to_hubs(members: DataFrame) -> DataFrame:
@@ -366,6 +371,7 @@ def _across(torn: DataFrame, sketched: DataFrame, sets: DataFrame, banding: Band
             F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
             F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).cast("int").alias("stray_blocks"),
         )
+        rows = scratch.write(rows, "group-rows")  # read twice
         every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
         block = lambda count: F.expr(f"cast(pmod(xxhash64(id, '{count}'), {count}) as int)")
         pair = ["group", "block", "stray_block"]
@@ -401,7 +407,7 @@ def linked(sketched: DataFrame, sets_of: Callable[[DataFrame], DataFrame], bandi
         pairs = scratch.write(_to_hubs(members.withColumn("component", F.col("id"))), "pairs")
         edges = scratch.write(verified(plausible(pairs, sketched, banding), sets, banding.percent), "edges")
         found = connected(edges)
-        torn = scratch.write(_torn(members, found), "torn-buckets")
+        torn = scratch.adopt(_torn(members, found))
         if not torn.isEmpty():
             more = scratch.adopt(_across(torn, sketched, sets, banding))
             if not more.isEmpty():
